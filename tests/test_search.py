@@ -1,0 +1,87 @@
+from pyspark.sql import functions as F
+
+from fixtures import E2_EXPECTED, END, START, keyword_map, search_log
+from viewpulse.operators import keywords as K
+from viewpulse.operators import search as Q
+from viewpulse.plans.profiles import build_search_profile, search_pairs
+
+
+def test_search_profile_edges(spark):
+    prof = build_search_profile(search_log(spark), keyword_map(spark), END, START)
+    got = {r["user_id"]: tuple(r[1:]) for r in prof.collect()}
+    assert got == E2_EXPECTED
+
+
+def test_fused_pairs_equal_stepwise(spark):
+    log = search_log(spark).where(F.col("log_date").between(START, END))
+    stepwise = Q.pair_periods(Q.top_keywords(Q.keyword_counts(Q.with_period(Q.clean_search(log), END))))
+    fused = search_pairs(log, END, START)
+    assert sorted(map(tuple, stepwise.collect())) == sorted(map(tuple, fused.collect()))
+
+
+def test_clean_search(spark):
+    rows = Q.clean_search(search_log(spark)).collect()
+    kws = {r["keyword"] for r in rows}
+    assert "vtv3" in kws and "vtv 3" in kws and "tom" in kws
+    assert "ab" not in kws and "k" not in kws
+    months = {(r["user_id"], r["keyword"]): r["month"] for r in rows}
+    assert months[("u3", "potter")] is None  # 6-digit fraction does not parse
+    assert months[("u3", "love story")] in (6, 7)
+
+
+def test_top_keyword_ties_to_smallest(spark):
+    counts = spark.createDataFrame(
+        [("u", "prev", "b", 2), ("u", "prev", "a", 2), ("u", "prev", "c", 1)],
+        "user_id string, period string, keyword string, search_count long",
+    )
+    r = Q.top_keywords(counts).first()
+    assert (r["keyword"], r["search_count"]) == ("a", 2)
+
+
+def test_device_latest_row(spark):
+    dev = {r["user_id"]: r["proxy_isp"] for r in Q.user_device(search_log(spark)).collect()}
+    assert None not in dev and set(dev) == {"u1", "u2", "u3", "u4", "u5", "u6"}
+
+
+def test_page_and_classify(spark):
+    pairs = spark.createDataFrame(
+        [("u1", "love story", 5, "vtv 1", 1), ("u2", "harry potter", 3, "running man", 2),
+         ("u3", "love story", 1, "zzz", 1)],
+        "user_id string, most_searched_prev string, count_prev long, most_searched_curr string, count_curr long",
+    )
+    pop = {r[0]: r[1] for r in Q.keyword_popularity(pairs).collect()}
+    assert pop == {"love story": 6, "harry potter": 3}
+    page = Q.page_keywords(pairs, limit_prev=1, offset_prev=1, limit_curr=2, offset_curr=0)
+    assert sorted(r[0] for r in page.collect()) == ["harry potter", "running man", "vtv 1"]
+    cats = {r[0]: r[1] for r in K.classify(page).collect()}
+    assert cats == {"harry potter": "Drama", "running man": "Reality Show", "vtv 1": "TV Channel"}
+
+
+def test_classifier_callable_and_failures(spark):
+    kws = spark.createDataFrame([(f"kw{i}",) for i in range(7)] + [("vtv9",)], "keyword string")
+
+    def clf(batch):
+        if "kw3" in batch:
+            raise RuntimeError("service down")
+        return {k.upper(): "Music" for k in batch if k != "kw1"}
+
+    got = {r[0]: r[1] for r in K.classify(kws, classifier=clf, batch=2).collect()}
+    assert got["vtv9"] == "TV Channel"  # rules first
+    assert got["kw0"] == "Music"  # case-insensitive key match
+    assert got["kw1"] == "Other"  # not answered
+    assert got["kw2"] == "Other" and got["kw3"] == "Other"  # failed chunk
+
+
+def test_merge_map_keeps_existing(spark):
+    old = spark.createDataFrame([("a", "Drama"), ("b", "News")], "keyword string, category string")
+    new = spark.createDataFrame([("b", "Other"), ("c", "Other")], "keyword string, category string")
+    got = sorted(map(tuple, K.merge_map(old, new).collect()))
+    assert got == [("a", "Drama"), ("b", "News"), ("c", "Other")]
+
+
+def test_category_shift_nulls(spark):
+    df = spark.createDataFrame(
+        [("x", "x"), ("x", None), (None, "y"), (None, None), ("x", "y")], "category_prev string, category_curr string"
+    )
+    got = [tuple(r[2:]) for r in Q.category_shift(df).collect()]
+    assert got == [("Unchanged", "Unchanged"), ("Changed", "x"), ("Changed", "y"), ("Changed", ""), ("Changed", "x-y")]

@@ -175,11 +175,17 @@ def interest_migration(fact: DataFrame, source: str = S.SOURCE_SEARCH) -> DataFr
     return agg.select("RoiKhoi", "ChuyenSang", "TongUser", share.alias("PhanTram_RoiKhoi"))
 
 
+# Presentation order of each report (applied when reading a report, not stored).
 REPORT_ORDER = {
-    "olap_category_loyalty": [F.desc("TiLe_TrungThanh")],
-    "olap_category_taste": [F.asc("Category"), F.desc("PhanTram_TrongCategory")],
-    "olap_power_vs_casual": [F.asc("UserType"), F.desc("TongUser")],
-    "olap_taste_diversity": [F.asc("SoTheLoaiXem")],
-    "olap_search_growth": [F.desc("PhanTram_TangTruong")],
-    "olap_interest_migration": [F.desc("TongUser")],
+    "olap_category_loyalty": [("TiLe_TrungThanh", False)],
+    "olap_category_taste": [("Category", True), ("PhanTram_TrongCategory", False)],
+    "olap_power_vs_casual": [("UserType", True), ("TongUser", False)],
+    "olap_taste_diversity": [("SoTheLoaiXem", True)],
+    "olap_search_growth": [("PhanTram_TangTruong", False)],
+    "olap_interest_migration": [("TongUser", False)],
 }
+
+
+def ordered(report: DataFrame, name: str) -> DataFrame:
+    """A report in its presentation order (reports are a few dozen rows)."""
+    return report.orderBy(*[F.asc(c) if up else F.desc(c) for c, up in REPORT_ORDER[name]])
