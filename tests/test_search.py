@@ -85,3 +85,15 @@ def test_category_shift_nulls(spark):
     )
     got = [tuple(r[2:]) for r in Q.category_shift(df).collect()]
     assert got == [("Unchanged", "Unchanged"), ("Changed", "x"), ("Changed", "y"), ("Changed", ""), ("Changed", "x-y")]
+
+
+def test_routed_time_parse_equals_four_formats(spark):
+    from viewpulse.functions.text import search_time, search_time_any
+
+    samples = ["2022-06-10 2:15:00.123", "2022-06-10 14:15:00", "2022-06-10 14:15:00.12", "2022-06-10 2:15:00.123456",
+               "2022-06-10 02:15:00", "2022-06-10 02:15:00.5 CH", "2022-02-30 02:15:00", "2022-06-10 24:15:00",
+               "2022.06.10 1:15:00", "2022-06-10 1:15:00.", "x", None, " 2022-06-10 1:15:00 SA", "2022-06-10 1:5:00",
+               "2022-06-10 01:15:00.1234"] + [r[1] for r in __import__("fixtures").E2_ROWS]
+    df = spark.createDataFrame([(s,) for s in samples], "datetime string")
+    diff = df.where(~search_time("datetime").eqNullSafe(search_time_any("datetime")))
+    assert diff.count() == 0

@@ -37,19 +37,23 @@ def search_pairs(log: DataFrame, end_date, start_date=None, with_device: bool =
     so a hot user or keyword is reduced before its shuffle.
     """
     rows = _in_window(log, "log_date", start_date, end_date).where(F.col("user_id").isNotNull())
-    kw = clean_keyword("keyword")
-    valid = F.col("keyword").isNotNull() & (F.length(kw) >= F.lit(min_len))
-    period = F.when(valid, Q.period_of(search_month("datetime"), end_date))
-    cols = [
+    # Clean once per row; the second projection only reads the cleaned columns.
+    dev = [F.struct("log_date", *DEVICE_COLS).alias("dev")] if with_device else []
+    cleaned = rows.select(
         "user_id",
-        period.alias("period"),
-        F.when(period.isNotNull(), kw).alias("keyword"),
-    ]
+        F.when(F.col("keyword").isNotNull(), clean_keyword("keyword")).alias("kw"),
+        search_month("datetime").alias("month"),
+        *dev,
+    )
+    period = F.when(F.length("kw") >= F.lit(min_len), Q.period_of(F.col("month"), end_date))
+    tagged = cleaned.select(
+        "user_id", period.alias("period"), "kw", *(["dev"] if with_device else [])
+    ).select("user_id", "period", F.when(F.col("period").isNotNull(), F.col("kw")).alias("keyword"),
+             *(["dev"] if with_device else []))
     lvl1_aggs = [F.count(F.lit(1)).alias("search_count")]
     if with_device:
-        cols.append(F.struct("log_date", *DEVICE_COLS).alias("dev"))
         lvl1_aggs.append(F.max("dev").alias("dev"))
-    lvl1 = rows.select(*cols).groupBy("user_id", "period", "keyword").agg(*lvl1_aggs)
+    lvl1 = tagged.groupBy("user_id", "period", "keyword").agg(*lvl1_aggs)
 
     key = Q._rank_key(F.col("search_count"), F.col("keyword"))
     lvl2_aggs = [
