@@ -76,6 +76,30 @@ def _window(spark, sf):
     return L.latest_date(logs, "d")
 
 
+def _loaded_fact(spark, sf):
+    """W-30: load the fact twice under the same snapshot (a rerun) and read the table back."""
+    from viewpulse.plans.warehouse import load_table
+
+    path = f"{L._stage_root(spark, sf)}/warehouse/fact_customer_360"
+    fact = _fact(spark, sf)
+    load_table(fact, path, "append")
+    load_table(fact, path, "append")
+    return spark.read.parquet(path).select(*fact.columns)
+
+
+def _daily_run_loyalty(spark, sf):
+    """W-38: the whole daily run over the staged raw logs; returns the loyalty report table."""
+    from viewpulse.plans.daily_run import run_snapshot
+    from viewpulse.sources import dictionary as D
+
+    root = L.stage_logs(spark, sf)
+    kmap_path = f"{root}/mapping"
+    D.write_keyword_map(TD.keyword_map(spark, sf), kmap_path)
+    res = run_snapshot(spark, f"{root}/log_search", f"{root}/log_content", kmap_path, f"{root}/warehouse_run",
+                       START, END, layout="hive")
+    return spark.read.parquet(res.tables["olap_category_loyalty"])
+
+
 def build() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
     q["scan_search_log"] = lambda s, sf: L.staged_search_log(s, sf, START, END)
@@ -105,6 +129,7 @@ def build() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["dim_cust"] = lambda s, sf: ST.dim_cust(_content_profile(s, sf))
     q["dim_date"] = lambda s, sf: ST.dim_date_for_window(_window(s, sf))
     q["fact"] = _fact
+    q["load_snapshot"] = _loaded_fact
     q["report_window"] = lambda s, sf: R.report_window(_fact(s, sf), S.SOURCE_CONTENT)
     q["olap_category_loyalty"] = lambda s, sf: R.category_loyalty(_fact(s, sf), ST.dim_service(s))
     q["olap_category_taste"] = lambda s, sf: R.category_taste(_fact(s, sf), ST.dim_service(s))
@@ -112,4 +137,5 @@ def build() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["olap_taste_diversity"] = lambda s, sf: R.taste_diversity(_fact(s, sf))
     q["olap_search_growth"] = lambda s, sf: R.search_growth(_fact(s, sf))
     q["olap_interest_migration"] = lambda s, sf: R.interest_migration(_fact(s, sf))
+    q["daily_run"] = _daily_run_loyalty
     return q
