@@ -9,6 +9,7 @@ dictionary refresh (W-09..W-12) is a separate job, off the critical path.
 from __future__ import annotations
 
 import datetime as _dt
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,9 +47,14 @@ def _month_end(d: _dt.date) -> _dt.date:
     return nxt - _dt.timedelta(days=1)
 
 
-def _write(df: DataFrame, path: str) -> DataFrame:
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+def _concurrently(jobs, max_workers: int = 8) -> list:
+    """Submit independent Spark jobs from driver threads; they share the executors.
+
+    Errors are re-raised after all jobs finished.
+    """
+    with ThreadPoolExecutor(max_workers=min(max_workers, len(jobs))) as pool:
+        futures = [pool.submit(j) for j in jobs]
+        return [f.result() for f in futures]
 
 
 def run_snapshot(
@@ -81,28 +87,38 @@ def run_snapshot(
     content_log = L.read_content_log(spark, content_root, start, end, layout)
     kmap = D.read_keyword_map(spark, keyword_map_path)
 
-    search = _write(build_search_profile(search_log, kmap, end, start, with_device=True), f"{stage}/search_profile")
-    content = _write(build_content_profile(content_log, start, end), f"{stage}/content_profile")
+    # Stage 1: the two profiles (independent jobs, run concurrently), written.
+    sp_path, cp_path = f"{stage}/search_profile", f"{stage}/content_profile"
+    _concurrently([
+        lambda: build_search_profile(search_log, kmap, end, start, with_device=True)
+        .write.mode("overwrite").parquet(sp_path),
+        lambda: build_content_profile(content_log, start, end).write.mode("overwrite").parquet(cp_path),
+    ])
+    search, content = spark.read.parquet(sp_path), spark.read.parquet(cp_path)
 
+    # Stage 2: fact (history kept per snapshot) and the four dimensions.
     dim_service = ST.dim_service(spark)
     fact = ST.build_fact(ST.build_obt(search, content), dim_service, key)
-    tables = {}
-    tables["fact_customer_360"] = f"{out}/fact_customer_360"
-    load_table(fact, tables["fact_customer_360"], "append")
-    for name, df in {
+    tables = {"fact_customer_360": f"{out}/fact_customer_360"}
+    dims = {
         "dim_user": ST.dim_user(search),
         "dim_cust": ST.dim_cust(content),
         "dim_service": dim_service,
         "dim_date": ST.dim_date(spark, start, _month_end(end)),
-    }.items():
-        tables[name] = f"{out}/{name}"
-        load_table(df, tables[name], "replace")
-
+    }
+    tables.update({name: f"{out}/{name}" for name in dims})
+    _concurrently(
+        [lambda: load_table(fact, tables["fact_customer_360"], "append")]
+        + [(lambda n=n, df=df: load_table(df, tables[n], "replace")) for n, df in dims.items()]
+    )
+
+    # Stage 3: the six reports over the loaded fact.
     fact_t = spark.read.parquet(tables["fact_customer_360"])
     dim_t = spark.read.parquet(tables["dim_service"])
-    for name, build in REPORTS.items():
-        tables[name] = f"{out}/{name}"
-        build(fact_t, dim_t).write.mode("overwrite").parquet(tables[name])
+    tables.update({name: f"{out}/{name}" for name in REPORTS})
+    _concurrently([
+        (lambda n=n, b=b: b(fact_t, dim_t).write.mode("overwrite").parquet(tables[n])) for n, b in REPORTS.items()
+    ])
     return RunResult(start, end, key, tables)
 
 

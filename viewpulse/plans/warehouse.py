@@ -2,10 +2,10 @@
 
 ``append`` keeps history: rows are written partitioned by the snapshot key
 with dynamic partition overwrite, so loading a snapshot again replaces only
-that snapshot (reruns are idempotent) and other snapshots stay.  ``replace``
-overwrites the whole table.  An empty input is skipped, as the source system
-did; inputs are expected to be written tables, so the emptiness probe reads
-a footer, not a plan.
+that snapshot (reruns are idempotent) and other snapshots stay; an empty
+input touches no partition, so it needs no probe.  ``replace`` overwrites
+the whole table; there an empty input is skipped, as the source system did,
+and the probe is cheap because the inputs are written tables.
 """
 
 from __future__ import annotations
@@ -18,8 +18,6 @@ SNAPSHOT_COL = "snapshot_date_key"
 def load_table(df: DataFrame, path: str, mode: str = "append", partition_col: str = SNAPSHOT_COL,
                skip_empty: bool = True) -> bool:
     """Write ``df`` to the parquet table at ``path``; returns False when skipped."""
-    if skip_empty and df.isEmpty():
-        return False
     if mode == "append":
         (
             df.write.mode("overwrite")
@@ -28,6 +26,8 @@ def load_table(df: DataFrame, path: str, mode: str = "append", partition_col: st
             .parquet(path)
         )
     elif mode == "replace":
+        if skip_empty and df.isEmpty():
+            return False
         df.write.mode("overwrite").parquet(path)
     else:
         raise ValueError(f"mode must be 'append' or 'replace', not {mode!r}")
