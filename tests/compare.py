@@ -35,6 +35,15 @@ def _norm(v):
     return v
 
 
+SPARK_TO_DUCK = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "date": "DATE",
+                 "boolean": "BOOLEAN", "smallint": "SMALLINT", "float": "FLOAT"}
+
+
+def type_mismatches(spark_dtypes, duck_cols, duck_types):
+    d = dict(zip(duck_cols, [str(t) for t in duck_types]))
+    return [(c, t, d.get(c)) for c, t in spark_dtypes if SPARK_TO_DUCK.get(t, t) != d.get(c)]
+
+
 def rows_of(cols, rows):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     out = [tuple(_norm(r[i]) for i in order) for r in rows]
@@ -63,13 +72,16 @@ def compare(spark, sf_dir, names=None, verbose=True):
         d_cols = rel.columns
         d_rows = rel.fetchall()
         ok_cols = sorted(s_cols) == sorted(d_cols)
+        bad_types = type_mismatches(df.dtypes, d_cols, rel.types) if ok_cols else []
         a, b = rows_of(s_cols, s_rows), rows_of(d_cols, d_rows)
-        ok = ok_cols and a == b
+        ok = ok_cols and not bad_types and a == b
         results[name] = ("ok" if ok else "MISMATCH", len(s_rows), len(d_rows))
         if verbose:
             print(f"{name:28s} {'OK ' if ok else 'BAD'} spark={len(s_rows)} duck={len(d_rows)} {t1-t0:.1f}s", flush=True)
             if not ok_cols:
                 print("   cols spark", sorted(s_cols), "\n   cols duck ", sorted(d_cols))
+            elif bad_types:
+                print("   types", bad_types)
             elif not ok:
                 sa, sb = set(a), set(b)
                 print("   only spark:", list(sa - sb)[:3])
