@@ -70,3 +70,43 @@ def test_determinism_under_partitioning(spark):
         assert results[0] == results[1]
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_hot_user_and_keyword(spark):
+    """One user holds a third of all rows and one keyword most of theirs: same answer as the
+    step-by-step operators, and every shuffle of the profile sits above a partial aggregate."""
+    from viewpulse.operators import search as Q
+    from viewpulse.plans.profiles import search_pairs
+    from viewpulse.sources.logs import SEARCH_OUT_SCHEMA
+    import datetime as dt
+
+    rows = []
+    for i in range(3000):
+        user = "HOT" if i % 3 == 0 else f"u{i % 97}"
+        kw = "hot keyword" if (user == "HOT" and i % 5) else f"kw {i % 41}"
+        month = 6 if i % 2 else 7
+        day = dt.date(2022, month, 1 + i % 28)
+        rows.append((user, kw, f"{day.isoformat()} 10:00:00", "isp", "box", "wifi", day))
+    log = spark.createDataFrame(rows, SEARCH_OUT_SCHEMA).where(F.col("log_date").between(START, END))
+    stepwise = Q.pair_periods(Q.top_keywords(Q.keyword_counts(Q.with_period(Q.clean_search(log), END))))
+    fused = search_pairs(log, END, START, with_device=True)
+    assert _rows(stepwise) == _rows(fused.select(*stepwise.columns))
+    hot = fused.where(F.col("user_id") == "HOT").first()
+    assert hot["most_searched_prev"] == hot["most_searched_curr"] == "hot keyword"
+    n_hot = log.where((F.col("user_id") == "HOT") & (F.col("keyword") == "hot keyword")).count()
+    assert hot["count_prev"] + hot["count_curr"] == n_hot
+    plan = _plan(fused)
+    physical = plan.split("\n\n")[0]
+    # each Exchange is fed by a partial aggregate (map-side combine), never by raw rows
+    lines = [ln.strip(" :+-") for ln in physical.splitlines()]
+    for i, ln in enumerate(lines):
+        if ln.startswith("Exchange"):
+            assert "Aggregate" in lines[i + 1], physical
+
+
+def test_dictionary_duplicates_do_not_duplicate_users(spark):
+    from viewpulse.plans.profiles import build_search_profile
+
+    kmap = keyword_map(spark).unionByName(spark.createDataFrame([("tom", "Action")], "keyword string, category string"))
+    prof = build_search_profile(search_log(spark), kmap, END, START)
+    assert prof.count() == prof.select("user_id").distinct().count() == 3

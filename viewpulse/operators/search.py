@@ -149,8 +149,10 @@ def map_categories(pairs: DataFrame, kmap: DataFrame) -> DataFrame:
 
     No broadcast hint: the dictionary grows with the keyword space, so the
     join strategy is left to the size estimate and AQE's runtime conversion.
+    Dictionary keys must be unique for one row per user; a repeated keyword
+    is collapsed to its smallest category.
     """
-    d = kmap.select("keyword", "category")
+    d = kmap.groupBy("keyword").agg(F.min("category").alias("category"))
     prev = d.select(F.col("keyword").alias("most_searched_prev"), F.col("category").alias("category_prev"))
     curr = d.select(F.col("keyword").alias("most_searched_curr"), F.col("category").alias("category_curr"))
     return pairs.join(prev, "most_searched_prev", "left").join(curr, "most_searched_curr", "left")
