@@ -17,7 +17,7 @@ def strip_ampm(col: Column | str) -> Column:
 
 
 def search_time_any(col: Column | str) -> Column:
-    """Reference form: first of the accepted formats that parses (NULL if none fits)."""
+    """Plain form: first of the accepted formats that parses (NULL if none fits)."""
     clean = strip_ampm(col)
     return F.coalesce(*[F.try_to_timestamp(clean, F.lit(fmt)) for fmt in S.TIMESTAMP_FORMATS])
 
