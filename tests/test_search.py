@@ -97,3 +97,12 @@ def test_routed_time_parse_equals_four_formats(spark):
     df = spark.createDataFrame([(s,) for s in samples], "datetime string")
     diff = df.where(~search_time("datetime").eqNullSafe(search_time_any("datetime")))
     assert diff.count() == 0
+
+
+def test_decomposed_accents_are_dropped(spark):
+    # Combining marks are not letters: decomposed (NFD) text loses its accents, composed text keeps them.
+    df = spark.createDataFrame([("bo\u0301ng đa\u0301",), ("bóng đá",)], "keyword string")
+    from viewpulse.functions.text import clean_keyword
+
+    got = [r[0] for r in df.select(clean_keyword("keyword")).collect()]
+    assert got == ["bong đa", "bóng đá"]
