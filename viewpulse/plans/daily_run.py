@@ -21,6 +21,7 @@ from viewpulse.operators import search as Q
 from viewpulse.operators import star as ST
 from viewpulse.plans.profiles import build_content_profile, build_search_profile, search_pairs
 from viewpulse.plans.warehouse import load_table
+from viewpulse.session import shared_dir
 from viewpulse.sources import dictionary as D
 from viewpulse.sources import logs as L
 
@@ -72,8 +73,9 @@ def run_snapshot(
 
     ``out`` is the warehouse folder: ``fact_customer_360`` (partitioned by
     snapshot key), ``dim_user``, ``dim_cust``, ``dim_service``, ``dim_date``
-    and the six ``olap_*`` report tables.  ``stage_dir`` holds the profiles
-    (default: ``out/_stage``).
+    and the six ``olap_*`` report tables.  ``stage_dir`` holds the written
+    profiles that cut the lineage (default: the session's shared checkpoint
+    folder, ``spark.checkpoint.dir``).
     """
     window = L.resolve_window(spark, search_root, content_root, start, end)
     if window is None:
@@ -81,7 +83,7 @@ def run_snapshot(
     start, end = window
     key = ST.snapshot_key(end)
     out = out.rstrip("/")
-    stage = (stage_dir or f"{out}/_stage").rstrip("/") + f"/{key}"
+    stage = (stage_dir or f"{shared_dir(spark).rstrip('/')}/viewpulse-stage").rstrip("/") + f"/{key}"
 
     search_log = L.read_search_log(spark, search_root, start, end, layout)
     content_log = L.read_content_log(spark, content_root, start, end, layout)
