@@ -175,6 +175,28 @@ def interest_migration(fact: DataFrame, source: str = S.SOURCE_SEARCH) -> DataFr
     return agg.select("RoiKhoi", "ChuyenSang", "TongUser", share.alias("PhanTram_RoiKhoi"))
 
 
+def content_reports(fact: DataFrame, dim: DataFrame) -> dict[str, DataFrame]:
+    """The four viewing reports, each over the ``log_content`` window."""
+    return {
+        "olap_category_loyalty": category_loyalty(fact, dim),
+        "olap_category_taste": category_taste(fact, dim),
+        "olap_power_vs_casual": power_vs_casual(fact, dim),
+        "olap_taste_diversity": taste_diversity(fact),
+    }
+
+
+def search_reports(fact: DataFrame) -> dict[str, DataFrame]:
+    """The two search reports, each over the ``log_search`` window."""
+    return {
+        "olap_search_growth": search_growth(fact),
+        "olap_interest_migration": interest_migration(fact),
+    }
+
+
+def all_reports(fact: DataFrame, dim: DataFrame) -> dict[str, DataFrame]:
+    return {**content_reports(fact, dim), **search_reports(fact)}
+
+
 # Presentation order of each report (applied when reading a report, not stored).
 REPORT_ORDER = {
     "olap_category_loyalty": [("TiLe_TrungThanh", False)],

@@ -25,14 +25,7 @@ from viewpulse.session import shared_dir
 from viewpulse.sources import dictionary as D
 from viewpulse.sources import logs as L
 
-REPORTS = {
-    "olap_category_loyalty": lambda f, d: R.category_loyalty(f, d),
-    "olap_category_taste": lambda f, d: R.category_taste(f, d),
-    "olap_power_vs_casual": lambda f, d: R.power_vs_casual(f, d),
-    "olap_taste_diversity": lambda f, d: R.taste_diversity(f),
-    "olap_search_growth": lambda f, d: R.search_growth(f),
-    "olap_interest_migration": lambda f, d: R.interest_migration(f),
-}
+REPORTS = list(R.REPORT_ORDER)
 
 
 @dataclass
@@ -117,9 +110,10 @@ def run_snapshot(
     # Stage 3: the six reports over the loaded fact.
     fact_t = spark.read.parquet(tables["fact_customer_360"])
     dim_t = spark.read.parquet(tables["dim_service"])
-    tables.update({name: f"{out}/{name}" for name in REPORTS})
+    reports = R.all_reports(fact_t, dim_t)
+    tables.update({name: f"{out}/{name}" for name in reports})
     _concurrently([
-        (lambda n=n, b=b: b(fact_t, dim_t).write.mode("overwrite").parquet(tables[n])) for n, b in REPORTS.items()
+        (lambda n=n, df=df: df.write.mode("overwrite").parquet(tables[n])) for n, df in reports.items()
     ])
     return RunResult(start, end, key, tables)
 
