@@ -110,3 +110,12 @@ def test_dictionary_duplicates_do_not_duplicate_users(spark):
     kmap = keyword_map(spark).unionByName(spark.createDataFrame([("tom", "Action")], "keyword string, category string"))
     prof = build_search_profile(search_log(spark), kmap, END, START)
     assert prof.count() == prof.select("user_id").distinct().count() == 3
+
+
+def test_expensive_expressions_evaluated_once(spark):
+    from viewpulse.operators import search as Q
+
+    plan = _plan(Q.with_period(Q.clean_search(search_log(spark)), END))
+    # the routed timestamp parse has two exclusive branches; the keyword regex appears once
+    assert plan.count("gettimestamp") == 2, plan
+    assert plan.count("regexp_replace(lower") == 1, plan

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from viewpulse import schemas as S
@@ -47,3 +47,17 @@ def clean_keyword(col: Column | str) -> Column:
     """Lower-case, remove everything but letters, digits and blanks, trim."""
     c = F.col(col) if isinstance(col, str) else col
     return F.trim(F.regexp_replace(F.lower(c), S.KEYWORD_JUNK, ""))
+
+
+def with_computed(df: DataFrame, **cols: Column) -> DataFrame:
+    """Add (or replace) columns whose expressions are expensive, evaluated once per row.
+
+    A later filter on a plain derived column is pushed below its projection
+    with the expression inlined, so a regex or a timestamp parse would run
+    once in the filter and again in the projection.  Producing the columns
+    with a one-row generator (``inline`` of a one-element array) keeps every
+    filter on them above it: each expression is evaluated exactly once.
+    """
+    keep = [F.col(f"`{c}`") for c in df.columns if c not in cols]
+    row = F.struct(*[expr.alias(name) for name, expr in cols.items()])
+    return df.select(*keep, F.inline(F.array(row)))

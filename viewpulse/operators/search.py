@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from viewpulse import schemas as S
-from viewpulse.functions.text import clean_keyword, search_month
+from viewpulse.functions.text import clean_keyword, search_month, with_computed
 
 PREV = "prev"
 CURR = "curr"
@@ -41,12 +41,9 @@ def clean_search(df: DataFrame, min_len: int = S.MIN_KEYWORD_LENGTH) -> DataFram
     Rows without user or keyword, or whose cleaned keyword is shorter than
     ``min_len``, are dropped.  Adds ``month`` (NULL when the time is unparseable).
     """
-    return (
-        df.where(F.col("user_id").isNotNull() & F.col("keyword").isNotNull())
-        .withColumn("keyword", clean_keyword("keyword"))
-        .where(F.length("keyword") >= F.lit(min_len))
-        .withColumn("month", search_month("datetime"))
-    )
+    known = df.where(F.col("user_id").isNotNull() & F.col("keyword").isNotNull())
+    cleaned = with_computed(known, keyword=clean_keyword("keyword"), month=search_month("datetime"))
+    return cleaned.where(F.length("keyword") >= F.lit(min_len))
 
 
 def period_of(month: Column, end_date) -> Column:
