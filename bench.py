@@ -149,6 +149,10 @@ def main() -> None:
         "content_log": spark.read.json(content_root).count(),
         "fact": fact_t().count(),
     }
+    rows_per_sec = {
+        "search_profile": int(rows["search_log"] / times["search_profile"]),
+        "content_profile": int(rows["content_log"] / times["content_profile"]),
+    }
     sf = os.path.basename(sf_dir).replace("sf", "")
     print(json.dumps({
         "metric": "sum_of_median_query_sec",
@@ -161,6 +165,7 @@ def main() -> None:
         "stage_sec": round(stage_sec, 3),
         "ingest_sec": round(ingest_sec, 3),
         "rows": rows,
+        "rows_per_sec": rows_per_sec,
     }))
     spark.stop()
 
