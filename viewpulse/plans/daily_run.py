@@ -95,16 +95,18 @@ def run_snapshot(
     dim_service = ST.dim_service(spark)
     fact = ST.build_fact(ST.build_obt(search, content), dim_service, key)
     tables = {"fact_customer_360": f"{out}/fact_customer_360"}
-    dims = {
-        "dim_user": ST.dim_user(search),
-        "dim_cust": ST.dim_cust(content),
-        "dim_service": dim_service,
-        "dim_date": ST.dim_date(spark, start, _month_end(end)),
-    }
+    # The profiles are written tables keyed by user/contract: no dedupe shuffle, and
+    # an empty dimension is recognised from its profile (a one-row read), as the
+    # source system skipped empty loads.
+    dims = {"dim_service": dim_service, "dim_date": ST.dim_date(spark, start, _month_end(end))}
+    if not search.isEmpty():
+        dims["dim_user"] = ST.dim_user(search, assume_unique=True)
+    if not content.isEmpty():
+        dims["dim_cust"] = ST.dim_cust(content, assume_unique=True)
     tables.update({name: f"{out}/{name}" for name in dims})
     _concurrently(
         [lambda: load_table(fact, tables["fact_customer_360"], "append")]
-        + [(lambda n=n, df=df: load_table(df, tables[n], "replace")) for n, df in dims.items()]
+        + [(lambda n=n, df=df: load_table(df, tables[n], "replace", skip_empty=False)) for n, df in dims.items()]
     )
 
     # Stage 3: the six reports over the loaded fact.
