@@ -13,7 +13,9 @@ def read_keyword_map(spark: SparkSession, path: str) -> DataFrame:
     try:
         return spark.read.schema(S.KEYWORD_MAP_SCHEMA).option("header", True).csv(path)
     except AnalysisException:
-        return spark.createDataFrame([], S.KEYWORD_MAP_SCHEMA)
+        from viewpulse.sources.logs import empty_frame
+
+        return empty_frame(spark, S.KEYWORD_MAP_SCHEMA)
 
 
 def write_keyword_map(df: DataFrame, path: str) -> None:

@@ -44,8 +44,12 @@ def _glob(root: str, start, end, suffix: str) -> str:
     return f"{root}/{{{','.join(_days(start, end))}}}{suffix}"
 
 
-def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)
+def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """A typed empty DataFrame (no rows, no Python-side data)."""
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+_empty = empty_frame
 
 
 SEARCH_OUT_SCHEMA = T.StructType(S.SEARCH_LOG_FIELDS + [T.StructField("log_date", T.DateType())])
