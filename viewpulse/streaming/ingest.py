@@ -1,10 +1,10 @@
 """File-source streams that write per-day partial aggregates, and the
 profile builders that read them.
 
-Partial tables are partitioned by ``batch_id``; a replayed micro-batch
-overwrites its own partition, so the sink is idempotent (exactly-once with
-the stream checkpoint).  Partial rows are keyed by day, so a window filter
-on the day prunes them.
+Partial tables are partitioned by ``batch_id`` and then by day; a replayed
+micro-batch overwrites its own folder, so the sink is idempotent
+(exactly-once with the stream checkpoint), and the window filter of a
+profile build prunes the day partitions.
 """
 
 from __future__ import annotations
@@ -22,15 +22,17 @@ from viewpulse.plans.profiles import DEVICE_COLS, SEARCH_PROFILE_COLS, _in_windo
 from viewpulse.sources.logs import CONTENT_DAY_IN_PATH, SEARCH_DAY_IN_PATH
 
 
-def _write_batch(path: str):
+def _write_batch(path: str, day_col: str):
     def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
+        # one folder per batch (a replay overwrites only itself), split by day for window pruning
+        batch.write.mode("overwrite").partitionBy(day_col).parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
 
     return sink
 
 
-def _start(stream: DataFrame, transform, partials: str, checkpoint: str, name: str | None) -> StreamingQuery:
-    sink = _write_batch(partials)
+def _start(stream: DataFrame, transform, partials: str, checkpoint: str, name: str | None,
+           day_col: str) -> StreamingQuery:
+    sink = _write_batch(partials, day_col)
     w = stream.writeStream.foreachBatch(lambda df, bid: sink(transform(df), bid))
     w = w.option("checkpointLocation", checkpoint).trigger(availableNow=True)
     if name:
@@ -58,7 +60,7 @@ def ingest_content(spark: SparkSession, root: str, partials: str, checkpoint: st
                    max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Stream new content-log files into ``(Contract, Date)`` partial Type sums."""
     stream = _content_stream(spark, root, layout, max_files_per_trigger)
-    return _start(stream, lambda b: C.daily_pivot(C.with_type(b)), partials, checkpoint, None)
+    return _start(stream, lambda b: C.daily_pivot(C.with_type(b)), partials, checkpoint, None, "Date")
 
 
 def content_profile_from_partials(spark: SparkSession, partials: str, start=None, end=None) -> DataFrame:
@@ -106,7 +108,7 @@ def ingest_search(spark: SparkSession, root: str, partials: str, checkpoint: str
                   max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Stream new search-log files into per-day keyword partials."""
     stream = _search_stream(spark, root, layout, max_files_per_trigger)
-    return _start(stream, _search_partials, partials, checkpoint, None)
+    return _start(stream, _search_partials, partials, checkpoint, None, "log_date")
 
 
 def search_profile_from_partials(spark: SparkSession, partials: str, kmap: DataFrame, end_date, start_date=None,
