@@ -61,6 +61,7 @@ def run_snapshot(
     end=None,
     layout: str = "daily",
     stage_dir: str | None = None,
+    incremental_dir: str | None = None,
 ) -> RunResult | None:
     """Build and load one snapshot; returns None when no log day exists.
 
@@ -69,6 +70,11 @@ def run_snapshot(
     and the six ``olap_*`` report tables.  ``stage_dir`` holds the written
     profiles that cut the lineage (default: the session's shared checkpoint
     folder, ``spark.checkpoint.dir``).
+
+    With ``incremental_dir`` the raw logs are not re-read: new files are
+    ingested once by the streams of ``viewpulse.streaming`` (state and
+    partials under that folder) and both profiles are built from the
+    partials, with the same result.
     """
     window = L.resolve_window(spark, search_root, content_root, start, end)
     if window is None:
@@ -78,16 +84,30 @@ def run_snapshot(
     out = out.rstrip("/")
     stage = (stage_dir or f"{shared_dir(spark).rstrip('/')}/viewpulse-stage").rstrip("/") + f"/{key}"
 
-    search_log = L.read_search_log(spark, search_root, start, end, layout)
-    content_log = L.read_content_log(spark, content_root, start, end, layout)
     kmap = D.read_keyword_map(spark, keyword_map_path)
+    if incremental_dir:
+        from viewpulse import streaming as ST_
+
+        inc = incremental_dir.rstrip("/")
+        _concurrently([
+            lambda: ST_.ingest_search(spark, search_root, f"{inc}/search_partials", f"{inc}/search_ckpt",
+                                      layout).awaitTermination(),
+            lambda: ST_.ingest_content(spark, content_root, f"{inc}/content_partials", f"{inc}/content_ckpt",
+                                       layout).awaitTermination(),
+        ])
+        search_df = ST_.search_profile_from_partials(spark, f"{inc}/search_partials", kmap, end, start)
+        content_df = ST_.content_profile_from_partials(spark, f"{inc}/content_partials", start, end)
+    else:
+        search_log = L.read_search_log(spark, search_root, start, end, layout)
+        content_log = L.read_content_log(spark, content_root, start, end, layout)
+        search_df = build_search_profile(search_log, kmap, end, start, with_device=True)
+        content_df = build_content_profile(content_log, start, end)
 
     # Stage 1: the two profiles (independent jobs, run concurrently), written.
     sp_path, cp_path = f"{stage}/search_profile", f"{stage}/content_profile"
     _concurrently([
-        lambda: build_search_profile(search_log, kmap, end, start, with_device=True)
-        .write.mode("overwrite").parquet(sp_path),
-        lambda: build_content_profile(content_log, start, end).write.mode("overwrite").parquet(cp_path),
+        lambda: search_df.write.mode("overwrite").parquet(sp_path),
+        lambda: content_df.write.mode("overwrite").parquet(cp_path),
     ])
     search, content = spark.read.parquet(sp_path), spark.read.parquet(cp_path)
 
