@@ -2,10 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import datetime as _dt
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def as_date(d) -> _dt.date:
+    """A date from a ``date``/``datetime``, ``'YYYYMMDD'``, ``'YYYY-MM-DD'`` or ``YYYYMMDD`` int."""
+    if isinstance(d, _dt.datetime):
+        return d.date()
+    if isinstance(d, _dt.date):
+        return d
+    s = str(d)
+    return _dt.datetime.strptime(s, "%Y%m%d" if len(s) == 8 else "%Y-%m-%d").date()
+
+
+def in_window(df: DataFrame, date_col: str, start=None, end=None) -> DataFrame:
+    """Rows with ``start <= date_col <= end`` (an open side when None); prunes date partitions."""
+    if start is not None:
+        df = df.where(F.col(date_col) >= F.lit(as_date(start)))
+    if end is not None:
+        df = df.where(F.col(date_col) <= F.lit(as_date(end)))
+    return df
+
+
 def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 

@@ -13,24 +13,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from viewpulse import schemas as S
+from viewpulse.functions.dates import as_date
 from viewpulse.functions.text import clean_keyword, search_month, with_computed
 
 PREV = "prev"
 CURR = "curr"
 
 
-def _as_date(d) -> _dt.date:
-    if isinstance(d, _dt.datetime):
-        return d.date()
-    if isinstance(d, _dt.date):
-        return d
-    s = str(d)
-    return _dt.datetime.strptime(s, "%Y%m%d" if len(s) == 8 else "%Y-%m-%d").date()
-
-
 def comparison_months(end_date) -> tuple[int, int]:
     """(previous month, current month) numbers for a snapshot end date."""
-    end = _as_date(end_date)
+    end = as_date(end_date)
     prev = end.replace(day=1) - _dt.timedelta(days=1)
     return prev.month, end.month
 
@@ -61,7 +53,7 @@ def keyword_counts(df: DataFrame) -> DataFrame:
     return df.groupBy("user_id", "period", "keyword").agg(F.count(F.lit(1)).alias("search_count"))
 
 
-def _rank_key(n: Column, kw: Column) -> Column:
+def rank_key(n: Column, kw: Column) -> Column:
     # min over (-count, keyword): largest count, ties to the smallest keyword.
     return F.struct((-n).alias("neg_n"), kw.alias("kw"))
 
@@ -71,7 +63,7 @@ def top_keywords(counts: DataFrame) -> DataFrame:
 
     Output: ``user_id, period, keyword, search_count``.
     """
-    best = F.min(_rank_key(F.col("search_count"), F.col("keyword"))).alias("best")
+    best = F.min(rank_key(F.col("search_count"), F.col("keyword"))).alias("best")
     return counts.groupBy("user_id", "period").agg(best).select(
         "user_id",
         "period",
@@ -80,7 +72,7 @@ def top_keywords(counts: DataFrame) -> DataFrame:
     )
 
 
-def _pair_columns(best_prev: Column, best_curr: Column) -> list[Column]:
+def pair_columns(best_prev: Column, best_curr: Column) -> list[Column]:
     return [
         best_prev.getField("kw").alias("most_searched_prev"),
         (-best_prev.getField("neg_n")).alias("count_prev"),
@@ -96,13 +88,13 @@ def pair_periods(top: DataFrame) -> DataFrame:
     Same rows as a full outer join + both-not-null filter (an inner join),
     done as one conditional aggregate.
     """
-    key = _rank_key(F.col("search_count"), F.col("keyword"))
+    key = rank_key(F.col("search_count"), F.col("keyword"))
     agg = top.groupBy("user_id").agg(
         F.min(F.when(F.col("period") == PREV, key)).alias("bp"),
         F.min(F.when(F.col("period") == CURR, key)).alias("bc"),
     )
     return agg.where(F.col("bp").isNotNull() & F.col("bc").isNotNull()).select(
-        "user_id", *_pair_columns(F.col("bp"), F.col("bc"))
+        "user_id", *pair_columns(F.col("bp"), F.col("bc"))
     )
 
 

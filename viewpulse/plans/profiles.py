@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from viewpulse import schemas as S
+from viewpulse.functions.dates import in_window
 from viewpulse.functions.text import clean_keyword, search_month
 from viewpulse.operators import content as C
 from viewpulse.operators import search as Q
@@ -17,14 +18,6 @@ SEARCH_PROFILE_COLS = [
 DEVICE_COLS = ["proxy_isp", "platform", "networkType"]
 
 
-def _in_window(df: DataFrame, date_col: str, start, end) -> DataFrame:
-    if start is not None:
-        df = df.where(F.col(date_col) >= F.lit(Q._as_date(start)))
-    if end is not None:
-        df = df.where(F.col(date_col) <= F.lit(Q._as_date(end)))
-    return df
-
-
 def search_pairs(log: DataFrame, end_date, start_date=None, with_device: bool = False,
                  min_len: int = S.MIN_KEYWORD_LENGTH) -> DataFrame:
     """W-04..W-08 (and W-22 when ``with_device``) fused into two aggregates.
@@ -36,7 +29,7 @@ def search_pairs(log: DataFrame, end_date, start_date=None, with_device: bool =
     smallest keyword) and the latest device.  Both levels combine map-side,
     so a hot user or keyword is reduced before its shuffle.
     """
-    rows = _in_window(log, "log_date", start_date, end_date).where(F.col("user_id").isNotNull())
+    rows = in_window(log, "log_date", start_date, end_date).where(F.col("user_id").isNotNull())
     # Clean once per row; the second projection only reads the cleaned columns.
     dev = [F.struct("log_date", *DEVICE_COLS).alias("dev")] if with_device else []
     cleaned = rows.select(
@@ -55,7 +48,7 @@ def search_pairs(log: DataFrame, end_date, start_date=None, with_device: bool =
         lvl1_aggs.append(F.max("dev").alias("dev"))
     lvl1 = tagged.groupBy("user_id", "period", "keyword").agg(*lvl1_aggs)
 
-    key = Q._rank_key(F.col("search_count"), F.col("keyword"))
+    key = Q.rank_key(F.col("search_count"), F.col("keyword"))
     lvl2_aggs = [
         F.min(F.when(F.col("period") == Q.PREV, key)).alias("bp"),
         F.min(F.when(F.col("period") == Q.CURR, key)).alias("bc"),
@@ -63,7 +56,7 @@ def search_pairs(log: DataFrame, end_date, start_date=None, with_device: bool =
     if with_device:
         lvl2_aggs.append(F.max("dev").alias("dev"))
     lvl2 = lvl1.groupBy("user_id").agg(*lvl2_aggs)
-    out = ["user_id", *Q._pair_columns(F.col("bp"), F.col("bc"))]
+    out = ["user_id", *Q.pair_columns(F.col("bp"), F.col("bc"))]
     if with_device:
         out += [F.col("dev").getField(c).alias(c) for c in DEVICE_COLS]
     return lvl2.where(F.col("bp").isNotNull() & F.col("bc").isNotNull()).select(*out)
@@ -79,4 +72,4 @@ def build_search_profile(log: DataFrame, kmap: DataFrame, end_date, start_date=N
 
 def build_content_profile(log: DataFrame, start_date=None, end_date=None) -> DataFrame:
     """W-21: per Contract the five duration totals, MostWacth, Taste and Active."""
-    return C.profile_from_daily(C.daily_profile(_in_window(log, "Date", start_date, end_date)))
+    return C.profile_from_daily(C.daily_profile(in_window(log, "Date", start_date, end_date)))

@@ -80,7 +80,7 @@ def _loaded_fact(spark, sf):
     """W-30: load the fact twice under the same snapshot (a rerun) and read the table back."""
     from viewpulse.plans.warehouse import load_table
 
-    path = f"{L._stage_root(spark, sf)}/warehouse/fact_customer_360"
+    path = f"{L.stage_root(spark, sf)}/warehouse/fact_customer_360"
     fact = _fact(spark, sf)
     load_table(fact, path, "append")
     load_table(fact, path, "append")

@@ -25,15 +25,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from viewpulse import schemas as S
-from viewpulse.functions.dates import month_start_before
-from viewpulse.operators.search import _as_date
+from viewpulse.functions.dates import as_date, in_window, month_start_before
 
 SEARCH_DAY_IN_PATH = r"/(\d{8})/[^/]+$"
 CONTENT_DAY_IN_PATH = r"/(\d{8})\.json(/[^/]+)?$"
 
 
 def _days(start, end) -> list[str]:
-    s, e = _as_date(start), _as_date(end)
+    s, e = as_date(start), as_date(end)
     return [(s + _dt.timedelta(days=i)).strftime("%Y%m%d") for i in range((e - s).days + 1)]
 
 
@@ -56,14 +55,6 @@ SEARCH_OUT_SCHEMA = T.StructType(S.SEARCH_LOG_FIELDS + [T.StructField("log_date"
 CONTENT_OUT_SCHEMA = T.StructType(S.CONTENT_FIELDS + [T.StructField("Date", T.DateType())])
 
 
-def _between(df: DataFrame, col: str, start, end) -> DataFrame:
-    if start is not None:
-        df = df.where(F.col(col) >= F.lit(_as_date(start)))
-    if end is not None:
-        df = df.where(F.col(col) <= F.lit(_as_date(end)))
-    return df
-
-
 def read_search_log(spark: SparkSession, root: str, start=None, end=None, layout: str = "daily") -> DataFrame:
     """W-01: search-log rows of every existing day in ``[start, end]``.
 
@@ -72,7 +63,7 @@ def read_search_log(spark: SparkSession, root: str, start=None, end=None, layout
     try:
         if layout == "hive":
             df = spark.read.schema(SEARCH_OUT_SCHEMA).parquet(root)
-            return _between(df, "log_date", start, end).select(*SEARCH_OUT_SCHEMA.fieldNames())
+            return in_window(df, "log_date", start, end).select(*SEARCH_OUT_SCHEMA.fieldNames())
         df = spark.read.schema(S.SEARCH_LOG_SCHEMA).parquet(_glob(root, start, end, ""))
     except AnalysisException:
         return _empty(spark, SEARCH_OUT_SCHEMA)
@@ -92,7 +83,7 @@ def read_content_log(spark: SparkSession, root: str, start=None, end=None, layou
     try:
         if layout == "hive":
             schema = T.StructType(S.CONTENT_FILE_SCHEMA.fields + [T.StructField("Date", T.DateType())])
-            df = _between(spark.read.schema(schema).json(root), "Date", start, end)
+            df = in_window(spark.read.schema(schema).json(root), "Date", start, end)
             return df.select(*_unwrap(df), "Date")
         df = spark.read.schema(S.CONTENT_FILE_SCHEMA).json(_glob(root, start, end, ".json"))
     except AnalysisException:
@@ -144,10 +135,10 @@ def resolve_window(spark: SparkSession, search_root: str | None, content_root: s
         if row is None or row["max_date"] is None:
             return None
         end = row["max_date"]
-    end = _as_date(end)
+    end = as_date(end)
     if start is None:
         start = (end.replace(day=1) - _dt.timedelta(days=1)).replace(day=1)
-    return _as_date(start), end
+    return as_date(start), end
 
 
 # --- staging of the test adapters (for the scan queries) ---------------------------
@@ -155,7 +146,7 @@ def resolve_window(spark: SparkSession, search_root: str | None, content_root: s
 _STAGED: dict[str, str] = {}
 
 
-def _stage_root(spark: SparkSession, sf_dir: str) -> str:
+def stage_root(spark: SparkSession, sf_dir: str) -> str:
     from viewpulse.session import shared_dir
 
     key = hashlib.sha1(sf_dir.encode()).hexdigest()[:12]
@@ -168,7 +159,7 @@ def stage_logs(spark: SparkSession, sf_dir: str) -> str:
 
     if sf_dir in _STAGED:
         return _STAGED[sf_dir]
-    root = _stage_root(spark, sf_dir)
+    root = stage_root(spark, sf_dir)
     TD.search_log(spark, sf_dir).write.mode("overwrite").partitionBy("log_date").parquet(f"{root}/log_search")
     TD.content_log(spark, sf_dir).write.mode("overwrite").partitionBy("Date").json(f"{root}/log_content")
     _STAGED[sf_dir] = root

@@ -18,7 +18,8 @@ from viewpulse import schemas as S
 from viewpulse.functions.text import clean_keyword, search_month
 from viewpulse.operators import content as C
 from viewpulse.operators import search as Q
-from viewpulse.plans.profiles import DEVICE_COLS, SEARCH_PROFILE_COLS, _in_window
+from viewpulse.functions.dates import in_window
+from viewpulse.plans.profiles import DEVICE_COLS, SEARCH_PROFILE_COLS
 from viewpulse.sources.logs import CONTENT_DAY_IN_PATH, SEARCH_DAY_IN_PATH
 
 
@@ -65,7 +66,7 @@ def ingest_content(spark: SparkSession, root: str, partials: str, checkpoint: st
 
 def content_profile_from_partials(spark: SparkSession, partials: str, start=None, end=None) -> DataFrame:
     """W-21 from the partials: merge the batches per day, then the usual day-to-contract fold."""
-    p = _in_window(spark.read.parquet(partials), "Date", start, end)
+    p = in_window(spark.read.parquet(partials), "Date", start, end)
     daily = p.groupBy("Contract", "Date").agg(*[F.sum(F.col(f"`{t}`")).alias(t) for t in S.TYPES])
     return C.profile_from_daily(C.with_taste(C.with_most_watch(daily)))
 
@@ -114,7 +115,7 @@ def ingest_search(spark: SparkSession, root: str, partials: str, checkpoint: str
 def search_profile_from_partials(spark: SparkSession, partials: str, kmap: DataFrame, end_date, start_date=None,
                                  with_device: bool = True, min_len: int = S.MIN_KEYWORD_LENGTH) -> DataFrame:
     """W-15 from the partials: same two-level aggregate as the batch build."""
-    p = _in_window(spark.read.parquet(partials), "log_date", start_date, end_date)
+    p = in_window(spark.read.parquet(partials), "log_date", start_date, end_date)
     period = F.when(F.length("keyword") >= F.lit(min_len), Q.period_of(F.col("month"), end_date))
     tagged = p.select("user_id", period.alias("period"), "keyword", "n", "dev").select(
         "user_id", "period", F.when(F.col("period").isNotNull(), F.col("keyword")).alias("keyword"), "n", "dev"
@@ -122,7 +123,7 @@ def search_profile_from_partials(spark: SparkSession, partials: str, kmap: DataF
     lvl1 = tagged.groupBy("user_id", "period", "keyword").agg(
         F.sum("n").alias("search_count"), F.max("dev").alias("dev")
     )
-    key = Q._rank_key(F.col("search_count"), F.col("keyword"))
+    key = Q.rank_key(F.col("search_count"), F.col("keyword"))
     lvl2 = lvl1.groupBy("user_id").agg(
         F.min(F.when(F.col("period") == Q.PREV, key)).alias("bp"),
         F.min(F.when(F.col("period") == Q.CURR, key)).alias("bc"),
@@ -130,7 +131,7 @@ def search_profile_from_partials(spark: SparkSession, partials: str, kmap: DataF
     )
     pairs = lvl2.where(F.col("bp").isNotNull() & F.col("bc").isNotNull()).select(
         "user_id",
-        *Q._pair_columns(F.col("bp"), F.col("bc")),
+        *Q.pair_columns(F.col("bp"), F.col("bc")),
         *[F.col("dev").getField(c).alias(c) for c in DEVICE_COLS],
     )
     prof = Q.category_shift(Q.map_categories(pairs, kmap))
