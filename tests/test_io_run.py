@@ -47,6 +47,8 @@ def test_read_daily_layout_range(spark, scratch):
 
 def test_window_from_listing(spark, scratch):
     _write_daily_logs(spark, scratch)
+    with open(f"{scratch}/search/README.txt", "w") as fh:  # a stray file must not break the listing
+        fh.write("not a log\n")
     start, end = L.resolve_window(spark, f"{scratch}/search", f"{scratch}/content")
     assert (start, end) == (START, END.replace(day=6))  # newest day on disk: 2022-07-06
     assert L.resolve_window(spark, f"{scratch}/search", None, "20220601", "20220714") == (START, END)

@@ -38,7 +38,7 @@ def date_key(col: Column | str) -> Column:
 
 def yyyymmdd_to_date(col: Column | str) -> Column:
     """Integer or string ``yyyyMMdd`` -> DATE."""
-    return F.to_date(_c(col).cast("string"), "yyyyMMdd")
+    return F.try_to_date(_c(col).cast("string"), "yyyyMMdd")
 
 
 def month_start_before(col: Column | str) -> Column:

@@ -67,7 +67,7 @@ def read_search_log(spark: SparkSession, root: str, start=None, end=None, layout
         df = spark.read.schema(S.SEARCH_LOG_SCHEMA).parquet(_glob(root, start, end, ""))
     except AnalysisException:
         return _empty(spark, SEARCH_OUT_SCHEMA)
-    day = F.to_date(F.regexp_extract(F.col("_metadata.file_path"), SEARCH_DAY_IN_PATH, 1), "yyyyMMdd")
+    day = F.try_to_date(F.regexp_extract(F.col("_metadata.file_path"), SEARCH_DAY_IN_PATH, 1), "yyyyMMdd")
     return df.select(*S.SEARCH_LOG_SCHEMA.fieldNames(), day.alias("log_date"))
 
 
@@ -88,7 +88,7 @@ def read_content_log(spark: SparkSession, root: str, start=None, end=None, layou
         df = spark.read.schema(S.CONTENT_FILE_SCHEMA).json(_glob(root, start, end, ".json"))
     except AnalysisException:
         return _empty(spark, CONTENT_OUT_SCHEMA)
-    day = F.to_date(F.regexp_extract(F.col("_metadata.file_path"), CONTENT_DAY_IN_PATH, 1), "yyyyMMdd")
+    day = F.try_to_date(F.regexp_extract(F.col("_metadata.file_path"), CONTENT_DAY_IN_PATH, 1), "yyyyMMdd")
     return df.select(*_unwrap(df), day.alias("Date"))
 
 
@@ -109,7 +109,7 @@ def days_on_disk(spark: SparkSession, root: str, kind: str = "search") -> DataFr
         files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     except AnalysisException:
         return _empty(spark, T.StructType([T.StructField("log_date", T.DateType())]))
-    day = F.to_date(F.regexp_extract("path", pattern, 1), "yyyyMMdd")
+    day = F.try_to_date(F.regexp_extract("path", pattern, 1), "yyyyMMdd")
     return files.select(day.alias("log_date")).where(F.col("log_date").isNotNull())
 
 

@@ -53,7 +53,7 @@ def _content_stream(spark: SparkSession, root: str, layout: str, max_files: int
         schema = T.StructType(S.CONTENT_FILE_SCHEMA.fields + [T.StructField("Date", T.DateType())])
         return reader.schema(schema).json(root).select(*unwrap, "Date")
     src = reader.schema(S.CONTENT_FILE_SCHEMA).json(f"{root.rstrip('/')}/*.json")
-    day = F.to_date(F.regexp_extract(F.col("_metadata.file_path"), CONTENT_DAY_IN_PATH, 1), "yyyyMMdd")
+    day = F.try_to_date(F.regexp_extract(F.col("_metadata.file_path"), CONTENT_DAY_IN_PATH, 1), "yyyyMMdd")
     return src.select(*unwrap, day.alias("Date"))
 
 
@@ -83,7 +83,7 @@ def _search_stream(spark: SparkSession, root: str, layout: str, max_files: int |
         schema = T.StructType(S.SEARCH_LOG_FIELDS + [T.StructField("log_date", T.DateType())])
         return reader.schema(schema).parquet(root).select(*cols, "log_date")
     src = reader.schema(S.SEARCH_LOG_SCHEMA).parquet(f"{root.rstrip('/')}/*/")
-    day = F.to_date(F.regexp_extract(F.col("_metadata.file_path"), SEARCH_DAY_IN_PATH, 1), "yyyyMMdd")
+    day = F.try_to_date(F.regexp_extract(F.col("_metadata.file_path"), SEARCH_DAY_IN_PATH, 1), "yyyyMMdd")
     return src.select(*cols, day.alias("log_date"))
 
 
