@@ -32,12 +32,18 @@ def shared_dir(spark: SparkSession) -> str:
     ``spark.checkpoint.dir`` setting).  Only when neither is set (local
     tests) a fresh temporary folder is created and registered.
     """
-    sc = spark.sparkContext
-    d = sc.getCheckpointDir()
+    try:  # classic sessions; a Spark Connect session has no SparkContext
+        sc = spark.sparkContext
+        d = sc.getCheckpointDir()
+    except Exception:
+        sc, d = None, None
     if d:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="viewpulse-shared-")
-    sc.setCheckpointDir(d)
-    return sc.getCheckpointDir() or d
+    if d:
+        return d
+    d = tempfile.mkdtemp(prefix="viewpulse-shared-")  # local runs only
+    if sc is not None:
+        sc.setCheckpointDir(d)
+        return sc.getCheckpointDir() or d
+    return d
