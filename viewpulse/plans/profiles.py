@@ -48,14 +48,23 @@ def search_pairs(log: DataFrame, end_date, start_date=None, with_device: bool =
         lvl1_aggs.append(F.max("dev").alias("dev"))
     lvl1 = tagged.groupBy("user_id", "period", "keyword").agg(*lvl1_aggs)
 
+    return top_pairs(lvl1, with_device)
+
+
+def top_pairs(lvl1: DataFrame, with_device: bool = False) -> DataFrame:
+    """Level 2: per user the top keyword of each period (largest ``search_count``,
+    smallest keyword) and the largest ``dev`` struct; users with both periods only.
+
+    ``lvl1`` has ``user_id, period, keyword, search_count`` (+ ``dev``).
+    """
     key = Q.rank_key(F.col("search_count"), F.col("keyword"))
-    lvl2_aggs = [
+    aggs = [
         F.min(F.when(F.col("period") == Q.PREV, key)).alias("bp"),
         F.min(F.when(F.col("period") == Q.CURR, key)).alias("bc"),
     ]
     if with_device:
-        lvl2_aggs.append(F.max("dev").alias("dev"))
-    lvl2 = lvl1.groupBy("user_id").agg(*lvl2_aggs)
+        aggs.append(F.max("dev").alias("dev"))
+    lvl2 = lvl1.groupBy("user_id").agg(*aggs)
     out = ["user_id", *Q.pair_columns(F.col("bp"), F.col("bc"))]
     if with_device:
         out += [F.col("dev").getField(c).alias(c) for c in DEVICE_COLS]

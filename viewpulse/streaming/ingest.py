@@ -19,7 +19,7 @@ from viewpulse.functions.text import clean_keyword, search_month
 from viewpulse.operators import content as C
 from viewpulse.operators import search as Q
 from viewpulse.functions.dates import in_window
-from viewpulse.plans.profiles import DEVICE_COLS, SEARCH_PROFILE_COLS
+from viewpulse.plans.profiles import DEVICE_COLS, SEARCH_PROFILE_COLS, top_pairs
 from viewpulse.sources.logs import CONTENT_DAY_IN_PATH, SEARCH_DAY_IN_PATH
 
 
@@ -123,16 +123,6 @@ def search_profile_from_partials(spark: SparkSession, partials: str, kmap: DataF
     lvl1 = tagged.groupBy("user_id", "period", "keyword").agg(
         F.sum("n").alias("search_count"), F.max("dev").alias("dev")
     )
-    key = Q.rank_key(F.col("search_count"), F.col("keyword"))
-    lvl2 = lvl1.groupBy("user_id").agg(
-        F.min(F.when(F.col("period") == Q.PREV, key)).alias("bp"),
-        F.min(F.when(F.col("period") == Q.CURR, key)).alias("bc"),
-        F.max("dev").alias("dev"),
-    )
-    pairs = lvl2.where(F.col("bp").isNotNull() & F.col("bc").isNotNull()).select(
-        "user_id",
-        *Q.pair_columns(F.col("bp"), F.col("bc")),
-        *[F.col("dev").getField(c).alias(c) for c in DEVICE_COLS],
-    )
+    pairs = top_pairs(lvl1, with_device=True)
     prof = Q.category_shift(Q.map_categories(pairs, kmap))
     return prof.select(*SEARCH_PROFILE_COLS, *(DEVICE_COLS if with_device else []))
