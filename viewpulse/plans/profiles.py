@@ -1,4 +1,4 @@
-"""W-15 search profile and W-21 content profile, each one scan and two shuffles."""
+"""W-15 search profile and W-21 content profile: one scan and two aggregation shuffles each."""
 
 from __future__ import annotations
 
