@@ -78,3 +78,25 @@ def test_refresh_keyword_map(spark, scratch):
     assert got["tom"] == "Animation"  # existing entry kept
     assert got["zzz"] == "Other" and got["love story"] == "Romance"
     assert D.read_keyword_map(spark, f"{scratch}/nowhere").count() == 0
+
+
+def test_catalog_tables(spark, scratch):
+    from fixtures import content_log, keyword_map, search_log
+    from viewpulse.operators import star as ST
+    from viewpulse.plans.profiles import build_content_profile, build_search_profile
+    from viewpulse.plans.warehouse import load_table
+
+    _write_daily_logs(spark, scratch)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS vp_test LOCATION '{scratch}/db'")
+    args = (spark, f"{scratch}/search", f"{scratch}/content", f"{scratch}/map/mapping.csv", f"{scratch}/wh")
+    run_snapshot(*args, end="20220714", database="vp_test")
+    run_snapshot(*args, end="20220714", database="vp_test")  # rerun: same rows
+    assert spark.table("vp_test.fact_customer_360").count() == 10
+    # an older snapshot is appended next to the newest one
+    sp = build_search_profile(search_log(spark), keyword_map(spark), END, START, with_device=True)
+    older = ST.build_fact(ST.build_obt(sp, build_content_profile(content_log(spark))), ST.dim_service(spark), 20220630)
+    load_table(older, f"{scratch}/wh/fact_customer_360", "append", table="vp_test.fact_customer_360")
+    keys = {r[0]: r[1] for r in spark.table("vp_test.fact_customer_360").groupBy("snapshot_date_key").count().collect()}
+    assert keys == {20220714: 10, 20220630: 10}
+    assert spark.table("vp_test.olap_category_loyalty").count() == 3
+    spark.sql("DROP DATABASE vp_test CASCADE")

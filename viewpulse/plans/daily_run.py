@@ -62,6 +62,7 @@ def run_snapshot(
     layout: str = "daily",
     stage_dir: str | None = None,
     incremental_dir: str | None = None,
+    database: str | None = None,
 ) -> RunResult | None:
     """Build and load one snapshot; returns None when no log day exists.
 
@@ -75,6 +76,9 @@ def run_snapshot(
     ingested once by the streams of ``viewpulse.streaming`` (state and
     partials under that folder) and both profiles are built from the
     partials, with the same result.
+
+    With ``database`` every output is also registered as a catalog table
+    ``database.<name>`` (external parquet at the same path).
     """
     window = L.resolve_window(spark, search_root, content_root, start, end)
     if window is None:
@@ -127,9 +131,14 @@ def run_snapshot(
     # Sorted by source inside each task (no shuffle): the reports filter on
     # data_source, and parquet row-group statistics then skip the other sources.
     fact_sorted = fact.sortWithinPartitions("data_source")
+    def qualified(name: str) -> str | None:
+        return f"{database}.{name}" if database else None
+
     _concurrently(
-        [lambda: load_table(fact_sorted, tables["fact_customer_360"], "append")]
-        + [(lambda n=n, df=df: load_table(df, tables[n], "replace", skip_empty=False)) for n, df in dims.items()]
+        [lambda: load_table(fact_sorted, tables["fact_customer_360"], "append",
+                            table=qualified("fact_customer_360"))]
+        + [(lambda n=n, df=df: load_table(df, tables[n], "replace", skip_empty=False, table=qualified(n)))
+           for n, df in dims.items()]
     )
 
     # Stage 3: the six reports over the loaded fact.
@@ -138,7 +147,8 @@ def run_snapshot(
     reports = R.all_reports(fact_t, dim_t)
     tables.update({name: f"{out}/{name}" for name in reports})
     _concurrently([
-        (lambda n=n, df=df: df.write.mode("overwrite").parquet(tables[n])) for n, df in reports.items()
+        (lambda n=n, df=df: load_table(df, tables[n], "replace", skip_empty=False, table=qualified(n)))
+        for n, df in reports.items()
     ])
     return RunResult(start, end, key, tables)
 

@@ -16,19 +16,28 @@ SNAPSHOT_COL = "snapshot_date_key"
 
 
 def load_table(df: DataFrame, path: str, mode: str = "append", partition_col: str = SNAPSHOT_COL,
-               skip_empty: bool = True) -> bool:
-    """Write ``df`` to the parquet table at ``path``; returns False when skipped."""
+               skip_empty: bool = True, table: str | None = None) -> bool:
+    """Write ``df`` to the parquet table at ``path``; returns False when skipped.
+
+    With ``table`` the data is also a catalog table (external, at ``path``):
+    created on the first load, and later snapshot loads go through
+    ``insertInto`` with dynamic partition overwrite, which keeps the other
+    snapshots (``saveAsTable`` in overwrite mode would replace the table).
+    """
+    if mode not in ("append", "replace"):
+        raise ValueError(f"mode must be 'append' or 'replace', not {mode!r}")
+    if mode == "replace" and skip_empty and df.isEmpty():
+        return False
+    spark = df.sparkSession
+    if table is not None and mode == "append" and spark.catalog.tableExists(table):
+        target_cols = spark.table(table).columns  # insertInto is positional
+        df.select(*target_cols).write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
+        return True
+    w = df.write.mode("overwrite")
     if mode == "append":
-        (
-            df.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(partition_col)
-            .parquet(path)
-        )
-    elif mode == "replace":
-        if skip_empty and df.isEmpty():
-            return False
-        df.write.mode("overwrite").parquet(path)
+        w = w.option("partitionOverwriteMode", "dynamic").partitionBy(partition_col)
+    if table is None:
+        w.parquet(path)
     else:
-        raise ValueError(f"mode must be 'append' or 'replace', not {mode!r}")
+        w.format("parquet").option("path", path).saveAsTable(table)
     return True
