@@ -23,6 +23,11 @@ from viewpulse.plans.profiles import DEVICE_COLS, SEARCH_PROFILE_COLS, top_pairs
 from viewpulse.sources.logs import CONTENT_DAY_IN_PATH, SEARCH_DAY_IN_PATH
 
 
+# A backlog (first run over history) is split into micro-batches of at most
+# this many files; ``availableNow`` then runs them one after another.
+MAX_FILES_PER_BATCH = 10_000
+
+
 def _write_batch(path: str, day_col: str):
     def sink(batch: DataFrame, batch_id: int) -> None:
         # one folder per batch (a replay overwrites only itself), split by day for window pruning
@@ -58,7 +63,7 @@ def _content_stream(spark: SparkSession, root: str, layout: str, max_files: int
 
 
 def ingest_content(spark: SparkSession, root: str, partials: str, checkpoint: str, layout: str = "daily",
-                   max_files_per_trigger: int | None = None) -> StreamingQuery:
+                   max_files_per_trigger: int | None = MAX_FILES_PER_BATCH) -> StreamingQuery:
     """Stream new content-log files into ``(Contract, Date)`` partial Type sums."""
     stream = _content_stream(spark, root, layout, max_files_per_trigger)
     return _start(stream, lambda b: C.daily_pivot(C.with_type(b)), partials, checkpoint, None, "Date")
@@ -106,7 +111,7 @@ def _search_partials(batch: DataFrame) -> DataFrame:
 
 
 def ingest_search(spark: SparkSession, root: str, partials: str, checkpoint: str, layout: str = "daily",
-                  max_files_per_trigger: int | None = None) -> StreamingQuery:
+                  max_files_per_trigger: int | None = MAX_FILES_PER_BATCH) -> StreamingQuery:
     """Stream new search-log files into per-day keyword partials."""
     stream = _search_stream(spark, root, layout, max_files_per_trigger)
     return _start(stream, _search_partials, partials, checkpoint, None, "log_date")
