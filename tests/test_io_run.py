@@ -100,3 +100,12 @@ def test_catalog_tables(spark, scratch):
     assert keys == {20220714: 10, 20220630: 10}
     assert spark.table("vp_test.olap_category_loyalty").count() == 3
     spark.sql("DROP DATABASE vp_test CASCADE")
+
+
+def test_no_log_days(spark, scratch):
+    import os
+
+    os.makedirs(f"{scratch}/empty_s"), os.makedirs(f"{scratch}/empty_c")
+    assert L.resolve_window(spark, f"{scratch}/empty_s", f"{scratch}/empty_c") is None
+    assert run_snapshot(spark, f"{scratch}/empty_s", f"{scratch}/empty_c", f"{scratch}/none.csv", f"{scratch}/wh") is None
+    assert L.read_content_log(spark, f"{scratch}/empty_c", "20220601", "20220714").count() == 0
