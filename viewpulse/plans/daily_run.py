@@ -14,7 +14,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from viewpulse import schemas as S
 from viewpulse.operators import keywords as K
 from viewpulse.operators import reports as R
 from viewpulse.operators import search as Q
@@ -174,4 +173,4 @@ def refresh_keyword_map(
     return D.read_keyword_map(spark, new_map_path)
 
 
-__all__ = ["run_snapshot", "refresh_keyword_map", "REPORTS", "S"]
+__all__ = ["run_snapshot", "refresh_keyword_map", "REPORTS"]
