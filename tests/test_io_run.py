@@ -64,6 +64,12 @@ def test_run_snapshot_end_to_end(spark, scratch):
     assert fact.count() == 10
     loyal = {tuple(r) for r in spark.read.parquet(res.tables["olap_category_loyalty"]).collect()}
     assert ("Entertainment", "Giai Tri", 2, 1, 1, 50.0) in loyal
+    from viewpulse.plans.warehouse import register_views
+
+    register_views(spark, res.tables)
+    top = spark.sql("SELECT Category FROM olap_category_loyalty ORDER BY TiLe_TrungThanh DESC, Category LIMIT 1")
+    assert top.first()[0] == "Giai Tri"
+    assert spark.sql("SELECT count(*) FROM fact_customer_360 WHERE data_source = 'log_content'").first()[0] == 7
     # rerun is idempotent
     run_snapshot(spark, f"{scratch}/search", f"{scratch}/content", f"{scratch}/map/mapping.csv", out, end="20220714")
     assert spark.read.parquet(res.tables["fact_customer_360"]).count() == 10

@@ -15,7 +15,7 @@ from viewpulse.operators.reports import all_reports, content_reports, search_rep
 from viewpulse.operators.star import build_fact, build_obt, dim_cust, dim_date, dim_service, dim_user
 from viewpulse.plans.daily_run import refresh_keyword_map, run_snapshot
 from viewpulse.plans.profiles import build_content_profile, build_search_profile
-from viewpulse.plans.warehouse import load_table
+from viewpulse.plans.warehouse import load_table, register_views
 from viewpulse.sources.dictionary import read_keyword_map, write_keyword_map
 from viewpulse.sources.logs import latest_date, read_content_log, read_search_log, resolve_window
 
@@ -36,6 +36,7 @@ __all__ = [
     "read_keyword_map",
     "read_search_log",
     "refresh_keyword_map",
+    "register_views",
     "resolve_window",
     "run_snapshot",
     "search_reports",

@@ -41,3 +41,14 @@ def load_table(df: DataFrame, path: str, mode: str = "append", partition_col: st
     else:
         w.format("parquet").option("path", path).saveAsTable(table)
     return True
+
+
+def register_views(spark, tables: dict[str, str]) -> list[str]:
+    """Expose written tables (name -> path) as temporary views for ``spark.sql``.
+
+    E.g. the ``tables`` of a ``run_snapshot`` result: ``fact_customer_360``,
+    the dimensions and the six ``olap_*`` reports.
+    """
+    for name, path in tables.items():
+        spark.read.parquet(path).createOrReplaceTempView(name)
+    return sorted(tables)
