@@ -1,7 +1,9 @@
 """The six marketing reports over the fact table (W-31..W-37).
 
 Each report reads the snapshots of one ``data_source`` from the first day of
-the month before the newest snapshot up to the newest one.  The window bounds
+the month before the newest snapshot up to the newest one.  Profiles seen in
+both logs are left out by default (the report contract); ``include_both=True``
+counts them too.  The window bounds
 are scalar subqueries (one tiny aggregate each, run once), not joins.
 
 Distinct user counts are two-level aggregates: first by (report keys,
@@ -20,8 +22,15 @@ from viewpulse import schemas as S
 from viewpulse.functions.dates import date_key, yyyymmdd_to_date
 
 
-def _window_cols(fact: DataFrame, source: str) -> dict[str, Column]:
-    max_key = fact.where(F.col("data_source") == F.lit(source)).agg(
+def _sources(source: str, include_both: bool) -> Column:
+    """The report's profiles: one source (default), or also the profiles seen in both logs."""
+    if include_both:
+        return F.col("data_source").isin(source, S.SOURCE_BOTH)
+    return F.col("data_source") == F.lit(source)
+
+
+def _window_cols(fact: DataFrame, source: str, include_both: bool = False) -> dict[str, Column]:
+    max_key = fact.where(_sources(source, include_both)).agg(
         F.max("snapshot_date_key").cast("long").alias("m")
     ).scalar()
     max_d = yyyymmdd_to_date(max_key)
@@ -49,12 +58,9 @@ def report_window(fact: DataFrame, source: str = S.SOURCE_CONTENT) -> DataFrame:
     )
 
 
-def _scoped(fact: DataFrame, source: str) -> tuple[DataFrame, dict[str, Column]]:
-    w = _window_cols(fact, source)
-    f = fact.where(
-        (F.col("data_source") == F.lit(source))
-        & F.col("snapshot_date_key").between(w["min_date"], w["max_date"])
-    )
+def _scoped(fact: DataFrame, source: str, include_both: bool = False) -> tuple[DataFrame, dict[str, Column]]:
+    w = _window_cols(fact, source, include_both)
+    f = fact.where(_sources(source, include_both) & F.col("snapshot_date_key").between(w["min_date"], w["max_date"]))
     return f, w
 
 
@@ -80,9 +86,10 @@ def _distinct_users(f: DataFrame, keys: list[str], flags: dict[str, Column] | No
     )
 
 
-def category_loyalty(fact: DataFrame, dim: DataFrame, source: str = S.SOURCE_CONTENT) -> DataFrame:
+def category_loyalty(fact: DataFrame, dim: DataFrame, source: str = S.SOURCE_CONTENT,
+                     include_both: bool = False) -> DataFrame:
     """W-32: per (CategoryGroup, Category): users, loyal (High) users, at-risk (Low) users, % loyal."""
-    f, _ = _scoped(fact, source)
+    f, _ = _scoped(fact, source, include_both)
     f = _with_service(f, dim)
     agg = _distinct_users(
         f,
@@ -95,18 +102,20 @@ def category_loyalty(fact: DataFrame, dim: DataFrame, source: str = S.SOURCE_CON
     )
 
 
-def category_taste(fact: DataFrame, dim: DataFrame, source: str = S.SOURCE_CONTENT) -> DataFrame:
+def category_taste(fact: DataFrame, dim: DataFrame, source: str = S.SOURCE_CONTENT,
+                   include_both: bool = False) -> DataFrame:
     """W-33: per (CategoryGroup, Category, Taste): users and their share within the Category."""
-    f, _ = _scoped(fact, source)
+    f, _ = _scoped(fact, source, include_both)
     f = _with_service(f.where(F.col("Taste").isNotNull()), dim)
     agg = _distinct_users(f, ["CategoryGroup", "Category", "Taste"])
     share = _pct(F.col("TongUser"), F.sum("TongUser").over(Window.partitionBy("Category")))
     return agg.select("CategoryGroup", "Category", "Taste", "TongUser", share.alias("PhanTram_TrongCategory"))
 
 
-def power_vs_casual(fact: DataFrame, dim: DataFrame, source: str = S.SOURCE_CONTENT) -> DataFrame:
+def power_vs_casual(fact: DataFrame, dim: DataFrame, source: str = S.SOURCE_CONTENT,
+                    include_both: bool = False) -> DataFrame:
     """W-34: per (Active, CategoryGroup, Category): users and their share within the Active group."""
-    f, _ = _scoped(fact, source)
+    f, _ = _scoped(fact, source, include_both)
     f = _with_service(f, dim).withColumnRenamed("Active", "UserType")
     agg = _distinct_users(f, ["UserType", "CategoryGroup", "Category"])
     share = _pct(F.col("TongUser"), F.sum("TongUser").over(Window.partitionBy("UserType")))
@@ -125,26 +134,26 @@ def genre_bucket(taste: Column) -> Column:
     )
 
 
-def taste_diversity(fact: DataFrame, source: str = S.SOURCE_CONTENT) -> DataFrame:
+def taste_diversity(fact: DataFrame, source: str = S.SOURCE_CONTENT, include_both: bool = False) -> DataFrame:
     """W-35: per (genre-count bucket, Active): users and share of all users in the report.
 
     The grand total is a window over the aggregated rows, whose count is
     bounded by 4 buckets x the Active values.
     """
-    f, _ = _scoped(fact, source)
+    f, _ = _scoped(fact, source, include_both)
     f = f.where(F.col("Taste").isNotNull()).withColumn("SoTheLoaiXem", genre_bucket(F.col("Taste")))
     agg = _distinct_users(f, ["SoTheLoaiXem", "Active"])
     share = _pct(F.col("TongUser"), F.sum("TongUser").over(Window.partitionBy()))
     return agg.select("SoTheLoaiXem", "Active", "TongUser", share.alias("PhanTram"))
 
 
-def search_growth(fact: DataFrame, source: str = S.SOURCE_SEARCH) -> DataFrame:
+def search_growth(fact: DataFrame, source: str = S.SOURCE_SEARCH, include_both: bool = False) -> DataFrame:
     """W-36: per previous-month category: search volumes of both months, daily run
     rates (current month over its elapsed days, previous over its length), growth %.
 
     ``count_curr`` is summed under ``category_prev`` (report contract).
     """
-    f, w = _scoped(fact, source)
+    f, w = _scoped(fact, source, include_both)
     f = f.where(F.col("category_prev").isNotNull() & F.col("category_curr").isNotNull())
     agg = f.groupBy(F.col("category_prev").alias("Category")).agg(
         F.sum("count_prev").alias("sp"), F.sum("count_curr").alias("sc")
@@ -162,9 +171,9 @@ def search_growth(fact: DataFrame, source: str = S.SOURCE_SEARCH) -> DataFrame:
     )
 
 
-def interest_migration(fact: DataFrame, source: str = S.SOURCE_SEARCH) -> DataFrame:
+def interest_migration(fact: DataFrame, source: str = S.SOURCE_SEARCH, include_both: bool = False) -> DataFrame:
     """W-37: users who changed category: (from, to) users and share of the leavers of ``from``."""
-    f, _ = _scoped(fact, source)
+    f, _ = _scoped(fact, source, include_both)
     f = f.where(
         (F.col("Trending_Type") == "Changed")
         & F.col("category_prev").isNotNull()
@@ -175,26 +184,26 @@ def interest_migration(fact: DataFrame, source: str = S.SOURCE_SEARCH) -> DataFr
     return agg.select("RoiKhoi", "ChuyenSang", "TongUser", share.alias("PhanTram_RoiKhoi"))
 
 
-def content_reports(fact: DataFrame, dim: DataFrame) -> dict[str, DataFrame]:
+def content_reports(fact: DataFrame, dim: DataFrame, include_both: bool = False) -> dict[str, DataFrame]:
     """The four viewing reports, each over the ``log_content`` window."""
     return {
-        "olap_category_loyalty": category_loyalty(fact, dim),
-        "olap_category_taste": category_taste(fact, dim),
-        "olap_power_vs_casual": power_vs_casual(fact, dim),
-        "olap_taste_diversity": taste_diversity(fact),
+        "olap_category_loyalty": category_loyalty(fact, dim, include_both=include_both),
+        "olap_category_taste": category_taste(fact, dim, include_both=include_both),
+        "olap_power_vs_casual": power_vs_casual(fact, dim, include_both=include_both),
+        "olap_taste_diversity": taste_diversity(fact, include_both=include_both),
     }
 
 
-def search_reports(fact: DataFrame) -> dict[str, DataFrame]:
+def search_reports(fact: DataFrame, include_both: bool = False) -> dict[str, DataFrame]:
     """The two search reports, each over the ``log_search`` window."""
     return {
-        "olap_search_growth": search_growth(fact),
-        "olap_interest_migration": interest_migration(fact),
+        "olap_search_growth": search_growth(fact, include_both=include_both),
+        "olap_interest_migration": interest_migration(fact, include_both=include_both),
     }
 
 
-def all_reports(fact: DataFrame, dim: DataFrame) -> dict[str, DataFrame]:
-    return {**content_reports(fact, dim), **search_reports(fact)}
+def all_reports(fact: DataFrame, dim: DataFrame, include_both: bool = False) -> dict[str, DataFrame]:
+    return {**content_reports(fact, dim, include_both), **search_reports(fact, include_both)}
 
 
 # Presentation order of each report (applied when reading a report, not stored).

@@ -62,6 +62,7 @@ def run_snapshot(
     stage_dir: str | None = None,
     incremental_dir: str | None = None,
     database: str | None = None,
+    include_both: bool = False,
 ) -> RunResult | None:
     """Build and load one snapshot; returns None when no log day exists.
 
@@ -77,7 +78,8 @@ def run_snapshot(
     partials, with the same result.
 
     With ``database`` every output is also registered as a catalog table
-    ``database.<name>`` (external parquet at the same path).
+    ``database.<name>`` (external parquet at the same path).  ``include_both``
+    makes the reports count profiles seen in both logs as well.
     """
     window = L.resolve_window(spark, search_root, content_root, start, end)
     if window is None:
@@ -143,7 +145,7 @@ def run_snapshot(
     # Stage 3: the six reports over the loaded fact.
     fact_t = spark.read.parquet(tables["fact_customer_360"])
     dim_t = spark.read.parquet(tables["dim_service"])
-    reports = R.all_reports(fact_t, dim_t)
+    reports = R.all_reports(fact_t, dim_t, include_both)
     tables.update({name: f"{out}/{name}" for name in reports})
     _concurrently([
         (lambda n=n, df=df: load_table(df, tables[n], "replace", skip_empty=False, table=qualified(n)))
