@@ -37,3 +37,10 @@ def test_duration_conserved(spark):
     prof = build_content_profile(content_log(spark))
     total = prof.select(sum(F.coalesce(F.col(c), F.lit(0)) for c in S.TOTAL_COLS).alias("t")).agg(F.sum("t")).first()[0]
     assert raw == total
+
+
+def test_activity_threshold_parameter(spark):
+    low = {r["Contract"]: r["Active"] for r in build_content_profile(content_log(spark), threshold=4).collect()}
+    assert low["C1"] == "High" and low["B1"] == "High" and low["A1"] == "Low"
+    rows = C.with_activity(C.daily_profile(content_log(spark)), threshold=6).where(F.col("Contract") == "B1")
+    assert {r["Active"] for r in rows.collect()} == {"Low"}

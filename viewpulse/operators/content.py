@@ -46,11 +46,12 @@ def with_taste(df: DataFrame) -> DataFrame:
     return df.withColumn("Taste", taste())
 
 
-def activity_label(active_days) -> "F.Column":
-    return F.when(active_days > F.lit(S.ACTIVE_DAYS_THRESHOLD), F.lit("High")).otherwise(F.lit("Low"))
+def activity_label(active_days, threshold: int = S.ACTIVE_DAYS_THRESHOLD) -> "F.Column":
+    """'High' when a contract was active on more than ``threshold`` days, else 'Low'."""
+    return F.when(active_days > F.lit(threshold), F.lit("High")).otherwise(F.lit("Low"))
 
 
-def with_activity(df: DataFrame) -> DataFrame:
+def with_activity(df: DataFrame, threshold: int = S.ACTIVE_DAYS_THRESHOLD) -> DataFrame:
     """Row-level activity: ``Active_Count`` = active days of the contract, ``Active`` High/Low.
 
     The window is partitioned by Contract over day rows, so a partition holds
@@ -58,7 +59,7 @@ def with_activity(df: DataFrame) -> DataFrame:
     """
     w = Window.partitionBy("Contract")
     return df.withColumn("Active_Count", F.count("Date").over(w)).withColumn(
-        "Active", activity_label(F.col("Active_Count"))
+        "Active", activity_label(F.col("Active_Count"), threshold)
     )
 
 
@@ -67,7 +68,7 @@ def daily_profile(log: DataFrame) -> DataFrame:
     return with_taste(with_most_watch(daily_pivot(with_type(log))))
 
 
-def profile_from_daily(daily: DataFrame) -> DataFrame:
+def profile_from_daily(daily: DataFrame, threshold: int = S.ACTIVE_DAYS_THRESHOLD) -> DataFrame:
     """Fold day rows into one row per Contract.
 
     Totals are sums over days; ``MostWacth``/``Taste`` come from the earliest
@@ -78,5 +79,5 @@ def profile_from_daily(daily: DataFrame) -> DataFrame:
         *[F.sum(F.col(f"`{t}`")).alias(S.total_col(t)) for t in S.TYPES],
         F.min_by("MostWacth", "Date").alias("MostWacth"),
         F.min_by("Taste", "Date").alias("Taste"),
-        activity_label(F.count("Date")).alias("Active"),
+        activity_label(F.count("Date"), threshold).alias("Active"),
     )

@@ -79,6 +79,8 @@ def build_search_profile(log: DataFrame, kmap: DataFrame, end_date, start_date=N
     return shifted.select(*SEARCH_PROFILE_COLS, *(DEVICE_COLS if with_device else []))
 
 
-def build_content_profile(log: DataFrame, start_date=None, end_date=None) -> DataFrame:
-    """W-21: per Contract the five duration totals, MostWacth, Taste and Active."""
-    return C.profile_from_daily(C.daily_profile(in_window(log, "Date", start_date, end_date)))
+def build_content_profile(log: DataFrame, start_date=None, end_date=None,
+                          threshold: int = S.ACTIVE_DAYS_THRESHOLD) -> DataFrame:
+    """W-21: per Contract the five duration totals, MostWacth, Taste and Active
+    (High when active on more than ``threshold`` days)."""
+    return C.profile_from_daily(C.daily_profile(in_window(log, "Date", start_date, end_date)), threshold)
