@@ -69,11 +69,12 @@ def ingest_content(spark: SparkSession, root: str, partials: str, checkpoint: st
     return _start(stream, lambda b: C.daily_pivot(C.with_type(b)), partials, checkpoint, None, "Date")
 
 
-def content_profile_from_partials(spark: SparkSession, partials: str, start=None, end=None) -> DataFrame:
+def content_profile_from_partials(spark: SparkSession, partials: str, start=None, end=None,
+                                  threshold: int = S.ACTIVE_DAYS_THRESHOLD) -> DataFrame:
     """W-21 from the partials: merge the batches per day, then the usual day-to-contract fold."""
     p = in_window(spark.read.parquet(partials), "Date", start, end)
     daily = p.groupBy("Contract", "Date").agg(*[F.sum(F.col(f"`{t}`")).alias(t) for t in S.TYPES])
-    return C.profile_from_daily(C.with_taste(C.with_most_watch(daily)))
+    return C.profile_from_daily(C.with_taste(C.with_most_watch(daily)), threshold)
 
 
 # ---- search ----------------------------------------------------------------------
