@@ -6,7 +6,7 @@ those files.  One warm-up run, then the median of ``BENCH_RUNS`` runs per
 query, each forced with a ``noop`` write.  Prints one JSON line.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_RUNS (default 3).
+BENCH_RUNS (default 5).
 """
 
 from __future__ import annotations
@@ -68,7 +68,7 @@ def noop(df) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "5"))
     scratch = tempfile.mkdtemp(prefix="viewpulse-bench-")
     spark = session(cpus, scratch)
 
