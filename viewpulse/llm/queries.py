@@ -7,10 +7,34 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewpulse.llm import toxicity
+from viewpulse.llm import exact_dedup, simhash, toxicity
 from viewpulse.llm.common import crc_remainder, documents
 
 
+def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_duplicates(documents(spark, sf_dir))
+
+
+OP7_SQL = r"""
+WITH d AS (
+    SELECT doc_id, length(coalesce(text, '')) AS chars,
+           regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm
+    FROM documents
+)
+SELECT doc_id,
+       first_value(doc_id) OVER (PARTITION BY norm ORDER BY chars DESC, doc_id) AS keep_id,
+       count(*) OVER (PARTITION BY norm) AS group_size,
+       doc_id = first_value(doc_id) OVER (PARTITION BY norm ORDER BY chars DESC, doc_id) AS kept,
+       sha256(norm) AS text_sha256
+FROM d
+"""
+
+
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(documents(spark, sf_dir), shingle=3, max_bits=3)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     scored = toxicity.score(documents(spark, sf_dir), labels, learn=crc_remainder("doc_id", 5) != 0)
@@ -21,9 +45,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def build() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op7_exact_dedup": op7_exact_dedup,
+        "op8_simhash": op8_simhash,
         "op10_toxicity": op10_toxicity,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_exact_dedup": OP7_SQL}
