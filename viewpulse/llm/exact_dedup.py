@@ -62,17 +62,19 @@ def _name_pairs(named: DataFrame) -> DataFrame:
         side(0).alias("a"), F.coalesce(side(1), F.lit(-1)).alias("b"))
     pairs = cut(pairs, "naming-pairs")
     names = ranked(pairs.select("a", "b").distinct(), ["a", "b"], "name")
-    return cut(pairs.join(names, ["a", "b"]).select("row", F.col("up").alias("pos"), "name"), "naming-level")
+    return pairs.join(names, ["a", "b"]).select("row", F.col("up").alias("pos"), "name")
 
 
-def identities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block: int = 4096,
-               hash_bits: int = 64) -> DataFrame:
-    """``row, id, chars, sha256, n_blocks, name`` of every row: equal (n_blocks, name) means equal texts.
+def identities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block: int = 16384,
+               hash_bits: int = 64, tie_col: str | None = None) -> DataFrame:
+    """``row, id, tie, chars, sha256, n_blocks, name`` of every row: equal (n_blocks, name) means equal texts.
+
+    ``tie`` is the column ``tie_col``, by default the id.
 
     ``hash_bits`` below 64 weakens the sorting hash, for tests of shared hashes.
     """
-    base = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
-    base = base.select("id", F.length("text").cast("long").alias("chars"), without_space(F.col("text")).alias("norm"))
+    base = docs.select(F.col(id_col).alias("id"), F.col(tie_col or id_col).alias("tie"), text_or_empty(text_col).alias("text"))
+    base = base.select("id", "tie", F.length("text").cast("long").alias("chars"), without_space(F.col("text")).alias("norm"))
     h = F.xxhash64("block") if hash_bits == 64 else F.xxhash64("block").bitwiseAND((1 << hash_bits) - 1)
 
     contents = base.select(F.explode(_blocks(block)).alias("block")).withColumn("h", h).distinct()
@@ -80,16 +82,16 @@ def identities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     shared = hashes.where("n > 1").select("h")
     any_shared = not shared.isEmpty()
 
-    rows = (base.select("id", "chars", F.sha2(F.encode("norm", "UTF-8"), 256).alias("sha256"), _blocks(block).alias("blocks"))
+    rows = (base.select("id", "tie", "chars", F.sha2(F.encode("norm", "UTF-8"), 256).alias("sha256"), _blocks(block).alias("blocks"))
             .withColumn("row", F.monotonically_increasing_id()).withColumn("n_blocks", F.size("blocks")))
-    rows = rows.select("row", "id", "chars", "sha256", "n_blocks", F.posexplode("blocks").alias("pos", "block")).withColumn("h", h)
+    rows = rows.select("row", "id", "tie", "chars", "sha256", "n_blocks", F.posexplode("blocks").alias("pos", "block")).withColumn("h", h)
     if any_shared:
         rows = rows.join(shared.withColumn("is_shared", F.lit(True)), "h", "left").withColumn("block", F.when(F.col("is_shared"), F.col("block")))
     else:
         rows = rows.withColumn("block", F.lit(None).cast("string"))
     # the id, size and digest of a row stand beside its first block only
     first = F.col("pos") == 0
-    rows = cut(rows.select("row", "pos", "h", "block", "n_blocks", *[F.when(first, F.col(c)).alias(c) for c in ("id", "chars", "sha256")]),
+    rows = cut(rows.select("row", "pos", "h", "block", "n_blocks", *[F.when(first, F.col(c)).alias(c) for c in ("id", "tie", "chars", "sha256")]),
                "naming-rows")
 
     single = ranked(hashes.where("n = 1").select("h"), ["h"], "name")
@@ -98,9 +100,8 @@ def identities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         several = ranked(contents.join(shared, "h", "left_semi"), ["h", "block"], "rank")
         taken = hashes.where("n = 1").count()
         named = named.unionByName(rows.join(several, ["h", "block"]).select("row", "pos", (F.col("rank") + taken).alias("name")))
-    named = cut(named, "naming-level")
 
-    heads = rows.where("pos = 0").select("row", "id", "chars", "sha256", "n_blocks")
+    heads = rows.where("pos = 0").select("row", "id", "tie", "chars", "sha256", "n_blocks")
     most, size = rows.agg(F.max("n_blocks")).first()[0] or 1, 1
     roots = named.join(heads.where("n_blocks = 1").select("row"), "row", "left_semi")
     while size < most:
@@ -112,11 +113,14 @@ def identities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return heads.join(roots.select("row", "name"), "row")
 
 
-def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block: int = 4096,
-                     hash_bits: int = 64) -> DataFrame:
-    """``id, keep_id, group_size, kept, text_sha256`` for every row, ``id`` under the name of ``id_col``."""
-    rows = cut(identities(docs, id_col, text_col, block, hash_bits), "naming-identities")
-    order = F.struct((-F.col("chars")).alias("less"), F.col("id").isNull().alias("unnamed"), F.col("id").alias("id"), F.col("row").alias("row"))
+def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block: int = 16384,
+                     hash_bits: int = 64, tie_col: str | None = None) -> DataFrame:
+    """``id, keep_id, group_size, kept, text_sha256`` for every row, ``id`` under the name of ``id_col``.
+
+    Texts of one length are decided by the smallest ``tie_col``, by default the id.
+    """
+    rows = identities(docs, id_col, text_col, block, hash_bits, tie_col)
+    order = F.struct((-F.col("chars")).alias("less"), F.col("tie").isNull().alias("unnamed"), "tie", "row", "id")
     groups = rows.groupBy("n_blocks", "name").agg(F.count("*").alias("group_size"), F.min(order).alias("stays"))
     out = rows.join(groups, ["n_blocks", "name"])
     return out.select(F.col("id").alias(id_col), F.col("stays.id").alias("keep_id"), "group_size",
