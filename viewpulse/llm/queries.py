@@ -7,10 +7,41 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewpulse.llm import exact_dedup, simhash, toxicity
+from viewpulse.llm import exact_dedup, packing, secrets, simhash, toxicity
 from viewpulse.llm.common import crc_remainder, documents
 
 
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def packing_parameters() -> dict:
+    import public_tokenizers
+
+    return {"tokenizer_path": tokenizer_path("byte_bpe_50k.json"), "pattern": public_tokenizers.PATTERN, "size": 2048, "end_id": 0}
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(documents(spark, sf_dir), **packing_parameters())
+
+
+def _is_kind(kind: str):
+    return lambda span: span["kind"] == kind
+
+
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    found = secrets.find(docs, secrets.fit(docs))
+    kinds = secrets.KINDS[:3]
+    written = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    base = F.filter("spans", lambda s: s["kind"].isin(*kinds))
+    counts = [F.size(F.filter("spans", _is_kind(k))).cast("long").alias(f"n_{k}") for k in kinds]
+    return found.select("doc_id", *counts, F.sha2(F.encode(written(base), "UTF-8"), 256).alias("base_sha256"),
+                        written(F.col("spans")).alias("spans"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir))
 
@@ -45,6 +76,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def build() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_packing": op3_packing,
+        "op4_secrets": op4_secrets,
         "op7_exact_dedup": op7_exact_dedup,
         "op8_simhash": op8_simhash,
         "op10_toxicity": op10_toxicity,

@@ -212,16 +212,17 @@ def _term_table(labelled_texts: DataFrame, n_terms: int) -> list[tuple[str, floa
 
 
 def score(docs: DataFrame, labels: DataFrame, learn, id_col: str = "doc_id", text_col: str = "text",
-          label_col: str = "toxic", k: int = 15, per_class: int = 4096, calibration_rows: int = 8192,
+          label_col: str = "toxic", row_col: str | None = None, k: int = 15, per_class: int = 4096, calibration_rows: int = 8192,
           n_terms: int = 4096) -> DataFrame:
     """Score every row of ``docs``.
 
     ``learn`` is a condition over ``id_col`` that says which labelled rows may teach.
     Returns ``id, score, neighbours (array of struct of id, label, cosine)`` where
-    ``id`` has the name of ``id_col``.
+    ``id`` has the name of ``id_col``; ``row_col``, a long column of ``docs``, is returned too when named.
     """
     id_type = docs.schema[id_col].dataType
-    base = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
+    row = F.col(row_col).cast("long") if row_col else F.lit(None).cast("long")
+    base = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"), row.alias("row"))
     labelled = (labels.where(learn & F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1))
                 .groupBy(F.col(id_col).cast(id_type).alias("id")).agg(F.max(F.col(label_col).cast("int")).alias("label")))
     use = cut(_sample(labelled, per_class, calibration_rows), "toxicity-sample")
@@ -235,11 +236,11 @@ def score(docs: DataFrame, labels: DataFrame, learn, id_col: str = "doc_id", tex
         for b in batches:
             got = [own.counts(t) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([g[0] for g in got], pa.list_(pa.int32())), pa.array([g[1] for g in got], pa.list_(pa.int32()))],
-                names=["id", "terms", "counts"])
+                [b.column(0), pa.array([g[0] for g in got], pa.list_(pa.int32())), pa.array([g[1] for g in got], pa.list_(pa.int32())), b.column(2)],
+                names=["id", "terms", "counts", "row"])
 
     vector = T.StructType([T.StructField("id", id_type), T.StructField("terms", T.ArrayType(T.IntegerType())),
-                           T.StructField("counts", T.ArrayType(T.IntegerType()))])
+                           T.StructField("counts", T.ArrayType(T.IntegerType())), T.StructField("row", T.LongType())])
     vectors = cut(base.mapInArrow(vectorise, vector), "toxicity-vectors")
 
     n_docs = vectors.count()
@@ -248,7 +249,7 @@ def score(docs: DataFrame, labels: DataFrame, learn, id_col: str = "doc_id", tex
         df[r["t"]] = r["count"]
     idf = np.log((1.0 + n_docs) / (1.0 + df)) + 1.0
 
-    fitted = chosen.select("id", "text").mapInArrow(vectorise, vector).join(chosen.select("id", "label", "use"), "id")
+    fitted = chosen.select("id", "text", "row").mapInArrow(vectorise, vector).join(chosen.select("id", "label", "use"), "id")
     fitted = fitted.select("id", "label", "use", "terms", "counts").collect()  # bounded by the sample's parameters
     rows = sorted(((r["id"], r["label"], r["use"], np.array(r["terms"], np.int32), np.array(r["counts"], np.int32)) for r in fitted),
                   key=lambda r: (r[2], r[1], r[0]))
@@ -276,10 +277,12 @@ def score(docs: DataFrame, labels: DataFrame, learn, id_col: str = "doc_id", tex
                 scores.append(prior if not both else without if v < 0 else float(1 / (1 + np.exp(-(a * v + b)))))
                 evidence.append([{"id": names[i], "label": marks[i], "cosine": s} for i, s in near])
             near_type = pa.list_(pa.struct([("id", batch.column(0).type), ("label", pa.int32()), ("cosine", pa.float64())]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64()), pa.array(evidence, near_type)],
-                                             names=["id", "score", "neighbours"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64()), pa.array(evidence, near_type), batch.column(3)],
+                                             names=["id", "score", "neighbours", "row"])
 
     near = T.ArrayType(T.StructType([T.StructField("id", id_type), T.StructField("label", T.IntegerType()),
                                      T.StructField("cosine", T.DoubleType())]))
-    out = T.StructType([T.StructField("id", id_type), T.StructField("score", T.DoubleType()), T.StructField("neighbours", near)])
-    return vectors.mapInArrow(judge, out).withColumnRenamed("id", id_col)
+    out = T.StructType([T.StructField("id", id_type), T.StructField("score", T.DoubleType()), T.StructField("neighbours", near),
+                        T.StructField("row", T.LongType())])
+    judged = vectors.mapInArrow(judge, out)
+    return judged.select(F.col("id").alias(id_col), "score", "neighbours", *([F.col("row").alias(row_col)] if row_col else []))
