@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewpulse.llm import exact_dedup, packing, secrets, simhash, toxicity
+from viewpulse.llm import exact_dedup, packing, secrets, simhash, toxicity, word_bpe
 from viewpulse.llm.common import crc_remainder, documents
 
 
@@ -66,6 +66,13 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer_path("word_bpe_49k.json")
+    done = word_bpe.decode(word_bpe.encode(documents(spark, sf_dir), path), path)
+    return done.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+                       F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     scored = toxicity.score(documents(spark, sf_dir), labels, learn=crc_remainder("doc_id", 5) != 0)
@@ -80,6 +87,7 @@ def build() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_secrets": op4_secrets,
         "op7_exact_dedup": op7_exact_dedup,
         "op8_simhash": op8_simhash,
+        "op9_bpe": op9_bpe,
         "op10_toxicity": op10_toxicity,
     }
 
