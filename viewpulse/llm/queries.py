@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewpulse.llm import exact_dedup, packing, secrets, simhash, toxicity, word_bpe
+from viewpulse.llm import exact_dedup, graph_index, packing, secrets, simhash, toxicity, word_bpe
 from viewpulse.llm.common import crc_remainder, documents
 
 
@@ -17,6 +17,11 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_graph_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return graph_index.search(graph_index.build_index(vectors, copies=6), vectors.where(F.col("vec_id") % 50 == 0), k=5)
+
+
 def packing_parameters() -> dict:
     import public_tokenizers
 
@@ -83,6 +88,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def build() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_graph_neighbours": op2_graph_neighbours,
         "op3_packing": op3_packing,
         "op4_secrets": op4_secrets,
         "op7_exact_dedup": op7_exact_dedup,
