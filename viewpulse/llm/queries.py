@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewpulse.llm import exact_dedup, graph_index, packing, secrets, simhash, toxicity, word_bpe
+from viewpulse.llm import chunk_dedup, exact_dedup, graph_index, packing, resampling, secrets, simhash, toxicity, word_bpe
 from viewpulse.llm.common import crc_remainder, documents
 
 
@@ -17,6 +17,10 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.sample(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op2_graph_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     return graph_index.search(graph_index.build_index(vectors, copies=6), vectors.where(F.col("vec_id") % 50 == 0), k=5)
@@ -47,6 +51,10 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                         written(F.col("spans")).alias("spans"))
 
 
+def op5_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk_dedup.repeated_passages(documents(spark, sf_dir))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir))
 
@@ -88,9 +96,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def build() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_importance_resampling": op1_importance_resampling,
         "op2_graph_neighbours": op2_graph_neighbours,
         "op3_packing": op3_packing,
         "op4_secrets": op4_secrets,
+        "op5_chunk_dedup": op5_chunk_dedup,
         "op7_exact_dedup": op7_exact_dedup,
         "op8_simhash": op8_simhash,
         "op9_bpe": op9_bpe,
