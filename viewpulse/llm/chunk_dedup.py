@@ -92,7 +92,7 @@ def chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mask
     return cut(base.mapInArrow(run, schema), "chunks")
 
 
-def repeated_passages(docs: DataFrame, min_words: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def repeated_passages(docs: DataFrame, min_words: int = 25, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each repeated passage of a row.
 
     ``id, start, end, n_words, n_chunks, first_<id>, kept``: ``first_<id>`` is the id of the first row that shares one of

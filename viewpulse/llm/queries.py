@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewpulse.llm import chunk_dedup, exact_dedup, graph_index, packing, resampling, secrets, simhash, toxicity, word_bpe
+from viewpulse.llm import chunk_dedup, exact_dedup, graph_index, maxent, packing, resampling, secrets, simhash, toxicity, word_bpe
 from viewpulse.llm.common import crc_remainder, documents
 
 
@@ -55,6 +55,12 @@ def op5_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_dedup.repeated_passages(documents(spark, sf_dir))
 
 
+def op6_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = maxent.score(documents(spark, sf_dir), learn=crc_remainder("doc_id", 7) != 2)
+    held_out = F.coalesce(crc_remainder("doc_id", 7) == 2, F.lit(True))
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir))
 
@@ -101,6 +107,7 @@ def build() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_packing": op3_packing,
         "op4_secrets": op4_secrets,
         "op5_chunk_dedup": op5_chunk_dedup,
+        "op6_maxent": op6_maxent,
         "op7_exact_dedup": op7_exact_dedup,
         "op8_simhash": op8_simhash,
         "op9_bpe": op9_bpe,
