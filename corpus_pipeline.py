@@ -5,13 +5,14 @@ Each stage is a function of (spark, docs, sf_dir) that applies one operator of
 in the shared folder and read as the next stage's documents.  All stages but the last return the
 columns of ``documents``.
 
-Stages that drop rows number them first, in a written table, so that null or repeated ids
-and repeated rows are decided row by row.  Null texts are empty texts to every
+Stages that drop rows know each row by its file and its place in it, which any reader
+finds the same, so that null or repeated ids and repeated rows are decided row by row.  Null texts are empty texts to every
 stage.  Empty tables give empty tables.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,37 +22,42 @@ from viewpulse.llm.common import crc_remainder, cut, documents
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    return cut(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("row_number")), "pipeline-rows")
+def _named(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``row_id``: the file and the place of each row; rows that are not read from files are written first."""
+    place = F.concat_ws("#", "_metadata.file_path", "_metadata.row_index").alias("row_id")
+    try:
+        return docs.select(*COLUMNS, place)
+    except AnalysisException:
+        return cut(docs.select(*COLUMNS), "pipeline-rows").select(*COLUMNS, place)
 
 
 def _only(rows: DataFrame, kept: DataFrame) -> DataFrame:
-    return rows.join(kept.select("row_number"), "row_number", "left_semi").select(*COLUMNS)
+    return rows.join(kept.select("row_id"), "row_id", "left_semi").select(*COLUMNS)
 
 
 def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored 0.5 or more go.  The labels teach as in the operator's query."""
-    rows = _numbered(docs)
+    rows = _named(docs)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    scored = toxicity.score(rows, labels, learn=crc_remainder("doc_id", 5) != 0, row_col="row_number")
+    scored = toxicity.score(rows, labels, learn=crc_remainder("doc_id", 5) != 0, row_col="row_id")
     return _only(rows, scored.where("score < 0.5"))
 
 
 def remove_exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of texts that are equal without white space, the longest stays, then the smallest doc_id."""
-    rows = _numbered(docs)
-    found = exact_dedup.exact_duplicates(rows, id_col="row_number", tie_col="doc_id")
+    rows = _named(docs)
+    found = exact_dedup.exact_duplicates(rows, id_col="row_id", tie_col="doc_id")
     return _only(rows, found.where("kept"))
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of linked fingerprints, the smallest doc_id stays."""
-    rows = _numbered(docs)
-    found = simhash.near_duplicates(rows, shingle=3, max_bits=3, id_col="row_number")
-    ids = rows.select("row_number", "doc_id")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row_number")).alias("first")
-    stays = found.join(ids, "row_number").groupBy("component_id").agg(first)
-    return _only(rows, stays.select(F.col("first.row_number").alias("row_number")))
+    rows = _named(docs)
+    found = simhash.near_duplicates(rows, shingle=3, max_bits=3, id_col="row_id")
+    ids = rows.select("row_id", "doc_id")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row_id")).alias("first")
+    stays = found.join(ids, "row_id").groupBy("component_id").agg(first)
+    return _only(rows, stays.select(F.col("first.row_id").alias("row_id")))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,0 +1,39 @@
+"""Awkward documents: nulls, empty and long texts, ties, repeated rows, clashing extra columns."""
+
+from pyspark.sql import functions as F
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+#: Names that operators use inside.
+CLASH = ["id", "row", "key", "fp", "h", "pos", "name", "block", "label", "use", "score", "length", "piece", "ids", "token", "n", "seg"]
+LONG = " ".join(f"w{i % 997} the {i % 31}" for i in range(6000))
+
+ROWS = [
+    (1, "The quick brown fox jumps over the lazy dog and runs away", "en", "a", 57),
+    (2, "The quick  brown fox jumps over the lazy dog\nand runs away", "en", None, 58),
+    (2, "The quick  brown fox jumps over the lazy dog\nand runs away", "en", None, 58),
+    (3, "", None, "a", 0),
+    (4, None, "en", "a", None),
+    (5, " \t\n\r ", "en", "a", 5),
+    (None, "a row without an id", None, None, 19),
+    (None, None, None, None, None),
+    (6, LONG, "en", "a", len(LONG)),
+    (7, LONG + " end", "en", "a", len(LONG) + 4),
+    (8, "x" * 70_000, "en", "b", 70_000),
+    (9, 'token = "04dbebab91ab85687d33eeaaf9ac699e1188f962" é 日本 <|endoftext|> idiot', "fr", "b", 10),
+    (10, "Émile a b \U0001f600 zéro", "fr", "b", 10),
+]
+
+
+def docs(spark, rows=None):
+    df = spark.createDataFrame(ROWS if rows is None else rows, SCHEMA)
+    for name in CLASH:
+        df = df.withColumn(name, F.lit("clash"))
+    return df
+
+
+def empty(spark):
+    return docs(spark).limit(0)
+
+
+def labels(spark):
+    return spark.createDataFrame([(i, i % 2, int(i == 9)) for i in range(1, 11)], "doc_id long, quality int, toxic int")

@@ -1,7 +1,7 @@
 """Toxicity by the nearest labelled examples (operator 10).
 
 The examples are vectors of TF-IDF weights over the terms that tell the labels
-apart best.  They are held in an inverted index whose postings are cut into
+apart best (by chi-squared, and only where it is significant).  They are held in an inverted index whose postings are cut into
 blocks of examples, each with the largest weight that a term has in it.  A
 document's nearest examples are found exactly: a block is opened only when the
 sum of its largest weights reaches the k-th best cosine so far.  The votes of
@@ -187,8 +187,8 @@ def _sample(labelled: DataFrame, per_class: int, calibration_rows: int) -> DataF
     return examples.unionByName(rest.withColumn("use", F.lit("calibration"))).select("id", "label", "use")
 
 
-def _term_table(labelled_texts: DataFrame, n_terms: int) -> list[tuple[str, float]]:
-    """The terms with the largest chi-squared of presence against the label (at most ``n_terms``)."""
+def _term_table(labelled_texts: DataFrame, n_terms: int, least_chi: float) -> list[tuple[str, float]]:
+    """The terms with the largest chi-squared of presence against the label, above ``least_chi`` (at most ``n_terms``)."""
 
     def count(batches):
         toxic, clean = Counter(), Counter()
@@ -207,21 +207,21 @@ def _term_table(labelled_texts: DataFrame, n_terms: int) -> list[tuple[str, floa
     a, b = F.col("a"), F.col("b")
     expected = (a + b) * F.lit(p / max(1.0, p + q))
     chi = (a - expected) * (a - expected) / (expected * F.lit(max(1e-12, q / max(1.0, p + q))) * (1 - (a + b) / F.lit(p + q + 1.0)))
-    top = by_term.where(a + b >= 3).select("term", chi.alias("chi")).orderBy(F.desc("chi"), "term").limit(n_terms)
+    top = by_term.where(a + b >= 3).select("term", chi.alias("chi")).where(F.col("chi") >= least_chi).orderBy(F.desc("chi"), "term").limit(n_terms)
     return [(r["term"], r["chi"]) for r in top.collect()]
 
 
 def score(docs: DataFrame, labels: DataFrame, learn, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "toxic", row_col: str | None = None, k: int = 15, per_class: int = 4096, calibration_rows: int = 8192,
-          n_terms: int = 4096) -> DataFrame:
+          n_terms: int = 4096, least_chi: float = 4.0) -> DataFrame:
     """Score every row of ``docs``.
 
     ``learn`` is a condition over ``id_col`` that says which labelled rows may teach.
     Returns ``id, score, neighbours (array of struct of id, label, cosine)`` where
-    ``id`` has the name of ``id_col``; ``row_col``, a long column of ``docs``, is returned too when named.
+    ``id`` has the name of ``id_col``; ``row_col``, a column of ``docs``, is returned too, as text, when named.
     """
     id_type = docs.schema[id_col].dataType
-    row = F.col(row_col).cast("long") if row_col else F.lit(None).cast("long")
+    row = (F.col(row_col) if row_col else F.lit(None)).cast("string")
     base = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"), row.alias("row"))
     labelled = (labels.where(learn & F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1))
                 .groupBy(F.col(id_col).cast(id_type).alias("id")).agg(F.max(F.col(label_col).cast("int")).alias("label")))
@@ -229,7 +229,7 @@ def score(docs: DataFrame, labels: DataFrame, learn, id_col: str = "doc_id", tex
     # at most 2 * per_class + calibration_rows rows of three small columns
     chosen = cut(base.join(F.broadcast(use), "id"), "toxicity-fit").dropDuplicates(["id"])
     chosen = cut(chosen, "toxicity-fit")
-    terms = sorted(t for t, _ in _term_table(chosen.where("use = 'example'"), n_terms))
+    terms = sorted(t for t, _ in _term_table(chosen.where("use = 'example'"), n_terms, least_chi))
 
     def vectorise(batches):
         own = Vocabulary(terms)
@@ -240,7 +240,7 @@ def score(docs: DataFrame, labels: DataFrame, learn, id_col: str = "doc_id", tex
                 names=["id", "terms", "counts", "row"])
 
     vector = T.StructType([T.StructField("id", id_type), T.StructField("terms", T.ArrayType(T.IntegerType())),
-                           T.StructField("counts", T.ArrayType(T.IntegerType())), T.StructField("row", T.LongType())])
+                           T.StructField("counts", T.ArrayType(T.IntegerType())), T.StructField("row", T.StringType())])
     vectors = cut(base.mapInArrow(vectorise, vector), "toxicity-vectors")
 
     n_docs = vectors.count()
@@ -283,6 +283,6 @@ def score(docs: DataFrame, labels: DataFrame, learn, id_col: str = "doc_id", tex
     near = T.ArrayType(T.StructType([T.StructField("id", id_type), T.StructField("label", T.IntegerType()),
                                      T.StructField("cosine", T.DoubleType())]))
     out = T.StructType([T.StructField("id", id_type), T.StructField("score", T.DoubleType()), T.StructField("neighbours", near),
-                        T.StructField("row", T.LongType())])
+                        T.StructField("row", T.StringType())])
     judged = vectors.mapInArrow(judge, out)
     return judged.select(F.col("id").alias(id_col), "score", "neighbours", *([F.col("row").alias(row_col)] if row_col else []))
