@@ -57,6 +57,8 @@ def test_encoding_and_decoding(spark, kw):
         ids = library.encode(t or "", add_special_tokens=False).ids
         want.append((key(i), ids, library.decode(ids, skip_special_tokens=False)))
     assert sorted((key(r.doc_id), np.frombuffer(r.ids, "<u4").tolist(), r.decoded) for r in done) == sorted(want)
+    once = word_bpe.encode(docs(spark), WORDS, decoded=True, **kw).collect()
+    assert sorted((key(r.doc_id), np.frombuffer(r.ids, "<u4").tolist(), r.decoded) for r in once) == sorted(want)
     assert word_bpe.decode(word_bpe.encode(empty(spark), WORDS, **kw), WORDS).collect() == []
 
 

@@ -86,8 +86,7 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = tokenizer_path("word_bpe_49k.json")
-    done = word_bpe.decode(word_bpe.encode(documents(spark, sf_dir), path), path)
+    done = word_bpe.encode(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"), decoded=True)
     return done.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
                        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
 

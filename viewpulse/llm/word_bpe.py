@@ -52,7 +52,7 @@ def stretches(text: str) -> list[str]:
 
 
 class WordBpe:
-    def __init__(self, path: str, memo_size: int = 200_000):
+    def __init__(self, path: str, memo_size: int = 150_000):
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
@@ -136,16 +136,27 @@ def _schema(docs: DataFrame, id_col: str, *more: T.StructField) -> T.StructType:
 
 
 IDS = T.StructField("ids", T.BinaryType())
+DECODED = T.StructField("decoded", T.StringType())
 
 
-def _encode_whole(docs: DataFrame, path: str) -> DataFrame:
+def _slices(batch: pa.RecordBatch, rows: int = 500):
+    """A batch in small parts, as ids and texts take several times the room of their input."""
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
+
+
+def _encode_whole(docs: DataFrame, path: str, decoded: bool) -> DataFrame:
     def run(batches):
         bpe = WordBpe(path)
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([bpe.encode(t) for t in b.column(1).to_pylist()], pa.binary())],
-                                             names=["id", "ids"])
+        for batch in batches:
+            for b in _slices(batch):
+                ids = [bpe.encode(t) for t in b.column(1).to_pylist()]
+                columns = {"id": b.column(0), "ids": pa.array(ids, pa.binary())}
+                if decoded:
+                    columns["decoded"] = pa.array([bpe.decode(x).decode("utf-8", "replace") for x in ids], pa.string())
+                yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
-    return docs.mapInArrow(run, _schema(docs, "id", IDS))
+    return docs.mapInArrow(run, _schema(docs, "id", IDS, *([DECODED] if decoded else [])))
 
 
 def _long_parts(docs: DataFrame, path: str, leaf_bytes: int) -> DataFrame:
@@ -217,15 +228,17 @@ def _merge_leaves(parts: DataFrame, path: str) -> DataFrame:
 
 
 def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", long_chars: int = 16384,
-           leaf_bytes: int = 4096) -> DataFrame:
+           leaf_bytes: int = 4096, decoded: bool = False) -> DataFrame:
     """``id, ids`` for every row: little-endian unsigned 32-bit integers, ``id`` under the name of ``id_col``.
 
+    With ``decoded`` there's also the text that ``decode`` makes of the ids, in the same pass.
+
     Texts with a stretch of more than ``long_chars`` characters without ASCII white space go through the tree;
     each other text is encoded in one task.
     """
     base = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
     is_long = (F.length("text") > long_chars) & F.col("text").rlike(f"[^ \\t\\n\\x0b\\f\\r]{{{long_chars + 1}}}")
-    short = _encode_whole(base.where(~is_long), tokenizer_path)
+    short = _encode_whole(base.where(~is_long), tokenizer_path, decoded)
     long = base.where(is_long)
     if long.isEmpty():
         return short.withColumnRenamed("id", id_col)
@@ -240,6 +253,8 @@ def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
         return pa.table({"id": table.column("id").slice(0, 1), "ids": pa.array([b"".join(table.column("ids").to_pylist())], pa.binary())})
 
     whole = ready.groupBy("row").applyInArrow(assemble, _schema(base, "id", IDS))
+    if decoded:
+        whole = decode(whole, tokenizer_path, "id")
     return short.unionByName(whole).withColumnRenamed("id", id_col)
 
 
@@ -247,9 +262,10 @@ def decode(encoded: DataFrame, tokenizer_path: str, id_col: str = "doc_id", ids_
     """``id, ids, decoded``: the text of each row's ids, special tokens included (null ids: empty)."""
     def run(batches):
         bpe = WordBpe(tokenizer_path)
-        for b in batches:
-            texts = [bpe.decode(x or b"").decode("utf-8", "replace") for x in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string())], names=["id", "ids", "decoded"])
+        for batch in batches:
+            for b in _slices(batch):
+                texts = [bpe.decode(x or b"").decode("utf-8", "replace") for x in b.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string())], names=["id", "ids", "decoded"])
 
     base = encoded.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids"))
-    return base.mapInArrow(run, _schema(base, "id", IDS, T.StructField("decoded", T.StringType()))).withColumnRenamed("id", id_col)
+    return base.mapInArrow(run, _schema(base, "id", IDS, DECODED)).withColumnRenamed("id", id_col)
