@@ -15,7 +15,7 @@ import duckdb
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents"]
 
 
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
@@ -58,7 +58,7 @@ def compare(spark, sf_dir, names=None, verbose=True):
     sql = E.oracle_sql()
     con = duck(sf_dir)
     results = {}
-    for name in names or list(qs):
+    for name in names or list(sql):
         t0 = time.time()
         df = qs[name](spark, sf_dir)
         s_cols = df.columns

@@ -115,3 +115,53 @@ def test_no_log_days(spark, scratch):
     assert L.resolve_window(spark, f"{scratch}/empty_s", f"{scratch}/empty_c") is None
     assert run_snapshot(spark, f"{scratch}/empty_s", f"{scratch}/empty_c", f"{scratch}/none.csv", f"{scratch}/wh") is None
     assert L.read_content_log(spark, f"{scratch}/empty_c", "20220601", "20220714").count() == 0
+
+
+def test_missing_roots_raise(spark, scratch):
+    import pytest
+
+    for read in (L.read_search_log, L.read_content_log):
+        with pytest.raises(FileNotFoundError):
+            read(spark, f"{scratch}/mistyped", "20220601", "20220714")
+    with pytest.raises(FileNotFoundError):
+        L.resolve_window(spark, f"{scratch}/mistyped", None)
+
+
+def test_open_sided_ranges_in_both_layouts(spark, scratch):
+    _write_daily_logs(spark, scratch)
+    every = L.read_search_log(spark, f"{scratch}/search")
+    every.write.partitionBy("log_date").parquet(f"{scratch}/hive")
+    days = sorted(r[0] for r in every.select("log_date").distinct().collect())
+    middle = days[len(days) // 2]
+    for root, layout in ((f"{scratch}/search", "daily"), (f"{scratch}/hive", "hive")):
+        seen = lambda **kw: {r[0] for r in L.read_search_log(spark, root, layout=layout, **kw).select("log_date").collect()}  # noqa: B023, E731
+        assert seen(start=middle) == {d for d in days if d >= middle}
+        assert seen(end=middle) == {d for d in days if d <= middle}
+        assert L.resolve_window(spark, root, None, layout=layout)[1] == days[-1]
+
+
+def test_refresh_adds_all_new_keywords(spark, scratch):
+    from viewpulse.operators import keywords as K
+
+    pairs = spark.createDataFrame([("a", "one", "two"), ("b", "three", "one"), ("c", "four", None)],
+                                  "user_id string, most_searched_prev string, most_searched_curr string")
+    known = spark.createDataFrame([("one", "Music")], "keyword string, category string")
+    fresh = K.new_keywords(pairs, known)
+    assert {r[0] for r in fresh.collect()} == {"two", "three", "four"}
+
+    def classifier(words):
+        if "four" in words:
+            raise ValueError("a call that fails")
+        return {w.upper(): "Drama" for w in words}
+
+    merged = K.merge_map(known, K.classify(fresh, rules=[], classifier=classifier, batch=1))
+    assert {tuple(r) for r in merged.collect()} == {("one", "Music"), ("two", "Drama"), ("three", "Drama"), ("four", "Other")}
+    assert K.new_keywords(pairs, merged).count() == 0
+
+
+def test_replace_mode_keeps_one_snapshot(spark, scratch):
+    _write_daily_logs(spark, scratch)
+    args = (spark, f"{scratch}/search", f"{scratch}/content", f"{scratch}/map/mapping.csv", f"{scratch}/wh1")
+    run_snapshot(*args, end="20220713", load_mode="replace")
+    res = run_snapshot(*args, end="20220714", load_mode="replace")
+    assert {r[0] for r in spark.read.parquet(res.tables["fact_customer_360"]).select("snapshot_date_key").distinct().collect()} == {20220714}

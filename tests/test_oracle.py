@@ -22,4 +22,7 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["CategoryGroup", "Category", "TongUser", "UserTrungThanh", "UserNguyCo", "TiLe_TrungThanh"]
     assert df.count() >= 0
-    assert set(E.oracle_sql()) == set(E.queries())
+    from viewpulse import oracle, registry
+
+    assert set(E.oracle_sql()) <= set(E.queries())
+    assert set(oracle.queries_sql()) == set(registry.build())

@@ -27,6 +27,11 @@ def in_window(df: DataFrame, date_col: str, start=None, end=None) -> DataFrame:
     return df
 
 
+def month_before(day: _dt.date) -> _dt.date:
+    """First day of the month before the month of ``day``."""
+    return (day.replace(day=1) - _dt.timedelta(days=1)).replace(day=1)
+
+
 def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 

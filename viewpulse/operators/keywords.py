@@ -29,24 +29,28 @@ def rule_category(keyword: Column, rules: Sequence[tuple[str, str]] = S.KEYWORD_
     return expr if expr is not None else F.lit(None).cast("string")
 
 
+def _ask(classifier: Classifier, words: pd.Series, batch: int) -> pd.Series:
+    """Answers by keyword in lower case; a chunk whose call fails has none."""
+    answers = []
+    for at in range(0, len(words), batch):
+        try:
+            answers.append(pd.Series(dict(classifier(words.iloc[at : at + batch].tolist()) or {}), dtype=object))
+        except Exception:
+            continue
+    if not answers:
+        return pd.Series(dtype=object)
+    known = pd.concat(answers)
+    known.index = known.index.astype(str).str.lower()
+    return known[~known.index.duplicated(keep="last")]
+
+
 def _apply_classifier(classifier: Classifier, batch: int, fallback: str):
-    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in it:
-            todo = pdf["category"].isna()
-            if todo.any():
-                words = pdf.loc[todo, "keyword"].tolist()
-                found: dict[str, str] = {}
-                for i in range(0, len(words), batch):
-                    chunk = words[i : i + batch]
-                    try:
-                        answer = classifier(chunk) or {}
-                        lowered = {str(k).lower(): v for k, v in answer.items()}
-                    except Exception:  # a failed call maps its chunk to the fallback
-                        lowered = {}
-                    for w in chunk:
-                        found[w] = lowered.get(str(w).lower(), fallback)
-                pdf.loc[todo, "category"] = [found[w] for w in words]
-            yield pdf
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            open_rows = frame["category"].isna()
+            words = frame.loc[open_rows, "keyword"].astype(str)
+            answers = words.str.lower().map(_ask(classifier, words, batch))
+            yield frame.assign(category=frame["category"].fillna(answers).fillna(fallback))
 
     return run
 
@@ -62,7 +66,9 @@ def classify(
     ruled = keywords.select("keyword", rule_category(F.col("keyword"), rules).alias("category"))
     if classifier is None:
         return ruled.select("keyword", F.coalesce("category", F.lit(fallback)).alias("category"))
-    return ruled.mapInPandas(_apply_classifier(classifier, batch, fallback), schema=S.KEYWORD_MAP_SCHEMA)
+    # calls are slow, so keywords are spread over tasks whatever their bytes
+    spread = ruled.repartition(max(1, keywords.sparkSession.sparkContext.defaultParallelism), "keyword")
+    return spread.mapInPandas(_apply_classifier(classifier, batch, fallback), schema=S.KEYWORD_MAP_SCHEMA)
 
 
 def merge_map(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -74,3 +80,9 @@ def merge_map(old: DataFrame, new: DataFrame) -> DataFrame:
     base = old.select("keyword", "category")
     fresh = new.groupBy("keyword").agg(F.min("category").alias("category"))
     return base.unionByName(fresh.join(base.select("keyword"), "keyword", "left_anti"))
+
+
+def new_keywords(pairs: DataFrame, known: DataFrame) -> DataFrame:
+    """All distinct keywords of both periods that the dictionary lacks."""
+    both = pairs.select(F.explode(F.array("most_searched_prev", "most_searched_curr")).alias("keyword"))
+    return both.where(F.col("keyword").isNotNull()).distinct().join(known.select("keyword"), "keyword", "left_anti")

@@ -1,10 +1,13 @@
 """The six marketing reports over the fact table (W-31..W-37).
 
 Each report reads the snapshots of one ``data_source`` from the first day of
-the month before the newest snapshot up to the newest one.  Profiles seen in
-both logs are left out by default (the report contract); ``include_both=True``
-counts them too.  The window bounds
-are scalar subqueries (one tiny aggregate each, run once), not joins.
+the month before the newest snapshot up to the newest one.  A snapshot already
+holds two months, so a profile counts once, with its newest row in that window:
+daily loads neither add up volumes nor put a user into several states.
+Profiles seen in both logs are left out by default (the report contract);
+``include_both=True`` counts them too.  With ``newest`` (the newest snapshot key,
+see ``newest_snapshot``) the window is made of literals, which prune the fact's
+partitions; without it the bounds are scalar subqueries over the fact.
 
 Distinct user counts are two-level aggregates: first by (report keys,
 Profile_ID), then by the report keys.  That is exact, avoids the row
@@ -29,8 +32,20 @@ def _sources(source: str, include_both: bool) -> Column:
     return F.col("data_source") == F.lit(source)
 
 
-def _window_cols(fact: DataFrame, source: str, include_both: bool = False) -> dict[str, Column]:
-    max_key = fact.where(_sources(source, include_both)).agg(
+def newest_snapshot(fact: DataFrame, source: str, include_both: bool = False) -> int | None:
+    """The newest snapshot key with rows of the source, found from partition values.
+
+    Keys are few (one a load); a key is opened only to see whether it holds such rows.
+    """
+    keys = sorted((r[0] for r in fact.select("snapshot_date_key").distinct().collect()), reverse=True)
+    for key in keys:
+        if not fact.where((F.col("snapshot_date_key") == key) & _sources(source, include_both)).isEmpty():
+            return key
+    return None
+
+
+def _window_cols(fact: DataFrame, source: str, include_both: bool = False, newest: int | None = None) -> dict[str, Column]:
+    max_key = F.lit(newest).cast("long") if newest is not None else fact.where(_sources(source, include_both)).agg(
         F.max("snapshot_date_key").cast("long").alias("m")
     ).scalar()
     max_d = yyyymmdd_to_date(max_key)
@@ -58,10 +73,12 @@ def report_window(fact: DataFrame, source: str = S.SOURCE_CONTENT) -> DataFrame:
     )
 
 
-def _scoped(fact: DataFrame, source: str, include_both: bool = False) -> tuple[DataFrame, dict[str, Column]]:
-    w = _window_cols(fact, source, include_both)
+def _scoped(fact: DataFrame, source: str, include_both: bool, newest: int | None) -> tuple[DataFrame, dict[str, Column]]:
+    """The newest row of each profile in the report window, and the window's columns."""
+    w = _window_cols(fact, source, include_both, newest)
     f = fact.where(_sources(source, include_both) & F.col("snapshot_date_key").between(w["min_date"], w["max_date"]))
-    return f, w
+    latest = Window.partitionBy("Profile_ID").orderBy(F.desc("snapshot_date_key"))
+    return f.withColumn("_r", F.row_number().over(latest)).where("_r = 1").drop("_r"), w
 
 
 def _with_service(f: DataFrame, dim: DataFrame) -> DataFrame:
@@ -87,9 +104,9 @@ def _distinct_users(f: DataFrame, keys: list[str], flags: dict[str, Column] | No
 
 
 def category_loyalty(fact: DataFrame, dim: DataFrame, source: str = S.SOURCE_CONTENT,
-                     include_both: bool = False) -> DataFrame:
+                     include_both: bool = False, newest: int | None = None) -> DataFrame:
     """W-32: per (CategoryGroup, Category): users, loyal (High) users, at-risk (Low) users, % loyal."""
-    f, _ = _scoped(fact, source, include_both)
+    f, _ = _scoped(fact, source, include_both, newest)
     f = _with_service(f, dim)
     agg = _distinct_users(
         f,
@@ -103,9 +120,9 @@ def category_loyalty(fact: DataFrame, dim: DataFrame, source: str = S.SOURCE_CON
 
 
 def category_taste(fact: DataFrame, dim: DataFrame, source: str = S.SOURCE_CONTENT,
-                   include_both: bool = False) -> DataFrame:
+                   include_both: bool = False, newest: int | None = None) -> DataFrame:
     """W-33: per (CategoryGroup, Category, Taste): users and their share within the Category."""
-    f, _ = _scoped(fact, source, include_both)
+    f, _ = _scoped(fact, source, include_both, newest)
     f = _with_service(f.where(F.col("Taste").isNotNull()), dim)
     agg = _distinct_users(f, ["CategoryGroup", "Category", "Taste"])
     share = _pct(F.col("TongUser"), F.sum("TongUser").over(Window.partitionBy("Category")))
@@ -113,9 +130,9 @@ def category_taste(fact: DataFrame, dim: DataFrame, source: str = S.SOURCE_CONTE
 
 
 def power_vs_casual(fact: DataFrame, dim: DataFrame, source: str = S.SOURCE_CONTENT,
-                    include_both: bool = False) -> DataFrame:
+                    include_both: bool = False, newest: int | None = None) -> DataFrame:
     """W-34: per (Active, CategoryGroup, Category): users and their share within the Active group."""
-    f, _ = _scoped(fact, source, include_both)
+    f, _ = _scoped(fact, source, include_both, newest)
     f = _with_service(f, dim).withColumnRenamed("Active", "UserType")
     agg = _distinct_users(f, ["UserType", "CategoryGroup", "Category"])
     share = _pct(F.col("TongUser"), F.sum("TongUser").over(Window.partitionBy("UserType")))
@@ -124,36 +141,30 @@ def power_vs_casual(fact: DataFrame, dim: DataFrame, source: str = S.SOURCE_CONT
 
 def genre_bucket(taste: Column) -> Column:
     """Number of genres in a Taste string -> bucket label ('' counts as one)."""
-    dashes = F.length(taste) - F.length(F.replace(taste, F.lit("-"), F.lit("")))
-    b = S.DIVERSITY_BUCKETS
-    return (
-        F.when(dashes == 0, F.lit(b[0]))
-        .when(dashes == 1, F.lit(b[1]))
-        .when(dashes == 2, F.lit(b[2]))
-        .when(dashes >= 3, F.lit(b[3]))
-    )
+    genres = F.size(F.split(taste, "-"))
+    return F.element_at(F.array(*[F.lit(b) for b in S.DIVERSITY_BUCKETS]), F.least(genres, F.lit(len(S.DIVERSITY_BUCKETS))))
 
 
-def taste_diversity(fact: DataFrame, source: str = S.SOURCE_CONTENT, include_both: bool = False) -> DataFrame:
+def taste_diversity(fact: DataFrame, source: str = S.SOURCE_CONTENT, include_both: bool = False, newest: int | None = None) -> DataFrame:
     """W-35: per (genre-count bucket, Active): users and share of all users in the report.
 
     The grand total is a window over the aggregated rows, whose count is
     bounded by 4 buckets x the Active values.
     """
-    f, _ = _scoped(fact, source, include_both)
+    f, _ = _scoped(fact, source, include_both, newest)
     f = f.where(F.col("Taste").isNotNull()).withColumn("SoTheLoaiXem", genre_bucket(F.col("Taste")))
     agg = _distinct_users(f, ["SoTheLoaiXem", "Active"])
     share = _pct(F.col("TongUser"), F.sum("TongUser").over(Window.partitionBy()))
     return agg.select("SoTheLoaiXem", "Active", "TongUser", share.alias("PhanTram"))
 
 
-def search_growth(fact: DataFrame, source: str = S.SOURCE_SEARCH, include_both: bool = False) -> DataFrame:
+def search_growth(fact: DataFrame, source: str = S.SOURCE_SEARCH, include_both: bool = False, newest: int | None = None) -> DataFrame:
     """W-36: per previous-month category: search volumes of both months, daily run
     rates (current month over its elapsed days, previous over its length), growth %.
 
     ``count_curr`` is summed under ``category_prev`` (report contract).
     """
-    f, w = _scoped(fact, source, include_both)
+    f, w = _scoped(fact, source, include_both, newest)
     f = f.where(F.col("category_prev").isNotNull() & F.col("category_curr").isNotNull())
     agg = f.groupBy(F.col("category_prev").alias("Category")).agg(
         F.sum("count_prev").alias("sp"), F.sum("count_curr").alias("sc")
@@ -171,9 +182,9 @@ def search_growth(fact: DataFrame, source: str = S.SOURCE_SEARCH, include_both:
     )
 
 
-def interest_migration(fact: DataFrame, source: str = S.SOURCE_SEARCH, include_both: bool = False) -> DataFrame:
+def interest_migration(fact: DataFrame, source: str = S.SOURCE_SEARCH, include_both: bool = False, newest: int | None = None) -> DataFrame:
     """W-37: users who changed category: (from, to) users and share of the leavers of ``from``."""
-    f, _ = _scoped(fact, source, include_both)
+    f, _ = _scoped(fact, source, include_both, newest)
     f = f.where(
         (F.col("Trending_Type") == "Changed")
         & F.col("category_prev").isNotNull()
@@ -184,26 +195,28 @@ def interest_migration(fact: DataFrame, source: str = S.SOURCE_SEARCH, include_b
     return agg.select("RoiKhoi", "ChuyenSang", "TongUser", share.alias("PhanTram_RoiKhoi"))
 
 
-def content_reports(fact: DataFrame, dim: DataFrame, include_both: bool = False) -> dict[str, DataFrame]:
+def content_reports(fact: DataFrame, dim: DataFrame, include_both: bool = False, newest: int | None = None) -> dict[str, DataFrame]:
     """The four viewing reports, each over the ``log_content`` window."""
+    kw = {"include_both": include_both, "newest": newest}
     return {
-        "olap_category_loyalty": category_loyalty(fact, dim, include_both=include_both),
-        "olap_category_taste": category_taste(fact, dim, include_both=include_both),
-        "olap_power_vs_casual": power_vs_casual(fact, dim, include_both=include_both),
-        "olap_taste_diversity": taste_diversity(fact, include_both=include_both),
+        "olap_category_loyalty": category_loyalty(fact, dim, **kw),
+        "olap_category_taste": category_taste(fact, dim, **kw),
+        "olap_power_vs_casual": power_vs_casual(fact, dim, **kw),
+        "olap_taste_diversity": taste_diversity(fact, **kw),
     }
 
 
-def search_reports(fact: DataFrame, include_both: bool = False) -> dict[str, DataFrame]:
+def search_reports(fact: DataFrame, include_both: bool = False, newest: int | None = None) -> dict[str, DataFrame]:
     """The two search reports, each over the ``log_search`` window."""
-    return {
-        "olap_search_growth": search_growth(fact, include_both=include_both),
-        "olap_interest_migration": interest_migration(fact, include_both=include_both),
-    }
+    kw = {"include_both": include_both, "newest": newest}
+    return {"olap_search_growth": search_growth(fact, **kw), "olap_interest_migration": interest_migration(fact, **kw)}
 
 
 def all_reports(fact: DataFrame, dim: DataFrame, include_both: bool = False) -> dict[str, DataFrame]:
-    return {**content_reports(fact, dim, include_both), **search_reports(fact, include_both)}
+    """All six, with the newest snapshot of each source looked up once."""
+    content = newest_snapshot(fact, S.SOURCE_CONTENT, include_both)
+    search = newest_snapshot(fact, S.SOURCE_SEARCH, include_both)
+    return {**content_reports(fact, dim, include_both, content), **search_reports(fact, include_both, search)}
 
 
 # Presentation order of each report (applied when reading a report, not stored).

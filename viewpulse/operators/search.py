@@ -7,13 +7,11 @@ holds a large share of the rows is reduced before any shuffle.
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from viewpulse import schemas as S
-from viewpulse.functions.dates import as_date
+from viewpulse.functions.dates import as_date, month_before
 from viewpulse.functions.text import clean_keyword, search_month, with_computed
 
 PREV = "prev"
@@ -23,8 +21,7 @@ CURR = "curr"
 def comparison_months(end_date) -> tuple[int, int]:
     """(previous month, current month) numbers for a snapshot end date."""
     end = as_date(end_date)
-    prev = end.replace(day=1) - _dt.timedelta(days=1)
-    return prev.month, end.month
+    return month_before(end).month, end.month
 
 
 def clean_search(df: DataFrame, min_len: int = S.MIN_KEYWORD_LENGTH) -> DataFrame:
@@ -142,9 +139,14 @@ def map_categories(pairs: DataFrame, kmap: DataFrame) -> DataFrame:
     is collapsed to its smallest category.
     """
     d = kmap.groupBy("keyword").agg(F.min("category").alias("category"))
-    prev = d.select(F.col("keyword").alias("most_searched_prev"), F.col("category").alias("category_prev"))
-    curr = d.select(F.col("keyword").alias("most_searched_curr"), F.col("category").alias("category_curr"))
-    return pairs.join(prev, "most_searched_prev", "left").join(curr, "most_searched_curr", "left")
+    sides = F.array(
+        F.struct(F.lit(PREV).alias("side"), F.col("most_searched_prev").alias("keyword")),
+        F.struct(F.lit(CURR).alias("side"), F.col("most_searched_curr").alias("keyword")),
+    )
+    # both keywords of a user meet the dictionary in one join, and are folded per user after it
+    stacked = pairs.select("*", F.inline(sides)).join(d, "keyword", "left")
+    of_side = lambda side: F.max(F.when(F.col("side") == side, F.col("category")))
+    return stacked.groupBy(*pairs.columns).agg(of_side(PREV).alias("category_prev"), of_side(CURR).alias("category_curr"))
 
 
 def category_shift(df: DataFrame) -> DataFrame:
@@ -153,12 +155,11 @@ def category_shift(df: DataFrame) -> DataFrame:
     A NULL category never equals anything: the row is Changed and ``Previous``
     holds the non-NULL side (or '').
     """
-    same = F.col("category_prev") == F.col("category_curr")
-    return df.withColumn(
-        "Trending_Type", F.when(same, F.lit("Unchanged")).otherwise(F.lit("Changed"))
-    ).withColumn(
-        "Previous",
-        F.when(same, F.lit("Unchanged")).otherwise(F.concat_ws("-", F.col("category_prev"), F.col("category_curr"))),
+    moved = ~F.coalesce(F.col("category_prev") == F.col("category_curr"), F.lit(False))
+    path = F.concat_ws("-", "category_prev", "category_curr")
+    return df.select(
+        "*", F.when(moved, "Changed").otherwise("Unchanged").alias("Trending_Type"),
+        F.when(moved, path).otherwise("Unchanged").alias("Previous"),
     )
 
 
@@ -166,10 +167,8 @@ def user_device(log: DataFrame) -> DataFrame:
     """W-22: one device row per user: the latest day's, ties to the largest
     ``(proxy_isp, platform, networkType)``.  Output ``user_id, proxy_isp, platform, networkType``.
     """
-    dev = F.max(F.struct("log_date", "proxy_isp", "platform", "networkType")).alias("dev")
-    return (
-        log.where(F.col("user_id").isNotNull())
-        .groupBy("user_id")
-        .agg(dev)
-        .select("user_id", "dev.proxy_isp", "dev.platform", "dev.networkType")
-    )
+    # distinct first, by a hash aggregate: a maximum of strings would sort every raw row
+    device = ["log_date", "proxy_isp", "platform", "networkType"]
+    days = log.where(F.col("user_id").isNotNull()).select("user_id", *device).distinct()
+    latest = days.groupBy("user_id").agg(F.max(F.struct(*device)).alias("dev"))
+    return latest.select("user_id", *[F.col("dev")[c].alias(c) for c in device[1:]])

@@ -9,6 +9,7 @@ dictionary refresh (W-09..W-12) is a separate job, off the critical path.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -16,7 +17,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from viewpulse.operators import keywords as K
 from viewpulse.operators import reports as R
-from viewpulse.operators import search as Q
 from viewpulse.operators import star as ST
 from viewpulse.plans.profiles import build_content_profile, build_search_profile, search_pairs
 from viewpulse.plans.warehouse import load_table
@@ -63,6 +63,7 @@ def run_snapshot(
     incremental_dir: str | None = None,
     database: str | None = None,
     include_both: bool = False,
+    load_mode: str = "append",
 ) -> RunResult | None:
     """Build and load one snapshot; returns None when no log day exists.
 
@@ -79,15 +80,18 @@ def run_snapshot(
 
     With ``database`` every output is also registered as a catalog table
     ``database.<name>`` (external parquet at the same path).  ``include_both``
-    makes the reports count profiles seen in both logs as well.
+    makes the reports count profiles seen in both logs as well.  ``load_mode``
+    "replace" keeps only this snapshot in the fact, "append" keeps the history.
     """
-    window = L.resolve_window(spark, search_root, content_root, start, end)
+    window = L.resolve_window(spark, search_root, content_root, start, end, layout)
     if window is None:
         return None
     start, end = window
+    if load_mode not in ("append", "replace"):
+        raise ValueError(f"load_mode must be 'append' or 'replace', not {load_mode!r}")
     key = ST.snapshot_key(end)
     out = out.rstrip("/")
-    stage = (stage_dir or f"{shared_dir(spark).rstrip('/')}/viewpulse-stage").rstrip("/") + f"/{key}"
+    stage = (stage_dir or f"{shared_dir(spark).rstrip('/')}/viewpulse-stage").rstrip("/") + f"/{key}-{uuid.uuid4().hex[:12]}"
 
     kmap = D.read_keyword_map(spark, keyword_map_path)
     if incremental_dir:
@@ -136,7 +140,7 @@ def run_snapshot(
         return f"{database}.{name}" if database else None
 
     _concurrently(
-        [lambda: load_table(fact_sorted, tables["fact_customer_360"], "append",
+        [lambda: load_table(fact_sorted, tables["fact_customer_360"], load_mode,
                             table=qualified("fact_customer_360"))]
         + [(lambda n=n, df=df: load_table(df, tables[n], "replace", skip_empty=False, table=qualified(n)))
            for n, df in dims.items()]
@@ -162,16 +166,11 @@ def refresh_keyword_map(
     new_map_path: str,
     start=None,
     classifier: K.Classifier | None = None,
-    limit_prev: int = 10000,
-    offset_prev: int = 0,
-    limit_curr: int = 10000,
-    offset_curr: int = 0,
 ) -> DataFrame:
-    """W-09..W-12 as a job: page the popular keywords, classify, merge into a new dictionary version."""
-    pairs = search_pairs(search_log, end, start)
-    page = Q.page_keywords(pairs, limit_prev, offset_prev, limit_curr, offset_curr)
-    merged = K.merge_map(D.read_keyword_map(spark, old_map_path), K.classify(page, classifier=classifier))
-    D.write_keyword_map(merged, new_map_path)
+    """W-11, W-12 as a job: classify every keyword that the dictionary lacks, merge into a new dictionary version."""
+    known = D.read_keyword_map(spark, old_map_path)
+    fresh = K.new_keywords(search_pairs(search_log, end, start), known)
+    D.write_keyword_map(K.merge_map(known, K.classify(fresh, classifier=classifier)), new_map_path)
     return D.read_keyword_map(spark, new_map_path)
 
 

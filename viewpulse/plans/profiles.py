@@ -43,10 +43,14 @@ def search_pairs(log: DataFrame, end_date, start_date=None, with_device: bool =
         "user_id", period.alias("period"), "kw", *(["dev"] if with_device else [])
     ).select("user_id", "period", F.when(F.col("period").isNotNull(), F.col("kw")).alias("keyword"),
              *(["dev"] if with_device else []))
-    lvl1_aggs = [F.count(F.lit(1)).alias("search_count")]
-    if with_device:
-        lvl1_aggs.append(F.max("dev").alias("dev"))
-    lvl1 = tagged.groupBy("user_id", "period", "keyword").agg(*lvl1_aggs)
+    counts = F.count(F.lit(1)).alias("search_count")
+    if not with_device:
+        return top_pairs(tagged.groupBy("user_id", "period", "keyword").agg(counts))
+    # The device is a grouping key of the first aggregate, whose buffer is then a
+    # number: raw rows are hashed, not sorted.  Its few rows carry the maximum.
+    per_day = tagged.groupBy("user_id", "period", "keyword", "dev").agg(counts)
+    lvl1 = per_day.groupBy("user_id", "period", "keyword").agg(
+        F.sum("search_count").alias("search_count"), F.max("dev").alias("dev"))
 
     return top_pairs(lvl1, with_device)
 

@@ -69,9 +69,43 @@ def _page(spark, sf):
     return Q.page_keywords(_pairs(spark, sf), **PAGE)
 
 
+# Rules that the test keywords hit, one keyword by two of them.
+RULES = [("blue|gizmo", "Music"), ("old", "Drama"), ("ring$", "Sports")]
+
+
+def _all_keywords(spark, sf):
+    pairs = _pairs(spark, sf)
+    return pairs.select(F.explode(F.array("most_searched_prev", "most_searched_curr")).alias("keyword")).distinct()
+
+
+def _classified(spark, sf):
+    return K.classify(_all_keywords(spark, sf), RULES)
+
+
+def _half_map(spark, sf):
+    """A dictionary that lacks some keywords, so that a merge has entries to add."""
+    return TD.keyword_map(spark, sf).where(F.length("keyword") % 2 == 0)
+
+
+def _two_snapshots(spark, sf):
+    """The fact of the newest day without profiles whose id ends in 7, and an older snapshot with all profiles and other counts."""
+    fact = _fact(spark, sf)
+    older = fact.withColumn("snapshot_date_key", F.lit(20220701)).withColumn("count_prev", F.col("count_prev") + 3)
+    return fact.where(~F.col("Profile_ID").endswith("7")).unionByName(older)
+
+
+def _daily_logs(spark, sf):
+    """The raw search log in the daily layout, one folder of parquet a day, in the shared folder."""
+    root = f"{L.stage_root(spark, sf)}/daily_search"
+    log = TD.search_log(spark, sf).withColumn("day", F.date_format("log_date", "yyyyMMdd")).drop("log_date")
+    for r in log.select("day").distinct().collect():  # a few dozen days
+        log.where(F.col("day") == r["day"]).drop("day").write.mode("overwrite").parquet(f"{root}/{r['day']}")
+    return root
+
+
 def _window(spark, sf):
-    logs = _search_log(spark, sf).select(F.col("log_date").alias("d")).unionByName(
-        _content_log(spark, sf).select(F.col("Date").alias("d"))
+    logs = TD.search_log(spark, sf).select(F.col("log_date").alias("d")).unionByName(
+        TD.content_log(spark, sf).select(F.col("Date").alias("d"))
     )
     return L.latest_date(logs, "d")
 
@@ -87,17 +121,25 @@ def _loaded_fact(spark, sf):
     return spark.read.parquet(path).select(*fact.columns)
 
 
-def _daily_run_loyalty(spark, sf):
-    """W-38: the whole daily run over the staged raw logs; returns the loyalty report table."""
-    from viewpulse.plans.daily_run import run_snapshot
-    from viewpulse.sources import dictionary as D
+def _daily_run_table(name):
+    """W-38: the whole daily run over the staged raw logs; returns one of its tables."""
+    def run(spark, sf):
+        from viewpulse.plans.daily_run import run_snapshot
+        from viewpulse.sources import dictionary as D
+
+        root = L.stage_logs(spark, sf)
+        kmap_path = f"{root}/mapping"
+        if kmap_path not in _RUNS:
+            D.write_keyword_map(TD.keyword_map(spark, sf), kmap_path)
+            _RUNS[kmap_path] = run_snapshot(spark, f"{root}/log_search", f"{root}/log_content", kmap_path,
+                                            f"{root}/warehouse_run", START, END, layout="hive").tables
+        return spark.read.parquet(_RUNS[kmap_path][name])
+
+    return run
+
 
-    root = L.stage_logs(spark, sf)
-    kmap_path = f"{root}/mapping"
-    D.write_keyword_map(TD.keyword_map(spark, sf), kmap_path)
-    res = run_snapshot(spark, f"{root}/log_search", f"{root}/log_content", kmap_path, f"{root}/warehouse_run",
-                       START, END, layout="hive")
-    return spark.read.parquet(res.tables["olap_category_loyalty"])
+#: Tables of a daily run by its staged logs: the queries over one run's tables share it.
+_RUNS: dict[str, dict[str, str]] = {}
 
 
 def build() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -112,8 +154,8 @@ def build() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["prev_curr_keywords"] = lambda s, sf: Q.pair_periods(Q.top_keywords(_counts(s, sf)))
     q["keyword_popularity"] = lambda s, sf: Q.keyword_popularity(_pairs(s, sf))
     q["keyword_page"] = _page
-    q["classify_keywords"] = lambda s, sf: K.classify(_page(s, sf))
-    q["merge_keyword_map"] = lambda s, sf: K.merge_map(TD.keyword_map(s, sf), K.classify(_page(s, sf)))
+    q["classify_keywords"] = lambda s, sf: _classified(s, sf)
+    q["merge_keyword_map"] = lambda s, sf: K.merge_map(_half_map(s, sf), _classified(s, sf))
     q["map_categories"] = lambda s, sf: Q.map_categories(_pairs(s, sf), TD.keyword_map(s, sf))
     q["category_shift"] = lambda s, sf: Q.category_shift(Q.map_categories(_pairs(s, sf), TD.keyword_map(s, sf)))
     q["search_profile"] = _search_profile
@@ -137,5 +179,11 @@ def build() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["olap_taste_diversity"] = lambda s, sf: R.taste_diversity(_fact(s, sf))
     q["olap_search_growth"] = lambda s, sf: R.search_growth(_fact(s, sf))
     q["olap_interest_migration"] = lambda s, sf: R.interest_migration(_fact(s, sf))
-    q["daily_run"] = _daily_run_loyalty
+    q["search_growth_two_snapshots"] = lambda s, sf: R.search_growth(_two_snapshots(s, sf))
+    q["power_vs_casual_two_snapshots"] = lambda s, sf: R.power_vs_casual(_two_snapshots(s, sf), ST.dim_service(s))
+    q["scan_search_log_daily"] = lambda s, sf: L.read_search_log(s, _daily_logs(s, sf), start=START)
+    q["daily_run"] = _daily_run_table("olap_category_loyalty")
+    for name in ("fact_customer_360", "dim_date", "olap_category_taste", "olap_power_vs_casual", "olap_taste_diversity",
+                 "olap_search_growth", "olap_interest_migration"):
+        q[f"daily_run_{name}"] = _daily_run_table(name)
     return q

@@ -29,21 +29,20 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder for lineage cuts and staged tables.
 
     Read from the session (``SparkContext`` checkpoint dir or the
-    ``spark.checkpoint.dir`` setting).  Only when neither is set (local
-    tests) a fresh temporary folder is created and registered.
+    ``spark.checkpoint.dir`` setting).  A local session has one disk, so there
+    a missing setting gives a fresh temporary folder; on a cluster it is an error,
+    since executors would write to their own disks.
     """
     try:  # classic sessions; a Spark Connect session has no SparkContext
         sc = spark.sparkContext
         d = sc.getCheckpointDir()
     except Exception:
         sc, d = None, None
+    d = d or spark.conf.get("spark.checkpoint.dir", None)
     if d:
         return d
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if d:
-        return d
-    d = tempfile.mkdtemp(prefix="viewpulse-shared-")  # local runs only
-    if sc is not None:
-        sc.setCheckpointDir(d)
-        return sc.getCheckpointDir() or d
-    return d
+    if sc is None or not sc.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir (or pass stage_dir) to a folder that all executors share")
+    d = tempfile.mkdtemp(prefix="viewpulse-shared-")
+    sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d

@@ -4,12 +4,14 @@ Two on-disk layouts are read:
 
 * ``daily`` - the operational layout: search log as one folder of parquet
   per day (``root/YYYYMMDD/*.parquet``), content log as one JSON-lines file
-  per day (``root/YYYYMMDD.json``).  The day list of the requested range is
-  turned into a single glob, so one scan reads every existing day and
-  missing days are simply not matched.
+  per day (``root/YYYYMMDD.json``).  One listing of the root gives its days;
+  those of the requested range, either side of which may be open, become a
+  single glob, so one scan reads them and nothing else.
 * ``hive`` - date-partitioned folders (``log_date=YYYY-MM-DD`` /
   ``Date=YYYY-MM-DD``), where the range filter prunes partitions.
 
+A missing day is skipped in both; a missing root folder raises.
+
 Both readers use fixed schemas (no inference pass).  A content row may be
 wrapped in an ``_source`` envelope; flat and wrapped rows can be mixed.
 """
@@ -18,29 +20,37 @@ from __future__ import annotations
 
 import datetime as _dt
 import hashlib
+import re
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from viewpulse import schemas as S
-from viewpulse.functions.dates import as_date, in_window, month_start_before
+from viewpulse.functions.dates import as_date, in_window, month_before, month_start_before
 
 SEARCH_DAY_IN_PATH = r"/(\d{8})/[^/]+$"
 CONTENT_DAY_IN_PATH = r"/(\d{8})\.json(/[^/]+)?$"
 
 
-def _days(start, end) -> list[str]:
-    s, e = as_date(start), as_date(end)
-    return [(s + _dt.timedelta(days=i)).strftime("%Y%m%d") for i in range((e - s).days + 1)]
+def _day_files(spark: SparkSession, root: str, start, end, kind: str) -> str | None:
+    """A glob of the days of ``[start, end]`` that are there (either side may be open); None when there is none."""
+    suffix = ".json" if kind == "content" else ""
+    first, last = as_date(start) if start else _dt.date.min, as_date(end) if end else _dt.date.max
+    days = [d.strftime("%Y%m%d") for d in days_on_disk(spark, root, kind) if first <= d <= last]
+    return f"{root.rstrip('/')}/{{{','.join(days)}}}{suffix}" if days else None
+
 
+def _root_exists(spark: SparkSession, root: str) -> bool:
+    """Whether the folder itself is there (asked through Spark's file system layer)."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
 
-def _glob(root: str, start, end, suffix: str) -> str:
-    root = root.rstrip("/")
-    if start is None or end is None:
-        return f"{root}/{'[0-9]' * 8}{suffix}"
-    return f"{root}/{{{','.join(_days(start, end))}}}{suffix}"
+
+def _require_root(spark: SparkSession, root: str) -> None:
+    """A day may be missing, the log itself may not: a mistyped path must not look like an empty log."""
+    if not _root_exists(spark, root):
+        raise FileNotFoundError(f"no such log folder: {root}")
 
 
 def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
@@ -48,9 +58,6 @@ def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-_empty = empty_frame
-
-
 SEARCH_OUT_SCHEMA = T.StructType(S.SEARCH_LOG_FIELDS + [T.StructField("log_date", T.DateType())])
 CONTENT_OUT_SCHEMA = T.StructType(S.CONTENT_FIELDS + [T.StructField("Date", T.DateType())])
 
@@ -60,19 +67,22 @@ def read_search_log(spark: SparkSession, root: str, start=None, end=None, layout
 
     Output: ``user_id, keyword, datetime, proxy_isp, platform, networkType, log_date``.
     """
-    try:
-        if layout == "hive":
-            df = spark.read.schema(SEARCH_OUT_SCHEMA).parquet(root)
-            return in_window(df, "log_date", start, end).select(*SEARCH_OUT_SCHEMA.fieldNames())
-        df = spark.read.schema(S.SEARCH_LOG_SCHEMA).parquet(_glob(root, start, end, ""))
-    except AnalysisException:
-        return _empty(spark, SEARCH_OUT_SCHEMA)
+    _require_root(spark, root)
+    if layout == "hive":
+        df = spark.read.schema(SEARCH_OUT_SCHEMA).parquet(root)
+        return in_window(df, "log_date", start, end).select(*SEARCH_OUT_SCHEMA.fieldNames())
+    files = _day_files(spark, root, start, end, "search")
+    if files is None:
+        return empty_frame(spark, SEARCH_OUT_SCHEMA)
+    df = spark.read.schema(S.SEARCH_LOG_SCHEMA).parquet(files)
     day = F.try_to_date(F.regexp_extract(F.col("_metadata.file_path"), SEARCH_DAY_IN_PATH, 1), "yyyyMMdd")
     return df.select(*S.SEARCH_LOG_SCHEMA.fieldNames(), day.alias("log_date"))
 
 
 def _unwrap(df: DataFrame) -> list:
-    return [F.coalesce(F.col(f"_source.{f.name}"), F.col(f.name)).alias(f.name) for f in S.CONTENT_FIELDS]
+    """Each row is wrapped as a whole or not at all, so a field missing inside is NULL."""
+    wrapped = F.col("_source").isNotNull()
+    return [F.when(wrapped, F.col("_source")[f.name]).otherwise(F.col(f.name)).alias(f.name) for f in S.CONTENT_FIELDS]
 
 
 def read_content_log(spark: SparkSession, root: str, start=None, end=None, layout: str = "daily") -> DataFrame:
@@ -80,14 +90,15 @@ def read_content_log(spark: SparkSession, root: str, start=None, end=None, layou
 
     Output: ``Contract, AppName, TotalDuration, Date``.
     """
-    try:
-        if layout == "hive":
-            schema = T.StructType(S.CONTENT_FILE_SCHEMA.fields + [T.StructField("Date", T.DateType())])
-            df = in_window(spark.read.schema(schema).json(root), "Date", start, end)
-            return df.select(*_unwrap(df), "Date")
-        df = spark.read.schema(S.CONTENT_FILE_SCHEMA).json(_glob(root, start, end, ".json"))
-    except AnalysisException:
-        return _empty(spark, CONTENT_OUT_SCHEMA)
+    _require_root(spark, root)
+    if layout == "hive":
+        schema = T.StructType(S.CONTENT_FILE_SCHEMA.fields + [T.StructField("Date", T.DateType())])
+        df = in_window(spark.read.schema(schema).json(root), "Date", start, end)
+        return df.select(*_unwrap(df), "Date")
+    files = _day_files(spark, root, start, end, "content")
+    if files is None:
+        return empty_frame(spark, CONTENT_OUT_SCHEMA)
+    df = spark.read.schema(S.CONTENT_FILE_SCHEMA).json(files)
     day = F.try_to_date(F.regexp_extract(F.col("_metadata.file_path"), CONTENT_DAY_IN_PATH, 1), "yyyyMMdd")
     return df.select(*_unwrap(df), day.alias("Date"))
 
@@ -98,47 +109,38 @@ def latest_date(df: DataFrame, date_col: str = "log_date") -> DataFrame:
     return m.select("max_date", month_start_before(F.col("max_date")).alias("window_start"))
 
 
-def days_on_disk(spark: SparkSession, root: str, kind: str = "search") -> DataFrame:
-    """Day stamps present under a raw-log root, from the file listing only.
+def days_on_disk(spark: SparkSession, root: str, kind: str = "search", layout: str = "daily") -> list[_dt.date]:
+    """The days present under a raw-log root: one listing of the root's own entries, no file below them.
 
-    ``binaryFile`` without its ``content`` column lists files in parallel and
-    reads no data, so finding the newest day costs a listing, not a scan.
+    Days come back to the driver, at most one entry a day of history.
     """
-    pattern = SEARCH_DAY_IN_PATH if kind == "search" else CONTENT_DAY_IN_PATH
-    try:
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    except AnalysisException:
-        return _empty(spark, T.StructType([T.StructField("log_date", T.DateType())]))
-    day = F.try_to_date(F.regexp_extract("path", pattern, 1), "yyyyMMdd")
-    return files.select(day.alias("log_date")).where(F.col("log_date").isNotNull())
+    _require_root(spark, root)
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    names = [s.getPath().getName() for s in path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(path)]
+    pattern = r"(?:log_date|Date)=(\d{4})-(\d{2})-(\d{2})" if layout == "hive" else r"(\d{4})(\d{2})(\d{2})" + ("" if kind == "search" else r"\.json")
+    days = []
+    for name in names:
+        if m := re.fullmatch(pattern, name):
+            try:
+                days.append(_dt.date(*map(int, m.groups())))
+            except ValueError:  # eight digits that are no day
+                continue
+    return sorted(days)
 
 
 def resolve_window(spark: SparkSession, search_root: str | None, content_root: str | None,
-                   start=None, end=None) -> tuple[_dt.date, _dt.date] | None:
+                   start=None, end=None, layout: str = "daily") -> tuple[_dt.date, _dt.date] | None:
     """Explicit dates win; a missing ``end`` is the newest day on disk over both
-    logs, a missing ``start`` the first day of the month before ``end``.
-
-    Brings back one scalar row (the window), never data.
-    """
+    logs, a missing ``start`` the first day of the month before ``end``."""
     if end is None:
-        parts = []
-        if search_root:
-            parts.append(days_on_disk(spark, search_root, "search"))
-        if content_root:
-            parts.append(days_on_disk(spark, content_root, "content"))
-        if not parts:
-            return None
-        allx = parts[0]
-        for p in parts[1:]:
-            allx = allx.unionByName(p)
-        row = latest_date(allx).first()
-        if row is None or row["max_date"] is None:
+        days = [days_on_disk(spark, root, kind, layout)[-1:] for root, kind in ((search_root, "search"), (content_root, "content")) if root]
+        newest = [d for own in days for d in own]
+        if not newest:
             return None
-        end = row["max_date"]
+        end = max(newest)
     end = as_date(end)
-    if start is None:
-        start = (end.replace(day=1) - _dt.timedelta(days=1)).replace(day=1)
-    return as_date(start), end
+    return (month_before(end) if start is None else as_date(start)), end
 
 
 # --- staging of the test adapters (for the scan queries) ---------------------------
