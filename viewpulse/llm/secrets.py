@@ -35,6 +35,7 @@ KINDS = ("assign", "access", "hex", "markov")
 #: Characters that models know, and that candidate runs are made of.
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 STATES = len(ALPHABET) + 1
+PRIOR = 5.0
 _STATE = np.zeros(129, np.int16)
 _STATE[[ord(c) for c in ALPHABET]] = np.arange(1, STATES)
 
@@ -91,14 +92,20 @@ def _add(counts: np.ndarray, s: np.ndarray) -> None:
 
 
 def _ratios(cells) -> np.ndarray | None:
-    """log P(next | state, random) - log P(next | state, ordinary), with one added to each count."""
+    """log P(next | state, random) - log P(next | state, ordinary).
+
+    A state's row is smoothed, with the weight of ``PRIOR`` transitions: ordinary text
+    towards its own characters' shares, so that characters it never has stay unlikely, and random strings towards even shares.
+    """
     counts = np.zeros((2, STATES, STATES))
     for label, cell, n in cells:
         counts[label, cell // STATES, cell % STATES] = n
     counts[:, 0, 0] = 0
     if not counts[0].any() or not counts[1].any():
         return None
-    p = (counts + 1) / (counts + 1).sum(axis=2, keepdims=True)
+    shares = (counts[0].sum(axis=0) + 1) / (counts[0].sum() + STATES)
+    prior = np.stack([np.tile(shares, (STATES, 1)), np.full((STATES, STATES), 1 / STATES)])
+    p = (counts + PRIOR * prior) / (counts.sum(axis=2, keepdims=True) + PRIOR)
     return np.log(p[1]) - np.log(p[0])
 
 

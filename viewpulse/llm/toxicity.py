@@ -174,17 +174,16 @@ def fit_curve(votes: np.ndarray, labels: np.ndarray, prior: float) -> tuple[floa
 
 
 def _sample(labelled: DataFrame, per_class: int, calibration_rows: int) -> DataFrame:
-    """Ids, labels and use of the rows to fit on: the first of each label, then the next of all, by hash of the id."""
-    by_hash = labelled.select("id", "label", F.xxhash64("id").alias("h"))
-    parts = []
-    for label in (0, 1):
-        own = by_hash.where(F.col("label") == label).orderBy("h", "id").limit(per_class)
-        parts.append(own.withColumn("use", F.lit("example")))
-    examples = parts[0].unionByName(parts[1])
-    rest = by_hash.join(examples.select("id"), "id", "left_anti")
-    # a second hash, so that these rows have the labels' own shares
-    rest = rest.orderBy(F.xxhash64(F.col("h"), F.lit(1)), "id").limit(calibration_rows)
-    return examples.unionByName(rest.withColumn("use", F.lit("calibration"))).select("id", "label", "use")
+    """Ids, labels and use of the rows to fit on.
+
+    A hash of the id deals a third of the rows to calibration, so that it has the labels' own
+    shares, and the others to the examples; of either the first by another hash are taken.
+    """
+    dealt = labelled.select("id", "label", F.xxhash64("id").alias("h")).withColumn("third", F.pmod(F.xxhash64("h", F.lit(1)), F.lit(3)))
+    parts = [dealt.where((F.col("third") > 0) & (F.col("label") == label)).orderBy("h", "id").limit(per_class).withColumn("use", F.lit("example"))
+             for label in (0, 1)]
+    held = dealt.where("third = 0").orderBy("h", "id").limit(calibration_rows).withColumn("use", F.lit("calibration"))
+    return parts[0].unionByName(parts[1]).unionByName(held).select("id", "label", "use")
 
 
 def _term_table(labelled_texts: DataFrame, n_terms: int, least_chi: float) -> list[tuple[str, float]]:
@@ -203,10 +202,12 @@ def _term_table(labelled_texts: DataFrame, n_terms: int, least_chi: float) -> li
     rows = labelled_texts.select("text", "label").mapInArrow(count, "term string, toxic long, clean long")
     n = labelled_texts.agg(F.sum("label").alias("p"), F.count("*").alias("n")).first()
     p, q = float(n["p"] or 0), float((n["n"] or 0) - (n["p"] or 0))
+    if not p or not q:
+        return []
     by_term = rows.groupBy("term").agg(F.sum("toxic").alias("a"), F.sum("clean").alias("b"))
     a, b = F.col("a"), F.col("b")
-    expected = (a + b) * F.lit(p / max(1.0, p + q))
-    chi = (a - expected) * (a - expected) / (expected * F.lit(max(1e-12, q / max(1.0, p + q))) * (1 - (a + b) / F.lit(p + q + 1.0)))
+    expected = (a + b) * F.lit(p / (p + q))
+    chi = (a - expected) * (a - expected) / (expected * F.lit(q / (p + q)) * (1 - (a + b) / F.lit(p + q + 1.0)))
     top = by_term.where(a + b >= 3).select("term", chi.alias("chi")).where(F.col("chi") >= least_chi).orderBy(F.desc("chi"), "term").limit(n_terms)
     return [(r["term"], r["chi"]) for r in top.collect()]
 
