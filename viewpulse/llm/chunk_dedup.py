@@ -77,7 +77,7 @@ def chunk(text: str | bytes, mask_bits: int, least: int, most: int) -> tuple[np.
     return digest.view(np.int64), (starts << (LENGTH_BITS + WORD_BITS)) | ((ends - starts) << WORD_BITS) | n_words
 
 
-def chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mask_bits: int = 4, least: int = 8,
+def chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mask_bits: int = 4, least: int = 12,
            most: int = 256) -> DataFrame:
     """``row, id, digests, places``: the chunks of each row, written to the shared folder."""
     def run(batches):

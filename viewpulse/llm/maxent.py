@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from viewpulse.llm.common import cut, text_or_empty
+from viewpulse.llm.resampling import kth_largest
 from viewpulse.llm.slices import U, byte_table, mix, parts, slice_hashes, words
 
 #: Stands for the end token in tables of counts; no token holds white space.
@@ -219,11 +220,12 @@ def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
     taught = docs.where(F.coalesce(learn, F.lit(False))).select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
     counts = count_tokens(taught)
     types, n_train = counts.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
-    top = counts.orderBy(F.desc("n"), "token").limit(head).collect()  # at most ``head`` short tokens
-    top = [(bytes(r["token"]), r["n"]) for r in top]
+    # the head: all tokens above the head-th largest count, so at most ``head`` short tokens reach the driver
+    least_n = kth_largest(counts.select(F.col("n").cast("double").alias("n")), "n", head) if types > head else 0
+    top = sorted(((bytes(r["token"]), r["n"]) for r in counts.where(F.col("n") > least_n).collect()), key=lambda x: (-x[1], x[0]))
     members = top[: classes * width]
     if members and END not in {t for t, _ in members}:
-        members[-1] = (END, next((n for t, n in top if t == END), 1))
+        members[-1] = (END, counts.where(F.col("token") == F.lit(END)).first()["n"])
     in_classes = sum(n + 1 for _, n in members)
     rest = n_train + types + 1 - in_classes
     model = Model([t for t, _ in members], [n for _, n in members], rest, buckets, width)
