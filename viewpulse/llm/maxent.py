@@ -223,9 +223,11 @@ def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
     # the head: all tokens above the head-th largest count, so at most ``head`` short tokens reach the driver
     least_n = kth_largest(counts.select(F.col("n").cast("double").alias("n")), "n", head) if types > head else 0
     top = sorted(((bytes(r["token"]), r["n"]) for r in counts.where(F.col("n") > least_n).collect()), key=lambda x: (-x[1], x[0]))
+    if types and END not in {t for t, _ in top}:
+        top.append((END, counts.where(F.col("token") == F.lit(END)).first()["n"]))
     members = top[: classes * width]
     if members and END not in {t for t, _ in members}:
-        members[-1] = (END, counts.where(F.col("token") == F.lit(END)).first()["n"])
+        members[-1] = next(x for x in top if x[0] == END)
     in_classes = sum(n + 1 for _, n in members)
     rest = n_train + types + 1 - in_classes
     model = Model([t for t, _ in members], [n for _, n in members], rest, buckets, width)
