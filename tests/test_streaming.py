@@ -60,3 +60,17 @@ def test_daily_run_incremental_equals_full(spark, scratch):
     for name in ("fact_customer_360", "dim_user", "dim_cust", "olap_category_loyalty", "olap_search_growth"):
         a = _rows(spark.read.parquet(full.tables[name]))
         assert a == _rows(spark.read.parquet(inc.tables[name])) == _rows(spark.read.parquet(again.tables[name])), name
+
+
+def test_empty_log_and_lost_checkpoint(spark, scratch):
+    import os
+
+    import pytest
+
+    from viewpulse import streaming as ST_
+
+    os.makedirs(f"{scratch}/none")
+    assert ST_.content_profile_from_partials(spark, f"{scratch}/none_partials").count() == 0
+    os.makedirs(f"{scratch}/kept_partials")
+    with pytest.raises(ValueError):
+        ST_.ingest_content(spark, f"{scratch}/none", f"{scratch}/kept_partials", f"{scratch}/lost_ckpt")

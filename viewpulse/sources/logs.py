@@ -41,7 +41,7 @@ def _day_files(spark: SparkSession, root: str, start, end, kind: str) -> str | N
     return f"{root.rstrip('/')}/{{{','.join(days)}}}{suffix}" if days else None
 
 
-def _root_exists(spark: SparkSession, root: str) -> bool:
+def root_exists(spark: SparkSession, root: str) -> bool:
     """Whether the folder itself is there (asked through Spark's file system layer)."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
     return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
@@ -49,7 +49,7 @@ def _root_exists(spark: SparkSession, root: str) -> bool:
 
 def _require_root(spark: SparkSession, root: str) -> None:
     """A day may be missing, the log itself may not: a mistyped path must not look like an empty log."""
-    if not _root_exists(spark, root):
+    if not root_exists(spark, root):
         raise FileNotFoundError(f"no such log folder: {root}")
 
 
@@ -79,7 +79,7 @@ def read_search_log(spark: SparkSession, root: str, start=None, end=None, layout
     return df.select(*S.SEARCH_LOG_SCHEMA.fieldNames(), day.alias("log_date"))
 
 
-def _unwrap(df: DataFrame) -> list:
+def unwrap_content() -> list:
     """Each row is wrapped as a whole or not at all, so a field missing inside is NULL."""
     wrapped = F.col("_source").isNotNull()
     return [F.when(wrapped, F.col("_source")[f.name]).otherwise(F.col(f.name)).alias(f.name) for f in S.CONTENT_FIELDS]
@@ -94,13 +94,13 @@ def read_content_log(spark: SparkSession, root: str, start=None, end=None, layou
     if layout == "hive":
         schema = T.StructType(S.CONTENT_FILE_SCHEMA.fields + [T.StructField("Date", T.DateType())])
         df = in_window(spark.read.schema(schema).json(root), "Date", start, end)
-        return df.select(*_unwrap(df), "Date")
+        return df.select(*unwrap_content(), "Date")
     files = _day_files(spark, root, start, end, "content")
     if files is None:
         return empty_frame(spark, CONTENT_OUT_SCHEMA)
     df = spark.read.schema(S.CONTENT_FILE_SCHEMA).json(files)
     day = F.try_to_date(F.regexp_extract(F.col("_metadata.file_path"), CONTENT_DAY_IN_PATH, 1), "yyyyMMdd")
-    return df.select(*_unwrap(df), day.alias("Date"))
+    return df.select(*unwrap_content(), day.alias("Date"))
 
 
 def latest_date(df: DataFrame, date_col: str = "log_date") -> DataFrame:
