@@ -25,7 +25,6 @@ from pyspark.sql import SparkSession  # noqa: E402
 
 from viewpulse.operators import keywords as K  # noqa: E402
 from viewpulse.operators import reports as R  # noqa: E402
-from viewpulse.operators import search as Q  # noqa: E402
 from viewpulse.operators import star as ST  # noqa: E402
 from viewpulse.plans.daily_run import run_snapshot  # noqa: E402
 from viewpulse.plans.profiles import build_content_profile, build_search_profile, search_pairs  # noqa: E402
@@ -121,7 +120,7 @@ def main() -> None:
         "search_profile": lambda: noop(build_search_profile(slog(), kmap(), end, start, with_device=True)),
         "content_profile": lambda: noop(build_content_profile(clog(), start, end)),
         "fact": lambda: noop(fact_df()),
-        "keyword_refresh": lambda: noop(K.merge_map(kmap(), K.classify(Q.page_keywords(search_pairs(slog(), end, start))))),
+        "keyword_refresh": lambda: noop(K.merge_map(kmap(), K.classify(K.new_keywords(search_pairs(slog(), end, start), kmap())))),
         "olap_category_loyalty": lambda: noop(R.category_loyalty(fact_t(), dim)),
         "olap_category_taste": lambda: noop(R.category_taste(fact_t(), dim)),
         "olap_power_vs_casual": lambda: noop(R.power_vs_casual(fact_t(), dim)),
