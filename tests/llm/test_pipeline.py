@@ -22,7 +22,8 @@ def test_stages_in_order():
 
 def test_run(spark, scratch):
     rng = random.Random(1)
-    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 6)))
+    # words that hardly repeat: with this few labels, a common short word could stand for a label by chance
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(4, 9)))
     prose = lambda n: " ".join(word() for _ in range(n))
     rows = [(i, prose(80), "en", "a", 0) for i in range(200)]
     toxic = set(range(0, 200, 4))
@@ -44,7 +45,7 @@ def test_run(spark, scratch):
         now = spark.read.parquet(f"{scratch}/{k}")
         kept.append({r.doc_id for r in now.select("doc_id").distinct().collect()})
     clean = set(range(200)) - toxic
-    assert clean <= kept[0] | set() and len(kept[0] & toxic) <= 2
+    assert clean <= kept[0] and len(kept[0] & toxic) <= 2
     assert kept[0] - kept[1] == {5}
     assert kept[1] - kept[2] <= {2, 3}
     assert kept[3] == kept[2] == kept[4]
