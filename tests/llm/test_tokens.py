@@ -171,6 +171,33 @@ def test_model_beats_counts_on_held_out_text(spark):
     assert sum(r.score for r in got) > 0.75 * sum(r.base_score for r in got)
 
 
+def test_tree_is_a_distribution():
+    """Probabilities of all tokens, in classes, in the tree and in leaves, sum to one after training."""
+    rng = random.Random(8)
+    for size in (9, 30, 200):
+        names = [f"w{i}".encode() for i in range(size)]
+        texts = [" ".join(rng.choice(names).decode() for _ in range(40)) for _ in range(20)]
+        leaves = np.array([5.0, 2.0, 1.0])
+        counts = [size + 5 - i for i in range(size)]
+        rest = sum(counts[4:]) + size - 4 + leaves.sum()
+        model = maxent.Model(names[:4], counts[:4], rest, 256, 2, names[4:], counts[4:], leaves)
+        maxent.train_task(model, [texts], 0.3, 64)
+        f = model.features(maxent.hash_tokens([names[0]]), np.array([1]))
+        places = [*model.places(maxent.hash_tokens(names)), *(-1 - (size - 4) - np.arange(3))]
+        assert len(set(places)) == size + 3
+        assert abs(sum(math.exp(model.log_likelihood(f, np.array([k]))[0]) for k in places) - 1) < 1e-4
+
+
+@pytest.mark.parametrize("head", [1 << 17, 20])
+def test_tokens_outside_the_classes_are_learned(spark, head):
+    """Forty pairs of words, four tokens in classes: each word tells the next one."""
+    rng = random.Random(9)
+    pairs = [f"first{i} second{i}" for i in range(40)]
+    rows = [(i, " ".join(rng.choice(pairs) for _ in range(60)), "en", "a", 0) for i in range(200)]
+    got = maxent.score(docs(spark, rows), F.col("doc_id") % 5 != 0, width=2, classes=2, buckets=4096, head=head, per_leaf=2).where("doc_id % 5 = 0").collect()
+    assert sum(r.score for r in got) > 0.85 * sum(r.base_score for r in got)
+
+
 def test_scores_without_rows(spark):
     assert maxent.score(empty(spark), F.lit(True)).collect() == []
     nothing = maxent.score(docs(spark), F.lit(False)).collect()

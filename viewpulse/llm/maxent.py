@@ -2,15 +2,20 @@
 
 The next token is predicted in two steps: its class, then the token within its class, each a softmax over
 weights of hashed features: the token before, the pair before, and the token two back (a skip feature).
-The most frequent tokens fill classes of equal size, in order of frequency; one more class stands for all other tokens, and
-shares its probability among them by their counts, one added to each, with one place for unseen tokens.  So every text has a probability.
+The most frequent tokens fill classes of equal size, in order of frequency; one more class stands for all other tokens and is the root
+of a tree, each node of which is a softmax of the same kind over at most ``width`` children.  The tokens of the head have places of their own in
+the tree, by falling count.  All rarer tokens are dealt by their hash to leaves, whose number grows with the token types, ``per_leaf`` types
+to a leaf on average; the tokens of a leaf share its probability by their counts, one added to each, with one place for unseen tokens.
+So every text has a probability, and every known token is predicted from the tokens before it.
 
 Training is distributed: in each round tasks run gradient steps over their documents of that round from the same weights, and the changes are
 averaged, weight by weight, by how often each task used it.  The rounds cover every training document once.  Documents are scored in
 numpy batches.  Counts of all training tokens are exact and stay distributed: tokens with one of the ``head``
 largest counts are looked up in the tasks, all others are joined by a shuffle.
 
-Bounded by parameters: the weights (``buckets`` x ``width`` twice), the head, and the tasks that train at once (``workers``).
+The weights are two tables of ``buckets`` x ``width`` and one of four times that for the tree; unless given, the buckets grow with the square root
+of the types.
+Bounded by parameters: the head, and the tasks that train at once (``workers``).
 64-bit hashes stand for tokens in the model's features and in the lookup of the head.
 
 Null texts are empty: a single end token.  Rows with a null id are scored but do not teach.  Repeated rows teach and are
@@ -60,32 +65,95 @@ def hash_tokens(tokens: list[bytes]) -> np.ndarray:
     return out
 
 
+class Tree:
+    """Paths of the places of all tokens outside the classes; ``mass`` has the counts of each place, one added to each token.
+
+    Up to ``width`` ^ 3 places have paths of equal length.  Of more, the first half of the root's children
+    hold the most frequent ones, on paths of three nodes, and the other half all others.
+    """
+
+    def __init__(self, mass: np.ndarray, width: int):
+        if width < 2:
+            raise ValueError("width must be two or more")
+        self.width, n, half = width, len(mass), width // 2
+        short = half * width**2
+        halves = [(0, 0, short, 2, 0), (short, short, n, 2, half)] if n > width**3 else [(0, 0, n, 0, 0)]
+        self.groups, node = [], 1
+        for start, _, end, k, digit in halves:
+            while (width - digit if end == n else half) * width**k < end - start:
+                k += 1
+            bases = []
+            for j in range(1, k + 1):
+                bases.append(node)
+                node += (end - start - 1) // width ** (k - j + 1) + 1
+            self.groups.append((start, end, k, digit, bases))
+        self.nodes = node
+        at, child = (np.concatenate(x) for x in list(zip(*self.steps(np.arange(n)), strict=True))[1:])
+        own = np.concatenate([mass[rows] for rows, _, _ in self.steps(np.arange(n))])
+        self.mass = np.bincount(at * width + child, own, self.nodes * width).reshape(-1, width)
+
+    def steps(self, slots: np.ndarray):
+        """(indices into ``slots``, node, child) of each step of the paths."""
+        out = []
+        for start, end, k, digit, bases in self.groups:
+            rows = np.flatnonzero((slots >= start) & (slots < end))
+            if len(rows):
+                o = slots[rows] - start
+                out.append((rows, np.zeros(len(rows), np.int64), digit + o // self.width**k))
+                for j, base in enumerate(bases, 1):
+                    out.append((rows, base + o // self.width ** (k - j + 1), o // self.width ** (k - j) % self.width))
+        return out
+
+
 class Model:
-    """Weights and counts; ``members`` are the tokens in classes, by falling count."""
+    """Weights and counts; ``members`` are the tokens in classes, by falling count.
+
+    ``others`` are further tokens with places of their own in the tree under the class of all others, with their counts,
+    and ``leaves`` the counts of the leaves that all tokens without a place share by hash.
+    """
 
-    def __init__(self, members: list[bytes], counts: list[int], rest: int, buckets: int, width: int):
+    def __init__(self, members: list[bytes], counts: list[int], rest: int, buckets: int, width: int,
+                 others: list[bytes] = (), other_counts: list[int] = (), leaves: np.ndarray | None = None):
         self.width, self.buckets = width, buckets
         self.size = len(members)
         self.classes = -(-self.size // width)
-        h = hash_tokens(members)
+        h = hash_tokens([*members, *others])
         self.order = np.argsort(h)
         self.hashes = h[self.order]
+        self.n_others, self.n_leaves = len(others), 1 if leaves is None else len(leaves)
+        mass = np.append(np.array(other_counts, float) + 1, [rest] if leaves is None else leaves)
+        self.tree = Tree(mass, width) if len(mass) > 1 else None
         own = np.zeros(self.classes * width)
         own[: self.size] = np.array(counts, float) + 1
         by_class = np.append(rest, own.reshape(-1, width).sum(axis=1))
         self.class_bias = np.log(by_class / by_class.sum()).astype(np.float32)
         with np.errstate(divide="ignore"):
             self.word_bias = (np.log(own.reshape(-1, width)) - np.log(np.maximum(1, by_class[1:, None]))).astype(np.float32)
+        if self.tree:
+            with np.errstate(divide="ignore"):
+                self.tree_bias = (np.log(self.tree.mass) - np.log(np.maximum(1, self.tree.mass.sum(axis=1, keepdims=True)))).astype(np.float32)
+            self.tree.mass = None
+            self.tree_bias[np.isinf(self.tree_bias)] = -1e9
+            self.tree_weight = np.zeros((4 * buckets, width), np.float32)
         self.word_bias[np.isinf(self.word_bias)] = -1e9
         self.class_weight = np.zeros((buckets, self.classes + 1), np.float32)
         self.word_weight = np.zeros((buckets, width), np.float32)
 
+    def tables(self) -> list[np.ndarray]:
+        return [self.class_weight, self.word_weight, *([self.tree_weight] if self.tree else [])]
+
     def places(self, h: np.ndarray) -> np.ndarray:
-        """Place of each token among the members, -1 for others."""
-        if not self.size:
-            return np.full(len(h), -1)
-        at = np.minimum(np.searchsorted(self.hashes, h), self.size - 1)
-        return np.where(self.hashes[at] == h, self.order[at], -1)
+        """Place of each token among the members; -1 - the place in the tree for others."""
+        leaf = -1 - self.n_others - (h % U(self.n_leaves)).astype(np.int64)
+        if not len(self.hashes):
+            return leaf
+        at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
+        number = self.order[at]
+        return np.where(self.hashes[at] == h, np.where(number < self.size, number, self.size - 1 - number), leaf)
+
+    def leaf_of(self, place: np.ndarray) -> np.ndarray:
+        """Leaf of each place, -1 for tokens with places of their own."""
+        return np.maximum(-1, -1 - place - self.n_others)
 
     def features(self, h: np.ndarray, n: np.ndarray) -> np.ndarray:
         """Three hashes for each token from those before it in its text."""
@@ -97,38 +165,56 @@ class Model:
         return np.stack([mix(one), mix(one * U(3) + two), mix(two + U(77))], axis=1)
 
     def log_likelihood(self, f: np.ndarray, place: np.ndarray, learn: bool = False):
-        """Natural log probability of class and, for members, token; with ``learn``, also the gradients by bucket."""
+        """Natural log probability of class and path; with ``learn``, also the gradients by bucket."""
         mask = U(self.buckets - 1)
-        rows = np.arange(len(f))
         cls = np.where(place < 0, 0, place // self.width + 1)
         at = (f & mask).astype(np.int64)
-        logits = self.class_bias + self.class_weight[at].sum(axis=1)
-        logits -= logits.max(axis=1, keepdims=True)
-        p = np.exp(logits)
-        total = p.sum(axis=1)
-        out = logits[rows, cls] - np.log(total)
+        out, p = softmax(self.class_bias, self.class_weight, at, cls, learn)
         own = np.flatnonzero(place >= 0)
         c, w = cls[own], place[own] % self.width
-        at2 = (mix(f[own] + c.astype(U)[:, None] * U(0x9E37)) & mask).astype(np.int64)
-        inner = self.word_bias[c - 1] + self.word_weight[at2].sum(axis=1)
-        inner -= inner.max(axis=1, keepdims=True)
-        q = np.exp(inner)
-        total2 = q.sum(axis=1)
-        out[own] += inner[np.arange(len(own)), w] - np.log(total2)
-        if not learn:
-            return out
-        p /= total[:, None]
-        p[rows, cls] -= 1
-        q /= total2[:, None]
-        q[np.arange(len(own)), w] -= 1
-        return out, (at, p), (at2, q)
+        at2 = self.mixed(f, own, c, self.buckets)
+        inner, q = softmax(self.word_bias[c - 1], self.word_weight, at2, w, learn)
+        out[own] += inner
+        gradients = [(at, p), (at2, q)]
+        below = np.flatnonzero(place < 0)
+        if self.tree and len(below):
+            row, node, child = (np.concatenate(x) for x in zip(*self.tree.steps(-1 - place[below]), strict=True))
+            at3 = self.mixed(f, below[row], node, len(self.tree_weight))
+            inner, q = softmax(self.tree_bias[node], self.tree_weight, at3, child, learn)
+            out[below] += np.bincount(row, inner, len(below))
+            gradients.append((at3, q))
+        return (out, *gradients) if learn else out
+
+    @staticmethod
+    def mixed(f: np.ndarray, row: np.ndarray, node: np.ndarray, buckets: int) -> np.ndarray:
+        """Buckets of the features of ``row`` at a node."""
+        return (mix(f[row] + node.astype(U)[:, None] * U(0x9E37)) & U(buckets - 1)).astype(np.int64)
+
+
+def softmax(bias: np.ndarray, weight: np.ndarray, at: np.ndarray, child: np.ndarray, learn: bool):
+    """Log probability of ``child`` in each row; with ``learn``, also the gradients of its logits."""
+    x = weight[at[:, 0]]
+    for k in range(1, at.shape[1]):
+        x += weight[at[:, k]]
+    x += bias
+    x -= x.max(axis=1, keepdims=True)
+    rows = np.arange(len(x))
+    chosen = x[rows, child]
+    np.exp(x, out=x)
+    total = x.sum(axis=1)
+    chosen = chosen - np.log(total)
+    if learn:
+        x /= total[:, None]
+        x[rows, child] -= 1
+    return chosen, x
 
 
 def by_bucket(at: np.ndarray, gradient: np.ndarray):
     """(buckets, summed gradients, uses) of tokens with several buckets each."""
     flat = at.ravel()
-    order = np.argsort(flat, kind="stable")
-    sorted_at = flat[order]
+    bits = max(1, len(flat).bit_length())
+    packed = np.sort(flat << bits | np.arange(len(flat)))  # faster than a stable argsort
+    order, sorted_at = packed & ((1 << bits) - 1), packed >> bits
     first = np.flatnonzero(np.r_[True, sorted_at[1:] != sorted_at[:-1]])
     summed = np.add.reduceat(gradient[order // at.shape[1]], first, axis=0)
     return sorted_at[first], summed, np.diff(np.append(first, len(flat)))
@@ -136,8 +222,8 @@ def by_bucket(at: np.ndarray, gradient: np.ndarray):
 
 def train_task(model: Model, batches, rate: float, batch_tokens: int):
     """Gradient steps over a task's documents: changes and uses of each bucket of both tables."""
-    start = [model.class_weight.copy(), model.word_weight.copy()]
-    tables = [model.class_weight, model.word_weight]
+    tables = model.tables()
+    start = [t.copy() for t in tables]
     squares = [np.zeros(len(t), np.float32) for t in tables]
     uses = [np.zeros(len(t), np.int64) for t in tables]
     for texts in batches:
@@ -150,12 +236,14 @@ def train_task(model: Model, batches, rate: float, batch_tokens: int):
                     if len(at):
                         rows, summed, used = by_bucket(at, g)
                         squares[t][rows] += (summed * summed).mean(axis=1)
-                        tables[t][rows] -= rate * summed / np.sqrt(squares[t][rows] + 1)[:, None]
+                        tables[t][rows] -= (rate if t < 2 else rate * TREE_RATE) * summed / np.sqrt(squares[t][rows] + 1)[:, None]
                         uses[t][rows] += used
     return [t - s for t, s in zip(tables, start, strict=True)], uses
 
 
 BLOCK = 512
+#: Share of the rate for the tree, whose rare contexts are learned from few tokens.
+TREE_RATE = 0.25
 
 
 def _average(key, table):
@@ -173,8 +261,8 @@ def train(model: Model, base: DataFrame, rounds: int, rate: float, workers: int,
     """Update ``model`` over all of ``base`` (id, text), a part of the documents in each round."""
     def task(batches):
         changes, uses = train_task(model, (b.column(0).to_pylist() for b in batches), rate, batch_tokens)
-        for t in range(2):
-            for block in range(0, model.buckets, BLOCK):
+        for t in range(len(changes)):
+            for block in range(0, len(changes[t]), BLOCK):
                 n = uses[t][block : block + BLOCK]
                 if n.any():
                     yield pa.RecordBatch.from_pydict({"t": pa.array([t], pa.int32()), "block": pa.array([block], pa.int32()),
@@ -183,8 +271,8 @@ def train(model: Model, base: DataFrame, rounds: int, rate: float, workers: int,
     for r in range(rounds):
         own = base.where(F.pmod(F.xxhash64("id", F.lit(17)), F.lit(rounds)) == r).select("text").coalesce(workers)
         changes = own.mapInArrow(task, "t int, block int, change binary, uses binary").groupBy("t", "block").applyInArrow(_average, "t int, block int, change binary")
-        for row in changes.collect():  # two tables of ``buckets`` rows
-            table = (model.class_weight, model.word_weight)[row["t"]]
+        for row in changes.collect():  # tables of ``buckets`` rows, and of four times as many
+            table = model.tables()[row["t"]]
             table[row["block"] : row["block"] + BLOCK] += np.frombuffer(row["change"], np.float32).reshape(-1, table.shape[1])
 
 
@@ -209,8 +297,28 @@ def count_tokens(base: DataFrame) -> DataFrame:
     return cut(rows.groupBy("token").agg(F.sum("n").alias("n")), "maxent-counts")
 
 
+def leaf_counts(tail: DataFrame, leaves: int) -> np.ndarray:
+    """Counts of each leaf's tokens, one added to each and to the place of unseen tokens."""
+    def run(batches):
+        for b in batches:
+            h = hash_tokens(b.column(0).to_pylist())
+            yield pa.RecordBatch.from_pydict({"leaf": pa.array((h % U(leaves)).astype(np.int64)), "n": b.column(1)})
+
+    def pack(key, table):
+        own = pa.table({"block": [key[0].as_py()], "leaf": [table.column("leaf").to_numpy().astype(np.int64).tobytes()],
+                        "n": [table.column("n").to_numpy().astype(np.int64).tobytes()]})
+        return own
+
+    rows = tail.select("token", "n").mapInArrow(run, "leaf long, n long").groupBy("leaf").agg(F.sum(F.col("n") + 1).alias("n"))
+    blocks = rows.withColumn("block", F.floor(F.col("leaf") / 4096)).groupBy("block").applyInArrow(pack, "block long, leaf binary, n binary")
+    out = np.ones(leaves)
+    for r in blocks.collect():  # 16 bytes a leaf
+        out[np.frombuffer(r["leaf"], np.int64)] += np.frombuffer(r["n"], np.int64)
+    return out
+
+
 def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", classes: int = 31, width: int = 32,
-          buckets: int = 1 << 14, head: int = 1 << 17, rounds: int = 3, rate: float = 0.3, workers: int = 512,
+          buckets: int | None = None, per_leaf: int = 16, head: int = 1 << 17, rounds: int = 3, rate: float = 0.3, workers: int = 512,
           batch_tokens: int = 8192) -> DataFrame:
     """``id, n_tokens, n_known, train_tokens, base_score, score`` of every row; ``learn`` is a condition over ``id_col``.
 
@@ -228,16 +336,21 @@ def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
     members = top[: classes * width]
     if members and END not in {t for t, _ in members}:
         members[-1] = next(x for x in top if x[0] == END)
-    in_classes = sum(n + 1 for _, n in members)
-    rest = n_train + types + 1 - in_classes
-    model = Model([t for t, _ in members], [n for _, n in members], rest, buckets, width)
+    own = {t for t, _ in members}
+    others = [x for x in top if x[0] not in own]
+    leaves = np.ones(1)
+    if types > len(top):
+        leaves = leaf_counts(counts.where((F.col("n") <= least_n) & (F.col("token") != F.lit(END))), -(-(types - len(top)) // per_leaf))
+    rest = sum(n + 1 for _, n in others) + leaves.sum()
+    buckets = buckets or max(1 << 14, 1 << int(np.log2(16 * np.sqrt(types + 1))))
+    model = Model([t for t, _ in members], [n for _, n in members], rest, buckets, width, [t for t, _ in others], [n for _, n in others], leaves)
     if members:
         train(model, taught, rounds, rate, workers, batch_tokens)
 
     head_hash = hash_tokens([t for t, _ in top])
     order = np.argsort(head_hash)
     head_hash, head_n = head_hash[order], np.array([n for _, n in top], np.int64)[order]
-    least = np.log10(rest)
+    leaf_total = np.log10(leaves)
 
     def run(batches):
         for b in batches:
@@ -257,8 +370,9 @@ def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
                 member = model.places(h)
                 f = model.features(h, n)
                 ll = np.concatenate([model.log_likelihood(f[k : k + 8192], member[k : k + 8192]) for k in range(0, len(h), 8192)]) / LOG10
-                # tokens outside the classes share their class by count; what the head doesn't hold is added after the join
-                ll = ll + np.where(member < 0, log_c - least, 0.0)
+                # tokens in leaves share them by count, which is added after the join
+                leaf = model.leaf_of(member)
+                ll = ll - np.where(leaf >= 0, leaf_total[leaf], 0.0)
                 inner[at] = np.bincount(owner, ll, len(own))
                 word = np.flatnonzero(~found & is_word)
                 if len(word):
