@@ -1,4 +1,4 @@
-"""Training-data operators: ten DataFrame-in, DataFrame-out jobs over document and vector tables."""
+"""Training-data operators: thirteen DataFrame-in, DataFrame-out jobs over document and vector tables."""
 
 import sys
 
