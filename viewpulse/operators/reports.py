@@ -1,23 +1,22 @@
 """The six marketing reports over the fact table (W-31..W-37).
 
-Each report reads the snapshots of one ``data_source`` from the first day of
-the month before the newest snapshot up to the newest one.  A snapshot already
-holds two months, so a profile counts once, with its newest row in that window:
-daily loads neither add up volumes nor put a user into several states.
+Each report reads the newest snapshot that has rows of its ``data_source``, and no other: a snapshot
+holds two months already, so older ones would add other months' volumes and states that have passed.  A
+profile that is in both logs by now, or that left the newest snapshot, doesn't count.
 Profiles seen in both logs are left out by default (the report contract);
-``include_both=True`` counts them too.  With ``newest`` (the newest snapshot key,
-see ``newest_snapshot``) the window is made of literals, which prune the fact's
-partitions; without it the bounds are scalar subqueries over the fact.
-
-Distinct user counts are two-level aggregates: first by (report keys,
-Profile_ID), then by the report keys.  That is exact, avoids the row
-expansion of several ``count(distinct)`` in one aggregate, and a hot report
-key is reduced map-side.  Shares are windows over the already aggregated
+``include_both=True`` counts them too.  The key of the newest snapshot (``newest``, see ``newest_snapshot``) is a
+literal that prunes the fact's partitions; only over a fact that isn't a table partitioned by it is the key
+a scalar subquery.
+
+The fact has one row a profile in a snapshot (W-29), so users are counted without a shuffle by
+profile: one aggregate by the report's keys, which combines map-side.  Shares are windows over the already aggregated
 report rows (a few dozen rows at most, bounded by the key domains).
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,22 +31,39 @@ def _sources(source: str, include_both: bool) -> Column:
     return F.col("data_source") == F.lit(source)
 
 
+PARTITION_OF_KEY = re.compile(r"/snapshot_date_key=(\d+)/")
+
+
+def partition_keys(fact: DataFrame) -> list[int] | None:
+    """The snapshot keys of a fact read from a table partitioned by them, from its file names alone; else None."""
+    keys = [PARTITION_OF_KEY.search(f) for f in fact.inputFiles()]
+    return sorted({int(k[1]) for k in keys}) if keys and all(keys) else None
+
+
 def newest_snapshot(fact: DataFrame, source: str, include_both: bool = False) -> int | None:
     """The newest snapshot key with rows of the source, found from partition values.
 
     Keys are few (one a load); a key is opened only to see whether it holds such rows.
     """
-    keys = sorted((r[0] for r in fact.select("snapshot_date_key").distinct().collect()), reverse=True)
-    for key in keys:
+    keys = partition_keys(fact)
+    if keys is None:
+        keys = sorted(r[0] for r in fact.select("snapshot_date_key").distinct().collect())
+    for key in reversed(keys):
         if not fact.where((F.col("snapshot_date_key") == key) & _sources(source, include_both)).isEmpty():
             return key
     return None
 
 
-def _window_cols(fact: DataFrame, source: str, include_both: bool = False, newest: int | None = None) -> dict[str, Column]:
-    max_key = F.lit(newest).cast("long") if newest is not None else fact.where(_sources(source, include_both)).agg(
-        F.max("snapshot_date_key").cast("long").alias("m")
-    ).scalar()
+def _newest(fact: DataFrame, source: str, include_both: bool, newest: int | None) -> Column:
+    if newest is None and partition_keys(fact):
+        newest = newest_snapshot(fact, source, include_both)
+        return F.lit(newest).cast("long")  # NULL when no snapshot has the source: an empty report
+    if newest is not None:
+        return F.lit(newest).cast("long")
+    return fact.where(_sources(source, include_both)).agg(F.max("snapshot_date_key").cast("long").alias("m")).scalar()
+
+
+def _window_cols(max_key: Column) -> dict[str, Column]:
     max_d = yyyymmdd_to_date(max_key)
     min_d = F.trunc(F.add_months(max_d, -1), "MM")
     return {
@@ -58,27 +74,16 @@ def _window_cols(fact: DataFrame, source: str, include_both: bool = False, newes
     }
 
 
-def report_window(fact: DataFrame, source: str = S.SOURCE_CONTENT) -> DataFrame:
+def report_window(fact: DataFrame, source: str = S.SOURCE_CONTENT, newest: int | None = None) -> DataFrame:
     """W-31: one row ``data_source, max_date, min_date, max_day_of_month, days_in_prev_month``."""
-    src = fact.where(F.col("data_source") == F.lit(source))
-    m = src.agg(F.max("snapshot_date_key").cast("long").alias("max_date"))
-    max_d = yyyymmdd_to_date(F.col("max_date"))
-    min_d = F.trunc(F.add_months(max_d, -1), "MM")
-    return m.select(
-        F.lit(source).alias("data_source"),
-        "max_date",
-        date_key(min_d).cast("long").alias("min_date"),
-        F.dayofmonth(max_d).cast("long").alias("max_day_of_month"),
-        F.dayofmonth(F.last_day(min_d)).cast("long").alias("days_in_prev_month"),
-    )
+    one = fact.sparkSession.range(1).select(_newest(fact, source, False, newest).alias("max_date"))
+    return one.select(F.lit(source).alias("data_source"), *[c.alias(n) for n, c in _window_cols(F.col("max_date")).items()])
 
 
 def _scoped(fact: DataFrame, source: str, include_both: bool, newest: int | None) -> tuple[DataFrame, dict[str, Column]]:
-    """The newest row of each profile in the report window, and the window's columns."""
-    w = _window_cols(fact, source, include_both, newest)
-    f = fact.where(_sources(source, include_both) & F.col("snapshot_date_key").between(w["min_date"], w["max_date"]))
-    latest = Window.partitionBy("Profile_ID").orderBy(F.desc("snapshot_date_key"))
-    return f.withColumn("_r", F.row_number().over(latest)).where("_r = 1").drop("_r"), w
+    """The source's rows of its newest snapshot, and the window's columns."""
+    key = _newest(fact, source, include_both, newest)
+    return fact.where(_sources(source, include_both) & (F.col("snapshot_date_key") == key)), _window_cols(key)
 
 
 def _with_service(f: DataFrame, dim: DataFrame) -> DataFrame:
@@ -91,16 +96,10 @@ def _pct(num: Column, den: Column) -> Column:
     return F.round(num * F.lit(100.0) / F.nullif(den, F.lit(0)), 2)
 
 
-def _distinct_users(f: DataFrame, keys: list[str], flags: dict[str, Column] | None = None) -> DataFrame:
-    """Distinct Profile_ID per ``keys`` (+ distinct users satisfying each flag)."""
-    flags = flags or {}
-    per_user = f.groupBy(*keys, "Profile_ID").agg(
-        *[F.max(F.when(cond, F.lit(1)).otherwise(F.lit(0))).alias(name) for name, cond in flags.items()]
-    ) if flags else f.select(*keys, "Profile_ID").distinct()
-    return per_user.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("TongUser"),
-        *[F.sum(name).cast("long").alias(name) for name in flags],
-    )
+def _users(f: DataFrame, keys: list[str], flags: dict[str, Column] | None = None) -> DataFrame:
+    """Users per ``keys`` (+ users satisfying each flag); a row is a user."""
+    return f.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("TongUser"), *[F.count_if(F.coalesce(cond, F.lit(False))).alias(name) for name, cond in (flags or {}).items()])
 
 
 def category_loyalty(fact: DataFrame, dim: DataFrame, source: str = S.SOURCE_CONTENT,
@@ -108,7 +107,7 @@ def category_loyalty(fact: DataFrame, dim: DataFrame, source: str = S.SOURCE_CON
     """W-32: per (CategoryGroup, Category): users, loyal (High) users, at-risk (Low) users, % loyal."""
     f, _ = _scoped(fact, source, include_both, newest)
     f = _with_service(f, dim)
-    agg = _distinct_users(
+    agg = _users(
         f,
         ["CategoryGroup", "Category"],
         {"UserTrungThanh": F.col("Active") == "High", "UserNguyCo": F.col("Active") == "Low"},
@@ -124,7 +123,7 @@ def category_taste(fact: DataFrame, dim: DataFrame, source: str = S.SOURCE_CONTE
     """W-33: per (CategoryGroup, Category, Taste): users and their share within the Category."""
     f, _ = _scoped(fact, source, include_both, newest)
     f = _with_service(f.where(F.col("Taste").isNotNull()), dim)
-    agg = _distinct_users(f, ["CategoryGroup", "Category", "Taste"])
+    agg = _users(f, ["CategoryGroup", "Category", "Taste"])
     share = _pct(F.col("TongUser"), F.sum("TongUser").over(Window.partitionBy("Category")))
     return agg.select("CategoryGroup", "Category", "Taste", "TongUser", share.alias("PhanTram_TrongCategory"))
 
@@ -134,7 +133,7 @@ def power_vs_casual(fact: DataFrame, dim: DataFrame, source: str = S.SOURCE_CONT
     """W-34: per (Active, CategoryGroup, Category): users and their share within the Active group."""
     f, _ = _scoped(fact, source, include_both, newest)
     f = _with_service(f, dim).withColumnRenamed("Active", "UserType")
-    agg = _distinct_users(f, ["UserType", "CategoryGroup", "Category"])
+    agg = _users(f, ["UserType", "CategoryGroup", "Category"])
     share = _pct(F.col("TongUser"), F.sum("TongUser").over(Window.partitionBy("UserType")))
     return agg.select("UserType", "CategoryGroup", "Category", "TongUser", share.alias("PhanTram_TrongNhom"))
 
@@ -153,7 +152,7 @@ def taste_diversity(fact: DataFrame, source: str = S.SOURCE_CONTENT, include_bot
     """
     f, _ = _scoped(fact, source, include_both, newest)
     f = f.where(F.col("Taste").isNotNull()).withColumn("SoTheLoaiXem", genre_bucket(F.col("Taste")))
-    agg = _distinct_users(f, ["SoTheLoaiXem", "Active"])
+    agg = _users(f, ["SoTheLoaiXem", "Active"])
     share = _pct(F.col("TongUser"), F.sum("TongUser").over(Window.partitionBy()))
     return agg.select("SoTheLoaiXem", "Active", "TongUser", share.alias("PhanTram"))
 
@@ -189,8 +188,8 @@ def interest_migration(fact: DataFrame, source: str = S.SOURCE_SEARCH, include_b
         (F.col("Trending_Type") == "Changed")
         & F.col("category_prev").isNotNull()
         & F.col("category_curr").isNotNull()
-    ).select(F.col("category_prev").alias("RoiKhoi"), F.col("category_curr").alias("ChuyenSang"), "Profile_ID")
-    agg = _distinct_users(f, ["RoiKhoi", "ChuyenSang"])
+    ).select(F.col("category_prev").alias("RoiKhoi"), F.col("category_curr").alias("ChuyenSang"))
+    agg = _users(f, ["RoiKhoi", "ChuyenSang"])
     share = _pct(F.col("TongUser"), F.sum("TongUser").over(Window.partitionBy("RoiKhoi")))
     return agg.select("RoiKhoi", "ChuyenSang", "TongUser", share.alias("PhanTram_RoiKhoi"))
 

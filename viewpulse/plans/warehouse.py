@@ -6,6 +6,8 @@ that snapshot (reruns are idempotent) and other snapshots stay; an empty
 input touches no partition, so it needs no probe.  ``replace`` overwrites
 the whole table; there an empty input is skipped, as the source system did,
 and the probe is cheap because the inputs are written tables.
+
+Reports are published instead: each run writes a new folder, and the catalog table moves to it.
 """
 
 from __future__ import annotations
@@ -43,6 +45,30 @@ def load_table(df: DataFrame, path: str, mode: str = "append", partition_col: st
     return True
 
 
+def publish(df: DataFrame, folder: str, version: str, table: str | None = None) -> str:
+    """Write ``df`` as a new version beside the old ones, ``folder/version``, and only then make it the catalog table.
+
+    Readers that opened the older version keep reading its files; when the write fails the table stays as it was.
+    Versions are never deleted here.
+    """
+    path = f"{folder.rstrip('/')}/{version}"
+    df.write.parquet(path)
+    if table is not None:
+        if df.sparkSession.catalog.tableExists(table):
+            df.sparkSession.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+        register_table(df.sparkSession, table, path)
+    return path
+
+
+def register_table(spark, table: str, path: str) -> None:
+    """A catalog table over the parquet files at ``path``; one that is there sees the files of now."""
+    if not spark.catalog.tableExists(table):
+        spark.catalog.createTable(table, path=path, source="parquet")
+    if spark.conf.get("spark.sql.catalogImplementation", "in-memory") == "hive" and "PARTITIONED" in str(spark.sql(f"SHOW CREATE TABLE {table}").first()[0]):
+        spark.catalog.recoverPartitions(table)
+    spark.catalog.refreshTable(table)
+
+
 def register_views(spark, tables: dict[str, str]) -> list[str]:
     """Expose written tables (name -> path) as temporary views for ``spark.sql``.
 

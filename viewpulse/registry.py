@@ -6,24 +6,33 @@ given tables), with the snapshot window 2022-06-01 .. 2022-07-14.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from viewpulse import schemas as S
+from viewpulse.functions.dates import in_window, month_before
 from viewpulse.operators import content as C
 from viewpulse.operators import keywords as K
 from viewpulse.operators import reports as R
 from viewpulse.operators import search as Q
 from viewpulse.operators import star as ST
+from viewpulse.plans import dimensions as DIM
 from viewpulse.plans import profiles as P
+from viewpulse.plans.daily_run import run_snapshot
+from viewpulse.plans.warehouse import load_table
+from viewpulse.sources import checked as CH
+from viewpulse.sources import dictionary as D
 from viewpulse.sources import logs as L
 from viewpulse.sources import testdata as TD
 
 END = TD.SNAPSHOT_END
 START = TD.WINDOW_START
 SNAPSHOT = ST.snapshot_key(END)
+#: The newest day of another month's snapshot, and a later run whose window holds only July.
+OLDER, LATER = _dt.date(2022, 6, 30), _dt.date(2022, 8, 15)
 
 # Page parameters for the keyword page at test scale (64 distinct keywords).
 PAGE = dict(limit_prev=20, offset_prev=5, limit_curr=40, offset_curr=5)
@@ -82,27 +91,63 @@ def _classified(spark, sf):
     return K.classify(_all_keywords(spark, sf), RULES)
 
 
-def _half_map(spark, sf):
-    """A dictionary that lacks some keywords, so that a merge has entries to add."""
-    return TD.keyword_map(spark, sf).where(F.length("keyword") % 2 == 0)
-
-
 def _two_snapshots(spark, sf):
-    """The fact of the newest day without profiles whose id ends in 7, and an older snapshot with all profiles and other counts."""
-    fact = _fact(spark, sf)
-    older = fact.withColumn("snapshot_date_key", F.lit(20220701)).withColumn("count_prev", F.col("count_prev") + 3)
-    return fact.where(~F.col("Profile_ID").endswith("7")).unionByName(older)
+    """A fact table with the snapshots of 20220630 and 20220714, each built from its own window and loaded."""
+    path = f"{L.fresh_root(spark, 'two-snapshots')}/fact_customer_360"
+    for end in (OLDER, END):
+        start = month_before(end)
+        search = in_window(TD.search_log(spark, sf), "log_date", start, end)
+        content = in_window(TD.content_log(spark, sf), "Date", start, end)
+        obt = ST.build_obt(P.build_search_profile(search, TD.keyword_map(spark, sf), end, start, True), P.build_content_profile(content, start, end))
+        load_table(ST.build_fact(obt, ST.dim_service(spark), ST.snapshot_key(end)), path, "append")
+    return spark.read.parquet(path)
 
 
 def _daily_logs(spark, sf):
     """The raw search log in the daily layout, one folder of parquet a day, in the shared folder."""
-    root = f"{L.stage_root(spark, sf)}/daily_search"
-    log = TD.search_log(spark, sf).withColumn("day", F.date_format("log_date", "yyyyMMdd")).drop("log_date")
-    for r in log.select("day").distinct().collect():  # a few dozen days
-        log.where(F.col("day") == r["day"]).drop("day").write.mode("overwrite").parquet(f"{root}/{r['day']}")
+    root = L.fresh_root(spark, "daily_search")
+    TD.search_log(spark, sf).withColumn("day", F.date_format("log_date", "yyyyMMdd")).drop("log_date").write.partitionBy("day").parquet(f"{root}/by_day")
+    for day in L.days_on_disk(spark, f"{root}/by_day", "search", "hive"):  # a few dozen days, each a copy of one partition
+        spark.read.parquet(f"{root}/by_day/day={day:%Y%m%d}").write.parquet(f"{root}/days/{day:%Y%m%d}")
+    return f"{root}/days"
+
+
+def _drifted_logs(spark, sf):
+    """The raw search log with days of three kinds: times as seconds since 1970, no device columns, and the usual columns."""
+    root = L.fresh_root(spark, "drifted_search")
+    log = TD.search_log(spark, sf)
+    kind = F.dayofmonth("log_date") % 3
+    seconds = F.unix_timestamp(F.col("log_date").cast("timestamp")) + F.length("keyword")
+    log.where(kind == 0).withColumn("datetime", seconds).write.mode("append").partitionBy("log_date").parquet(root)
+    log.where(kind == 1).drop("proxy_isp", "platform", "networkType").write.mode("append").partitionBy("log_date").parquet(root)
+    log.where(kind == 2).write.mode("append").partitionBy("log_date").parquet(root)
     return root
 
 
+def _damaged_content(spark, sf):
+    """The raw content log as wrapped JSON lines with a field that no schema knows; some lines are cut off, some durations are words."""
+    root = L.fresh_root(spark, "damaged_content")
+    log = TD.content_log(spark, sf)
+    duration = F.when(F.col("TotalDuration") % 89 == 0, F.lit("long")).otherwise(F.col("TotalDuration").cast("string"))
+    inner = F.struct("Contract", "AppName", duration.alias("TotalDuration"), F.concat(F.lit("mac-"), "Contract").alias("Mac"))
+    line = F.to_json(F.struct(F.lit("history").alias("_index"), inner.alias("_source")))
+    cut = F.when(F.col("TotalDuration") % 97 == 0, F.substring(line, F.lit(1), F.length(line) - 3)).otherwise(line)
+    log.select(cut.alias("value"), "Date").write.partitionBy("Date").text(root)
+    return root
+
+
+def _content_damage(spark, sf):
+    """Per day: good records, quarantined lines by reason, and values of the unknown field."""
+    root = _damaged_content(spark, sf)
+    good = CH.read_content_envelope(spark, root, START, END, "hive")
+    per_day = good.groupBy(F.col("Date").alias("day")).agg(
+        F.count("*").alias("n_good"), F.sum("TotalDuration").alias("duration"),
+        F.count_distinct(F.try_variant_get("doc", "$.Mac", "string")).alias("n_macs"))
+    bad = CH.read_content_log_checked(spark, root, START, END, "hive").quarantine
+    reasons = bad.groupBy("day").agg(*[F.count_if(F.col("reason") == r).alias(n) for r, n in (("not JSON", "n_cut"), ("TotalDuration is no whole number", "n_worded"))])
+    return per_day.join(reasons, "day", "full_outer").select("day", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("n_good", "duration", "n_macs", "n_cut", "n_worded")])
+
+
 def _window(spark, sf):
     logs = TD.search_log(spark, sf).select(F.col("log_date").alias("d")).unionByName(
         TD.content_log(spark, sf).select(F.col("Date").alias("d"))
@@ -112,34 +157,40 @@ def _window(spark, sf):
 
 def _loaded_fact(spark, sf):
     """W-30: load the fact twice under the same snapshot (a rerun) and read the table back."""
-    from viewpulse.plans.warehouse import load_table
-
-    path = f"{L.stage_root(spark, sf)}/warehouse/fact_customer_360"
+    path = f"{L.fresh_root(spark, 'loaded')}/fact_customer_360"
     fact = _fact(spark, sf)
     load_table(fact, path, "append")
     load_table(fact, path, "append")
     return spark.read.parquet(path).select(*fact.columns)
 
 
-def _daily_run_table(name):
-    """W-38: the whole daily run over the staged raw logs; returns one of its tables."""
-    def run(spark, sf):
-        from viewpulse.plans.daily_run import run_snapshot
-        from viewpulse.sources import dictionary as D
+def _daily_runs(spark, sf, *ends):
+    """W-38: a whole daily run over the staged raw logs for each date, into a warehouse of its own; its tables after the last run."""
+    root, own = L.stage_logs(spark, sf), L.fresh_root(spark, "daily-run")
+    D.write_keyword_map(TD.keyword_map(spark, sf), f"{own}/mapping")
+    for end in ends:
+        tables = run_snapshot(spark, f"{root}/log_search", f"{root}/log_content", f"{own}/mapping", f"{own}/warehouse", end=end, layout="hive", resume=False).tables
+    return tables
 
-        root = L.stage_logs(spark, sf)
-        kmap_path = f"{root}/mapping"
-        if kmap_path not in _RUNS:
-            D.write_keyword_map(TD.keyword_map(spark, sf), kmap_path)
-            _RUNS[kmap_path] = run_snapshot(spark, f"{root}/log_search", f"{root}/log_content", kmap_path,
-                                            f"{root}/warehouse_run", START, END, layout="hive").tables
-        return spark.read.parquet(_RUNS[kmap_path][name])
+
+def _daily_run_table(name, *ends):
+    def run(spark, sf):
+        path = _daily_runs(spark, sf, *(ends or (END,)))[name]
+        return DIM.read_dimension(spark, path) if name in ("dim_user", "dim_cust", "dim_date") else spark.read.parquet(path)
 
     return run
 
 
-#: Tables of a daily run by its staged logs: the queries over one run's tables share it.
-_RUNS: dict[str, dict[str, str]] = {}
+def _coverage(spark, sf):
+    """After runs for two dates: fact rows of each snapshot and source, and how many find their user, customer and day."""
+    tables = _daily_runs(spark, sf, END, LATER)
+    fact = spark.read.parquet(tables["fact_customer_360"]).select("Profile_ID", "data_source", "snapshot_date_key")
+    users, custs, days = (DIM.read_dimension(spark, tables[n]) for n in ("dim_user", "dim_cust", "dim_date"))
+    found = (fact.join(users.select("Profile_ID", F.lit(1).alias("user")), "Profile_ID", "left")
+             .join(custs.select("Profile_ID", F.lit(1).alias("cust")), "Profile_ID", "left")
+             .join(days.select(F.col("date_key").alias("snapshot_date_key"), F.lit(1).alias("day")), "snapshot_date_key", "left"))
+    return found.groupBy("snapshot_date_key", "data_source").agg(
+        F.count("*").alias("n_rows"), *[F.count(c).alias(f"n_{c}s") for c in ("user", "cust", "day")])
 
 
 def build() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -155,7 +206,7 @@ def build() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["keyword_popularity"] = lambda s, sf: Q.keyword_popularity(_pairs(s, sf))
     q["keyword_page"] = _page
     q["classify_keywords"] = lambda s, sf: _classified(s, sf)
-    q["merge_keyword_map"] = lambda s, sf: K.merge_map(_half_map(s, sf), _classified(s, sf))
+    q["merge_keyword_map"] = lambda s, sf: K.merge_map(TD.keyword_map(s, sf), _classified(s, sf))
     q["map_categories"] = lambda s, sf: Q.map_categories(_pairs(s, sf), TD.keyword_map(s, sf))
     q["category_shift"] = lambda s, sf: Q.category_shift(Q.map_categories(_pairs(s, sf), TD.keyword_map(s, sf)))
     q["search_profile"] = _search_profile
@@ -172,18 +223,26 @@ def build() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["dim_date"] = lambda s, sf: ST.dim_date_for_window(_window(s, sf))
     q["fact"] = _fact
     q["load_snapshot"] = _loaded_fact
-    q["report_window"] = lambda s, sf: R.report_window(_fact(s, sf), S.SOURCE_CONTENT)
-    q["olap_category_loyalty"] = lambda s, sf: R.category_loyalty(_fact(s, sf), ST.dim_service(s))
-    q["olap_category_taste"] = lambda s, sf: R.category_taste(_fact(s, sf), ST.dim_service(s))
-    q["olap_power_vs_casual"] = lambda s, sf: R.power_vs_casual(_fact(s, sf), ST.dim_service(s))
-    q["olap_taste_diversity"] = lambda s, sf: R.taste_diversity(_fact(s, sf))
-    q["olap_search_growth"] = lambda s, sf: R.search_growth(_fact(s, sf))
-    q["olap_interest_migration"] = lambda s, sf: R.interest_migration(_fact(s, sf))
-    q["search_growth_two_snapshots"] = lambda s, sf: R.search_growth(_two_snapshots(s, sf))
+    q["report_window"] = lambda s, sf: R.report_window(_two_snapshots(s, sf), S.SOURCE_CONTENT)
+    q["olap_category_loyalty"] = lambda s, sf: R.category_loyalty(_fact(s, sf), ST.dim_service(s), newest=SNAPSHOT)
+    q["olap_category_taste"] = lambda s, sf: R.category_taste(_fact(s, sf), ST.dim_service(s), newest=SNAPSHOT)
+    q["olap_power_vs_casual"] = lambda s, sf: R.power_vs_casual(_fact(s, sf), ST.dim_service(s), newest=SNAPSHOT)
+    q["olap_taste_diversity"] = lambda s, sf: R.taste_diversity(_fact(s, sf), newest=SNAPSHOT)
+    q["olap_search_growth"] = lambda s, sf: R.search_growth(_fact(s, sf), newest=SNAPSHOT)
+    q["olap_interest_migration"] = lambda s, sf: R.interest_migration(_fact(s, sf), newest=SNAPSHOT)
+    q["category_loyalty_two_snapshots"] = lambda s, sf: R.category_loyalty(_two_snapshots(s, sf), ST.dim_service(s))
     q["power_vs_casual_two_snapshots"] = lambda s, sf: R.power_vs_casual(_two_snapshots(s, sf), ST.dim_service(s))
+    q["taste_diversity_two_snapshots"] = lambda s, sf: R.taste_diversity(_two_snapshots(s, sf))
+    q["search_growth_two_snapshots"] = lambda s, sf: R.search_growth(_two_snapshots(s, sf))
+    q["interest_migration_two_snapshots"] = lambda s, sf: R.interest_migration(_two_snapshots(s, sf))
     q["scan_search_log_daily"] = lambda s, sf: L.read_search_log(s, _daily_logs(s, sf), start=START)
+    q["scan_search_log_drifted"] = lambda s, sf: CH.read_search_log_checked(s, _drifted_logs(s, sf), START, END, "hive").rows
+    q["scan_content_log_damaged"] = _content_damage
     q["daily_run"] = _daily_run_table("olap_category_loyalty")
-    for name in ("fact_customer_360", "dim_date", "olap_category_taste", "olap_power_vs_casual", "olap_taste_diversity",
+    for name in ("fact_customer_360", "dim_user", "dim_cust", "dim_date", "olap_category_taste", "olap_power_vs_casual", "olap_taste_diversity",
                  "olap_search_growth", "olap_interest_migration"):
         q[f"daily_run_{name}"] = _daily_run_table(name)
+    for name in ("dim_user", "dim_cust", "dim_date"):
+        q[f"{name}_after_two_runs"] = _daily_run_table(name, END, LATER)
+    q["fact_coverage_after_two_runs"] = _coverage
     return q

@@ -19,8 +19,8 @@ wrapped in an ``_source`` envelope; flat and wrapped rows can be mixed.
 from __future__ import annotations
 
 import datetime as _dt
-import hashlib
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,11 +33,27 @@ SEARCH_DAY_IN_PATH = r"/(\d{8})/[^/]+$"
 CONTENT_DAY_IN_PATH = r"/(\d{8})\.json(/[^/]+)?$"
 
 
+def days_between(spark: SparkSession, root: str, start, end, kind: str, layout: str = "daily") -> list[_dt.date]:
+    """The days of ``[start, end]`` that are there; either side may be open."""
+    first, last = as_date(start) if start else _dt.date.min, as_date(end) if end else _dt.date.max
+    return [d for d in days_on_disk(spark, root, kind, layout) if first <= d <= last]
+
+
+def day_path(root: str, day: _dt.date, kind: str, layout: str = "daily") -> str:
+    """Where a day's rows are: a folder, or the JSON file of a day in the daily layout."""
+    if layout == "hive":
+        return f"{root.rstrip('/')}/{'Date' if kind == 'content' else 'log_date'}={day:%Y-%m-%d}"
+    return f"{root.rstrip('/')}/{day:%Y%m%d}{'.json' if kind == 'content' else ''}"
+
+
+def day_paths(spark: SparkSession, root: str, start, end, kind: str, layout: str = "daily") -> list[str]:
+    return [day_path(root, d, kind, layout) for d in days_between(spark, root, start, end, kind, layout)]
+
+
 def _day_files(spark: SparkSession, root: str, start, end, kind: str) -> str | None:
     """A glob of the days of ``[start, end]`` that are there (either side may be open); None when there is none."""
     suffix = ".json" if kind == "content" else ""
-    first, last = as_date(start) if start else _dt.date.min, as_date(end) if end else _dt.date.max
-    days = [d.strftime("%Y%m%d") for d in days_on_disk(spark, root, kind) if first <= d <= last]
+    days = [d.strftime("%Y%m%d") for d in days_between(spark, root, start, end, kind)]
     return f"{root.rstrip('/')}/{{{','.join(days)}}}{suffix}" if days else None
 
 
@@ -118,7 +134,7 @@ def days_on_disk(spark: SparkSession, root: str, kind: str = "search", layout: s
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(root)
     names = [s.getPath().getName() for s in path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(path)]
-    pattern = r"(?:log_date|Date)=(\d{4})-(\d{2})-(\d{2})" if layout == "hive" else r"(\d{4})(\d{2})(\d{2})" + ("" if kind == "search" else r"\.json")
+    pattern = r"(?:log_date|Date|day)=(\d{4})-?(\d{2})-?(\d{2})" if layout == "hive" else r"(\d{4})(\d{2})(\d{2})" + ("" if kind == "search" else r"\.json")
     days = []
     for name in names:
         if m := re.fullmatch(pattern, name):
@@ -148,24 +164,25 @@ def resolve_window(spark: SparkSession, search_root: str | None, content_root: s
 _STAGED: dict[str, str] = {}
 
 
-def stage_root(spark: SparkSession, sf_dir: str) -> str:
+def fresh_root(spark: SparkSession, name: str) -> str:
+    """A folder of the shared storage that nobody else uses."""
     from viewpulse.session import shared_dir
 
-    key = hashlib.sha1(sf_dir.encode()).hexdigest()[:12]
-    return f"{shared_dir(spark).rstrip('/')}/staged-{key}"
+    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def stage_logs(spark: SparkSession, sf_dir: str) -> str:
-    """Write the test-data adapters as date-partitioned raw logs in the shared folder."""
+    """Write the test-data adapters as date-partitioned raw logs in the shared folder, once for each state of the tables."""
     from viewpulse.sources import testdata as TD
-
-    if sf_dir in _STAGED:
-        return _STAGED[sf_dir]
-    root = stage_root(spark, sf_dir)
-    TD.search_log(spark, sf_dir).write.mode("overwrite").partitionBy("log_date").parquet(f"{root}/log_search")
-    TD.content_log(spark, sf_dir).write.mode("overwrite").partitionBy("Date").json(f"{root}/log_content")
-    _STAGED[sf_dir] = root
-    return root
+    from viewpulse.sources.files import fingerprint, path_exists
+
+    state = fingerprint(spark, [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in TD.TABLES])
+    if state not in _STAGED or not path_exists(spark, _STAGED[state]):
+        root = fresh_root(spark, "staged")
+        TD.search_log(spark, sf_dir).write.partitionBy("log_date").parquet(f"{root}/log_search")
+        TD.content_log(spark, sf_dir).write.partitionBy("Date").json(f"{root}/log_content")
+        _STAGED[state] = root
+    return _STAGED[state]
 
 
 def staged_search_log(spark: SparkSession, sf_dir: str, start, end) -> DataFrame:

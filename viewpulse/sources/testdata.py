@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 SNAPSHOT_END = _dt.date(2022, 7, 14)
 WINDOW_START = _dt.date(2022, 6, 1)
+#: The tables that the adapters read.
+TABLES = ["events", "orders", "lineitem", "part", "customer", "nation"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
