@@ -57,21 +57,6 @@ def test_page_and_classify(spark):
     assert cats == {"harry potter": "Drama", "running man": "Reality Show", "vtv 1": "TV Channel"}
 
 
-def test_classifier_callable_and_failures(spark):
-    kws = spark.createDataFrame([(f"kw{i}",) for i in range(7)] + [("vtv9",)], "keyword string")
-
-    def clf(batch):
-        if "kw3" in batch:
-            raise RuntimeError("service down")
-        return {k.upper(): "Music" for k in batch if k != "kw1"}
-
-    got = {r[0]: r[1] for r in K.classify(kws, classifier=clf, batch=1).collect()}
-    assert got["vtv9"] == "TV Channel"  # rules first
-    assert got["kw0"] == "Music"  # case-insensitive key match
-    assert got["kw1"] == "Other"  # not answered
-    assert got["kw3"] == "Other" and got["kw2"] == "Music"  # only the failed chunk
-
-
 def test_merge_map_keeps_existing(spark):
     old = spark.createDataFrame([("a", "Drama"), ("b", "News")], "keyword string, category string")
     new = spark.createDataFrame([("b", "Other"), ("c", "Other")], "keyword string, category string")

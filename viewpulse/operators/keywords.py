@@ -1,24 +1,18 @@
-"""Keyword dictionary maintenance: classify new keywords (W-11), merge (W-12).
+"""Keyword dictionary maintenance: classify new keywords by rules (W-11), merge (W-12).
 
 Classification is a rule table evaluated as one ``CASE`` expression on the
-executors.  An optional user classifier (for keywords no rule matches) runs
-in ``mapInPandas`` over Arrow batches, called on chunks of ``batch``
-keywords; a failing call or a keyword it doesn't answer gets the fallback.
+executors.  Keywords that no rule matches may be put to a classifier outside of Spark: see ``plans.classifier``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from viewpulse import schemas as S
 
-Classifier = Callable[[list[str]], Mapping[str, str]]
-
-
 def rule_category(keyword: Column, rules: Sequence[tuple[str, str]] = S.KEYWORD_RULES) -> Column:
     """First matching rule's category (``rlike`` on the lower-cased keyword), else NULL."""
     kw = F.lower(keyword)
@@ -29,46 +23,10 @@ def rule_category(keyword: Column, rules: Sequence[tuple[str, str]] = S.KEYWORD_
     return expr if expr is not None else F.lit(None).cast("string")
 
 
-def _ask(classifier: Classifier, words: pd.Series, batch: int) -> pd.Series:
-    """Answers by keyword in lower case; a chunk whose call fails has none."""
-    answers = []
-    for at in range(0, len(words), batch):
-        try:
-            answers.append(pd.Series(dict(classifier(words.iloc[at : at + batch].tolist()) or {}), dtype=object))
-        except Exception:
-            continue
-    if not answers:
-        return pd.Series(dtype=object)
-    known = pd.concat(answers)
-    known.index = known.index.astype(str).str.lower()
-    return known[~known.index.duplicated(keep="last")]
-
-
-def _apply_classifier(classifier: Classifier, batch: int, fallback: str):
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            open_rows = frame["category"].isna()
-            words = frame.loc[open_rows, "keyword"].astype(str)
-            answers = words.str.lower().map(_ask(classifier, words, batch))
-            yield frame.assign(category=frame["category"].fillna(answers).fillna(fallback))
-
-    return run
-
-
-def classify(
-    keywords: DataFrame,
-    rules: Sequence[tuple[str, str]] = S.KEYWORD_RULES,
-    classifier: Classifier | None = None,
-    batch: int = 100,
-    fallback: str = S.FALLBACK_CATEGORY,
-) -> DataFrame:
-    """W-11: ``keyword -> category`` for a DataFrame with a ``keyword`` column."""
-    ruled = keywords.select("keyword", rule_category(F.col("keyword"), rules).alias("category"))
-    if classifier is None:
-        return ruled.select("keyword", F.coalesce("category", F.lit(fallback)).alias("category"))
-    # calls are slow, so keywords are spread over tasks whatever their bytes
-    spread = ruled.repartition(max(1, keywords.sparkSession.sparkContext.defaultParallelism), "keyword")
-    return spread.mapInPandas(_apply_classifier(classifier, batch, fallback), schema=S.KEYWORD_MAP_SCHEMA)
+def classify(keywords: DataFrame, rules: Sequence[tuple[str, str]] = S.KEYWORD_RULES, fallback: str | None = S.FALLBACK_CATEGORY) -> DataFrame:
+    """W-11: ``keyword -> category`` for a DataFrame with a ``keyword`` column; ``fallback`` where no rule matches (None: NULL)."""
+    category = rule_category(F.col("keyword"), rules)
+    return keywords.select("keyword", (category if fallback is None else F.coalesce(category, F.lit(fallback))).alias("category"))
 
 
 def merge_map(old: DataFrame, new: DataFrame) -> DataFrame:

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from viewpulse.operators import keywords as K
 from viewpulse.operators import reports as R
 from viewpulse.operators import star as ST
+from viewpulse.plans.classifier import Classifier, classify_open
 from viewpulse.plans.dimensions import upsert_dimension
 from viewpulse.plans.profiles import build_content_profile, build_search_profile, search_pairs
 from viewpulse.plans.runlog import RunLog
@@ -219,12 +220,20 @@ def refresh_keyword_map(
     old_map_path: str,
     new_map_path: str,
     start=None,
-    classifier: K.Classifier | None = None,
+    classifier: Classifier | None = None,
+    ledger_dir: str | None = None,
+    **how,
 ) -> DataFrame:
-    """W-11, W-12 as a job: classify every keyword that the dictionary lacks, merge into a new dictionary version."""
+    """W-11, W-12 as a job: classify every keyword that the dictionary lacks, merge into a new dictionary version.
+
+    With a ``classifier`` its answers are kept in ``ledger_dir`` and keywords without an answer stay out of the
+    dictionary, so that the next refresh asks again (``how``: see ``classifier.ask``).
+    """
     known = D.read_keyword_map(spark, old_map_path)
-    fresh = K.new_keywords(search_pairs(search_log, end, start), known)
-    D.write_keyword_map(K.merge_map(known, K.classify(fresh, classifier=classifier)), new_map_path)
+    path = f"{shared_dir(spark).rstrip('/')}/viewpulse-stage/new-keywords-{uuid.uuid4().hex}"
+    K.new_keywords(search_pairs(search_log, end, start), known).write.parquet(path)
+    found = classify_open(spark.read.parquet(path), classifier, ledger_dir, **how)
+    D.write_keyword_map(K.merge_map(known, found.where("category IS NOT NULL")), new_map_path)
     return D.read_keyword_map(spark, new_map_path)
 
 

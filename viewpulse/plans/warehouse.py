@@ -64,7 +64,7 @@ def register_table(spark, table: str, path: str) -> None:
     """A catalog table over the parquet files at ``path``; one that is there sees the files of now."""
     if not spark.catalog.tableExists(table):
         spark.catalog.createTable(table, path=path, source="parquet")
-    if spark.conf.get("spark.sql.catalogImplementation", "in-memory") == "hive" and "PARTITIONED" in str(spark.sql(f"SHOW CREATE TABLE {table}").first()[0]):
+    if any(c.isPartition for c in spark.catalog.listColumns(table)):
         spark.catalog.recoverPartitions(table)
     spark.catalog.refreshTable(table)
 

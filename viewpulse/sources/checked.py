@@ -15,7 +15,6 @@ from 100,000,000,000 on).
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,7 +25,7 @@ from pyspark.sql import types as T
 
 from viewpulse import schemas as S
 from viewpulse.sources import logs as L
-from viewpulse.sources.files import list_files
+from viewpulse.sources.files import file_system, list_files
 
 QUARANTINE_SCHEMA = "source string, day date, file string, kind string, reason string, record string"
 UNREADABLE, CORRUPT = "unreadable file", "corrupt row"
@@ -56,17 +55,6 @@ def _day_of(path: Column) -> Column:
     return F.try_to_date(F.concat(*[F.regexp_extract(path, DAY_IN_PATH, i) for i in (1, 2, 3)]), "yyyyMMdd")
 
 
-def open_file(uri: str):
-    """A readable file of any file system that pyarrow knows, by its Hadoop name."""
-    from pyarrow import fs
-
-    uri = re.sub(r"^s3[an]:", "s3:", re.sub(r"^file:/+", "file:///", uri))
-    if "://" not in uri:
-        uri = f"file://{uri}"
-    system, path = fs.FileSystem.from_uri(uri.replace("%", "%25") if uri.startswith("file:") else uri)
-    return system.open_input_file(path)
-
-
 # --- search log --------------------------------------------------------------------
 
 TEXT_COLUMNS = S.SEARCH_LOG_SCHEMA.fieldNames()
@@ -83,7 +71,8 @@ def survey(spark: SparkSession, paths: list[str], columns: list[str]) -> DataFra
             found, errors = [], []
             for uri in b.column(0).to_pylist():
                 try:
-                    with open_file(uri) as f:
+                    system, path = file_system(uri)
+                    with system.open_input_file(path) as f:
                         own = {x.name: x.type for x in pq.ParquetFile(f).schema_arrow if x.name in wanted}
                     nested = sorted(n for n, t in own.items() if pa.types.is_nested(t))
                     found.append(",".join(f"{n}:{own[n]}" for n in sorted(own)))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,3 +38,12 @@ def fingerprint(spark: SparkSession, paths: list[str], *parameters: object) -> s
     # a digest by Spark's own hash, of text: the same in every session
     text = repr((n, low, high, mixed, sorted(paths), parameters))
     return spark.range(1).select(F.sha2(F.lit(text), 256)).first()[0][:24]
+
+
+def file_system(uri: str):
+    """(pyarrow file system, path in it) for a Hadoop path, usable in tasks; any file system that pyarrow knows."""
+    from pyarrow import fs
+
+    if re.match(r"^(file:|/)", uri):
+        return fs.LocalFileSystem(), re.sub(r"^file:/*", "/", uri)
+    return fs.FileSystem.from_uri(re.sub(r"^s3[an]:", "s3:", uri))
