@@ -7,8 +7,8 @@ sum over gap sizes of (number of open sequences with that gap) squared is smalle
 sequence is opened only where nothing fits.  This keeps the gaps varied, so that later pieces fill them exactly.
 
 Pieces are dealt into groups of bounded size by a hash, and each group is packed
-in a task.  Sequences that stay badly filled are opened again and their pieces meet
-in fewer groups in the next round, so that the waste doesn't grow with the number of groups.
+in a task.  Sequences that stay badly filled, and half of the others, are opened again, and their pieces meet
+in fewer and larger groups in the next round, so that the waste doesn't grow with the number of groups.
 Ids stay in the tasks that made them; only lengths are shuffled.
 
 Null texts are empty: a single end id.  Repeated rows are packed once each.  Null ids are packed like others.
@@ -88,41 +88,54 @@ def place(lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     return sequence, offset
 
 
-def _packer(size: int, rounds: int):
+def _packer(size: int, rounds: int, full_share: float, last: bool):
+    """Packs a group; ``final`` marks pieces of sequences that are settled.
+
+    Before the last round these are half of the well filled sequences, those without small pieces: small pieces
+    go on, as later rounds need them to fill up the rest.
+    """
     def run(key, table):
         row, length = table.column("row").to_numpy(), table.column("length").to_numpy()
         order = np.lexsort((row, -length))
         row, length = row[order], length[order]
         sequence, offset = place(length, size)
-        filled = np.bincount(sequence, length)
+        final = np.ones(int(sequence.max()) + 1, bool)
+        if not last:
+            full = np.flatnonzero(np.bincount(sequence, length) >= full_share * size)
+            least = np.full(len(final), size)
+            np.minimum.at(least, sequence, length)
+            final[:] = False
+            final[full[np.argsort(-least[full], kind="stable")][: (len(full) + 1) // 2]] = True
         # numbers of different rounds and groups don't meet
         number = (np.int64(rounds) << 56) | (np.int64(key[0].as_py()) << 28) | sequence
-        return pa.table({"row": row, "length": length, "sequence_id": number, "offset": offset,
-                         "filled": filled[sequence].astype(np.int64)})
+        return pa.table({"row": row, "length": length, "sequence_id": number, "offset": offset, "final": final[sequence]})
 
     return run
 
 
-def pack(lengths: DataFrame, size: int, group: int = 50_000, full_share: float = 0.99) -> DataFrame:
+def pack(lengths: DataFrame, size: int, group: int = 50_000, full_share: float = 0.99, most_group: int = 1_000_000) -> DataFrame:
     """``row, sequence_id, offset`` for a table of distinct ``row`` and ``length`` (1 to ``size``).
 
-    ``group`` is about the number of pieces that one task packs.  After each round but
-    the last, sequences filled to ``full_share`` are final; the pieces of the others go on to the next round.
+    ``group`` is about the number of pieces that one task packs.  After each round but the last, half of the
+    sequences filled to ``full_share`` are final; the pieces of the others go on to the next round, in groups
+    twice as large (up to ``most_group`` pieces).  The last round has one group; or, where the largest
+    groups settle less than a seventh of their pieces, as many as there are.
     """
     settled = []
-    rest, n, rounds = lengths.select("row", "length"), lengths.count(), 0
+    rest, n, rounds, last = lengths.select("row", "length"), lengths.count(), 0, False
     while True:
-        groups = -(-n // group) or 1
+        own = min(group << rounds, max(group, most_group))
+        groups = -(-n // own) or 1
+        last = last or groups == 1
         packed = rest.withColumn("g", F.pmod(F.xxhash64("row", F.lit(rounds)), F.lit(groups)))
-        packed = packed.groupBy("g").applyInArrow(_packer(size, rounds), "row long, length long, sequence_id long, offset long, filled long")
+        packed = packed.groupBy("g").applyInArrow(_packer(size, rounds, full_share, last), "row long, length long, sequence_id long, offset long, final boolean")
         packed = cut(packed, "packing-round")
-        keep = F.col("filled") >= full_share * size
-        left = packed.where(~keep).count() if groups > 1 else 0
-        if left == 0 or left > 0.7 * n:
-            settled.append(packed)
+        settled.append(packed.where("final"))
+        left = 0 if last else packed.where("NOT final").count()
+        if not left:
             break
-        settled.append(packed.where(keep))
-        rest, n, rounds = packed.where(~keep).select("row", "length"), left, rounds + 1
+        last = own >= most_group and left > 0.85 * n
+        rest, n, rounds = packed.where("NOT final").select("row", "length"), left, rounds + 1
     out = settled[0]
     for more in settled[1:]:
         out = out.unionByName(more)

@@ -268,15 +268,27 @@ def score(docs: DataFrame, labels: DataFrame, learn, id_col: str = "doc_id", tex
     a, b, without = fit_curve(votes, truth, prior) if both and held else (8.0, -4.0, prior)
     marks = [int(r[1]) for r in own]
 
+    def judged_vector(ids, counts):
+        ids, counts = np.array(ids, np.int64), np.array(counts, np.float64)
+        near = index.nearest(ids, unit_weights(ids, counts, idf), k)
+        v = vote(index, near)
+        score = prior if not both else without if v < 0 else float(1 / (1 + np.exp(-(a * v + b))))
+        return score, [{"id": names[i], "label": marks[i], "cosine": s} for i, s in near]
+
     def judge(batches):
+        memo = {}  # equal vectors come to few tasks, which judge them once; emptied when full
         for batch in batches:
             scores, evidence = [], []
             for ids, counts in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                ids, counts = np.array(ids, np.int64), np.array(counts, np.float64)
-                near = index.nearest(ids, unit_weights(ids, counts, idf), k)
-                v = vote(index, near)
-                scores.append(prior if not both else without if v < 0 else float(1 / (1 + np.exp(-(a * v + b)))))
-                evidence.append([{"id": names[i], "label": marks[i], "cosine": s} for i, s in near])
+                vector = (tuple(ids), tuple(counts))
+                found = memo.get(vector)
+                if found is None:
+                    found = judged_vector(ids, counts)
+                    if len(memo) >= 20_000:
+                        memo.clear()
+                    memo[vector] = found
+                scores.append(found[0])
+                evidence.append(found[1])
             near_type = pa.list_(pa.struct([("id", batch.column(0).type), ("label", pa.int32()), ("cosine", pa.float64())]))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64()), pa.array(evidence, near_type), batch.column(3)],
                                              names=["id", "score", "neighbours", "row"])
@@ -285,5 +297,7 @@ def score(docs: DataFrame, labels: DataFrame, learn, id_col: str = "doc_id", tex
                                      T.StructField("cosine", T.DoubleType())]))
     out = T.StructType([T.StructField("id", id_type), T.StructField("score", T.DoubleType()), T.StructField("neighbours", near),
                         T.StructField("row", T.StringType())])
-    judged = vectors.mapInArrow(judge, out)
+    # judging costs far more than its input's bytes tell, so vectors are dealt out by number; equal ones to eight tasks at most
+    spread = [F.hash("terms", "counts"), F.pmod(F.xxhash64("id", "row"), F.lit(8))]
+    judged = vectors.repartition(max(1, -(-n_docs // 4096)), *spread).mapInArrow(judge, out)
     return judged.select(F.col("id").alias(id_col), "score", "neighbours", *([F.col("row").alias(row_col)] if row_col else []))

@@ -4,9 +4,9 @@ This kind of tokenizer drops white space, so the stretches between white space
 are encoded by themselves.  Within a stretch, the tokenizer's own pattern gives words.
 Words repeat: a task keeps a memo of stretches, emptied when full.
 
-A stretch may also be very long text that nothing splits.  Its words are cut
-into leaves of bounded size, and leaves are encoded by different tasks.  Neighbours are then joined, pair by pair,
-level by level.  At a join, a window of tokens on either side is encoded
+A word above a small length is encoded as a tree: its halves by themselves, down to leaves of some bytes, and then joined
+pair by pair, level by level.  Within a task that is a recursion.  A stretch of very long text that nothing splits has its words cut
+into larger leaves, which different tasks encode and join, one Spark job a level.  At a join, a window of tokens on either side is encoded
 anew; it grows until its first token is the left side's and its last token is the right side's.
 A token sequence is the BPE of its bytes exactly when each pair of neighbours is, so agreement at both ends
 proves the joined sequence, and each join costs a window, not the text.
@@ -62,7 +62,7 @@ class WordBpe:
         self.split_special = re.compile("|".join(map(re.escape, self.special))) if self.special else None
         self.words = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
         end = spec["model"]["end_of_word_suffix"]
-        byte = _byte_of_char()
+        byte = self.byte = _byte_of_char()
         ranks = {}
         for token, i in spec["model"]["vocab"].items():
             own = token.removesuffix(end)
@@ -82,8 +82,31 @@ class WordBpe:
     def merge(self, part: bytes) -> list[int]:
         return self.ranks._encode_single_piece(part)
 
+    def tree(self, part: bytes, leaf: int = 24) -> np.ndarray:
+        """The merge of a word or part of one, by halves where it is longer than a leaf."""
+        if len(part) <= leaf:
+            return np.array(self.merge(part), np.int64)
+        half = len(part) // 2
+        return self.join(self.tree(part[:half], leaf), self.tree(part[half:], leaf))
+
+    def units(self, stretch: str) -> list[int | str]:
+        """A stretch split at special tokens: their ids, and the text between them."""
+        if not (self.split_special and self.split_special.search(stretch)):
+            return [stretch]
+        out, at = [], 0
+        for m in self.split_special.finditer(stretch):
+            out += [stretch[at : m.start()], self.special[m.group()]]
+            at = m.end()
+        return [u for u in [*out, stretch[at:]] if u != ""]
+
     def word_bytes(self, stretch: str) -> list[bytes]:
-        """The words of a stretch without special tokens, normalised, each with its end."""
+        """The words of a stretch without special tokens, normalised, each with its end.
+
+        Where a version of Unicode might matter, the library's own normaliser and splitter say what they are.
+        """
+        if not PLAIN.fullmatch(stretch):
+            words = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(stretch))
+            return [bytes(self.byte[c] for c in w) + WORD_END for w, _ in words]
         low = unicodedata.normalize("NFC", stretch).replace("Σ", "σ").lower()
         return [w.encode() + WORD_END for w in self.words.findall(low)]
 
@@ -97,16 +120,14 @@ class WordBpe:
             window *= 2
 
     def _encode_stretch(self, stretch: str) -> bytes:
-        if self.split_special and self.split_special.search(stretch):
-            out, at = [], 0
-            for m in self.split_special.finditer(stretch):
-                out += [self._encode_stretch(stretch[at : m.start()]), int(self.special[m.group()]).to_bytes(4, "little")]
-                at = m.end()
-            return b"".join(out) + self._encode_stretch(stretch[at:])
-        if not PLAIN.fullmatch(stretch):
-            return array("I", self.library.encode(stretch, add_special_tokens=False).ids).tobytes()
-        ids = [i - self.offset for w in self.word_bytes(stretch) for i in self.merge(w)]
-        return array("I", ids).tobytes()
+        out = array("I")
+        for unit in self.units(stretch):
+            if isinstance(unit, int):
+                out.append(unit)
+            else:
+                for w in self.word_bytes(unit):
+                    out.extend([i - self.offset for i in (self.merge(w) if len(w) <= 24 else self.tree(w).tolist())])
+        return out.tobytes()
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
@@ -173,16 +194,20 @@ def _long_parts(docs: DataFrame, path: str, leaf_bytes: int) -> DataFrame:
                         ready.clear()
 
                 for s in stretches(text):
-                    if len(s) * 4 <= leaf_bytes or (bpe.split_special and bpe.split_special.search(s)):
+                    if len(s) * 4 <= leaf_bytes:
                         ready.append(bpe.encode(s))
                         continue
-                    for w in bpe.word_bytes(s):
-                        if len(w) <= leaf_bytes:
-                            ready.append(array("I", [x - bpe.offset for x in bpe.merge(w)]).tobytes())
+                    for unit in bpe.units(s):
+                        if isinstance(unit, int):
+                            ready.append(int(unit).to_bytes(4, "little"))
                             continue
-                        close()
-                        seg, n = len({r[0] for r in rows}), -(-len(w) // leaf_bytes)
-                        rows += [(seg, k, n, w[k * leaf_bytes : (k + 1) * leaf_bytes], None) for k in range(n)]
+                        for w in bpe.word_bytes(unit):
+                            if len(w) <= leaf_bytes:
+                                ready.append(array("I", [x - bpe.offset for x in bpe.tree(w).tolist()]).tobytes())
+                                continue
+                            close()
+                            seg, n = len({r[0] for r in rows}), -(-len(w) // leaf_bytes)
+                            rows += [(seg, k, n, w[k * leaf_bytes : (k + 1) * leaf_bytes], None) for k in range(n)]
                 close()
                 rows = rows or [(0, 0, 1, None, b"")]
                 yield pa.RecordBatch.from_arrays(
@@ -197,27 +222,41 @@ def _long_parts(docs: DataFrame, path: str, leaf_bytes: int) -> DataFrame:
 
 def _merge_leaves(parts: DataFrame, path: str) -> DataFrame:
     """``row, seg, ids`` of all long words: leaves in parallel, then joins up the tree."""
+    names, fields = ["row", "seg", "leaf", "merged"], "row long, seg int, leaf int, merged binary"
+
     def leaves(batches):
         bpe = WordBpe(path)
         for b in batches:
-            merged = [np.array(bpe.merge(p), np.int64).tobytes() for p in b.column(3).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*[b.column(k) for k in range(3)], pa.array(merged, pa.binary())],
-                                             names=["row", "seg", "leaf", "merged"])
+            merged = [bpe.tree(p).tobytes() for p in b.column(3).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*[b.column(k) for k in range(3)], pa.array(merged, pa.binary())], names=names)
 
-    def join(key, table):
-        bpe = WordBpe(path)
-        table = table.sort_by("leaf")
-        sides = [np.frombuffer(x, np.int64) for x in table.column("merged").to_pylist()]
-        both = bpe.join(*sides) if len(sides) == 2 else sides[0]
-        return pa.table({"row": [key[0].as_py()], "seg": pa.array([key[1].as_py()], pa.int32()), "leaf": pa.array([key[2].as_py()], pa.int32()),
-                         "merged": pa.array([both.tobytes()], pa.binary())})
+    def joins(batches):
+        """Neighbours come one after the other, so a task joins many pairs with one tokenizer."""
+        bpe, before = WordBpe(path), None
+        for b in batches:
+            done = []
+            for row, seg, leaf, merged in zip(*[c.to_pylist() for c in b.columns]):
+                if leaf % 2 and before:
+                    both = bpe.join(np.frombuffer(before[3], np.int64), np.frombuffer(merged, np.int64))
+                    done.append((row, seg, leaf // 2, both.tobytes()))
+                    before = None
+                else:
+                    done += [before] if before else []
+                    before = (row, seg, leaf // 2, merged)
+            yield batch_of(done)
+        if before:
+            yield batch_of([before])
+
+    def batch_of(rows):
+        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names=names)
 
-    fields = "row long, seg int, leaf int, merged binary"
     most = parts.agg(F.max("leaves")).first()[0] or 1
     now = parts.where("part is not null").select("row", "seg", "leaf", "part").repartition("row", "seg", "leaf")
     now = cut(now.mapInArrow(leaves, fields), "bpe-leaves")
     for _ in range(max(0, (most - 1).bit_length())):
-        now = cut(now.groupBy("row", "seg", F.shiftright("leaf", 1).alias("up")).applyInArrow(join, fields), "bpe-level")
+        pairs = now.repartition("row", "seg", F.shiftright("leaf", 1)).sortWithinPartitions("row", "seg", "leaf")
+        now = cut(pairs.mapInArrow(joins, fields), "bpe-level")
 
     def numbers(batches):
         for b in batches:
