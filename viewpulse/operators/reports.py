@@ -86,13 +86,13 @@ def _scoped(fact: DataFrame, source: str, include_both: bool, newest: int | None
     return fact.where(_sources(source, include_both) & (F.col("snapshot_date_key") == key)), _window_cols(key)
 
 
-def _with_service(f: DataFrame, dim: DataFrame) -> DataFrame:
+def with_service(f: DataFrame, dim: DataFrame) -> DataFrame:
     # The service dimension is the constant 7-row table: broadcast is bounded.
     d = dim.select("service_key", F.col("category_group").alias("CategoryGroup"), F.col("Type").alias("Category"))
     return f.join(F.broadcast(d), "service_key", "inner")
 
 
-def _pct(num: Column, den: Column) -> Column:
+def pct(num: Column, den: Column) -> Column:
     return F.round(num * F.lit(100.0) / F.nullif(den, F.lit(0)), 2)
 
 
@@ -106,7 +106,7 @@ def category_loyalty(fact: DataFrame, dim: DataFrame, source: str = S.SOURCE_CON
                      include_both: bool = False, newest: int | None = None) -> DataFrame:
     """W-32: per (CategoryGroup, Category): users, loyal (High) users, at-risk (Low) users, % loyal."""
     f, _ = _scoped(fact, source, include_both, newest)
-    f = _with_service(f, dim)
+    f = with_service(f, dim)
     agg = _users(
         f,
         ["CategoryGroup", "Category"],
@@ -114,7 +114,7 @@ def category_loyalty(fact: DataFrame, dim: DataFrame, source: str = S.SOURCE_CON
     )
     return agg.select(
         "CategoryGroup", "Category", "TongUser", "UserTrungThanh", "UserNguyCo",
-        _pct(F.col("UserTrungThanh"), F.col("TongUser")).alias("TiLe_TrungThanh"),
+        pct(F.col("UserTrungThanh"), F.col("TongUser")).alias("TiLe_TrungThanh"),
     )
 
 
@@ -122,9 +122,9 @@ def category_taste(fact: DataFrame, dim: DataFrame, source: str = S.SOURCE_CONTE
                    include_both: bool = False, newest: int | None = None) -> DataFrame:
     """W-33: per (CategoryGroup, Category, Taste): users and their share within the Category."""
     f, _ = _scoped(fact, source, include_both, newest)
-    f = _with_service(f.where(F.col("Taste").isNotNull()), dim)
+    f = with_service(f.where(F.col("Taste").isNotNull()), dim)
     agg = _users(f, ["CategoryGroup", "Category", "Taste"])
-    share = _pct(F.col("TongUser"), F.sum("TongUser").over(Window.partitionBy("Category")))
+    share = pct(F.col("TongUser"), F.sum("TongUser").over(Window.partitionBy("Category")))
     return agg.select("CategoryGroup", "Category", "Taste", "TongUser", share.alias("PhanTram_TrongCategory"))
 
 
@@ -132,9 +132,9 @@ def power_vs_casual(fact: DataFrame, dim: DataFrame, source: str = S.SOURCE_CONT
                     include_both: bool = False, newest: int | None = None) -> DataFrame:
     """W-34: per (Active, CategoryGroup, Category): users and their share within the Active group."""
     f, _ = _scoped(fact, source, include_both, newest)
-    f = _with_service(f, dim).withColumnRenamed("Active", "UserType")
+    f = with_service(f, dim).withColumnRenamed("Active", "UserType")
     agg = _users(f, ["UserType", "CategoryGroup", "Category"])
-    share = _pct(F.col("TongUser"), F.sum("TongUser").over(Window.partitionBy("UserType")))
+    share = pct(F.col("TongUser"), F.sum("TongUser").over(Window.partitionBy("UserType")))
     return agg.select("UserType", "CategoryGroup", "Category", "TongUser", share.alias("PhanTram_TrongNhom"))
 
 
@@ -153,7 +153,7 @@ def taste_diversity(fact: DataFrame, source: str = S.SOURCE_CONTENT, include_bot
     f, _ = _scoped(fact, source, include_both, newest)
     f = f.where(F.col("Taste").isNotNull()).withColumn("SoTheLoaiXem", genre_bucket(F.col("Taste")))
     agg = _users(f, ["SoTheLoaiXem", "Active"])
-    share = _pct(F.col("TongUser"), F.sum("TongUser").over(Window.partitionBy()))
+    share = pct(F.col("TongUser"), F.sum("TongUser").over(Window.partitionBy()))
     return agg.select("SoTheLoaiXem", "Active", "TongUser", share.alias("PhanTram"))
 
 
@@ -190,7 +190,7 @@ def interest_migration(fact: DataFrame, source: str = S.SOURCE_SEARCH, include_b
         & F.col("category_curr").isNotNull()
     ).select(F.col("category_prev").alias("RoiKhoi"), F.col("category_curr").alias("ChuyenSang"))
     agg = _users(f, ["RoiKhoi", "ChuyenSang"])
-    share = _pct(F.col("TongUser"), F.sum("TongUser").over(Window.partitionBy("RoiKhoi")))
+    share = pct(F.col("TongUser"), F.sum("TongUser").over(Window.partitionBy("RoiKhoi")))
     return agg.select("RoiKhoi", "ChuyenSang", "TongUser", share.alias("PhanTram_RoiKhoi"))
 
 

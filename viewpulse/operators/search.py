@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from viewpulse import schemas as S
 from viewpulse.functions.dates import as_date, month_before
 from viewpulse.functions.text import clean_keyword, search_month, with_computed
+from viewpulse.operators.paging import page
 
 PREV = "prev"
 CURR = "curr"
@@ -106,28 +107,25 @@ def page_keywords(
     offset_prev: int = 0,
     limit_curr: int = 10000,
     offset_curr: int = 0,
+    shallow: int = 1_000_000,
 ) -> DataFrame:
     """W-10: a page of popular previous keywords plus a page of current keyword rows.
 
     Previous side pages distinct keywords by ``total desc, keyword``; current
     side pages pair *rows* by ``count_prev desc, user_id``.  Union, distinct.
     The page is the feature here; ``orderBy().offset().limit()`` plans as a
-    per-partition top-k (``TakeOrderedAndProject``), never a one-task sort.
+    per-partition top-k (``TakeOrderedAndProject``), never a one-task sort.  A page that ends beyond ``shallow`` rows
+    is cut from written ranges of the order instead (``operators.paging``), with the same rows.
     """
-    prev_page = (
-        keyword_popularity(pairs)
-        .orderBy(F.desc("total"), F.asc("most_searched_prev"))
-        .offset(offset_prev)
-        .limit(limit_prev)
-        .select(F.col("most_searched_prev").alias("keyword"))
-    )
-    curr_page = (
-        pairs.orderBy(F.desc("count_prev"), F.asc("user_id"))
-        .offset(offset_curr)
-        .limit(limit_curr)
-        .select(F.col("most_searched_curr").alias("keyword"))
-    )
-    return prev_page.union(curr_page).distinct()
+    def cut(rows: DataFrame, order: list[Column], offset: int, limit: int) -> DataFrame:
+        if offset + limit > shallow:
+            return page(rows, order, offset, limit, shallow)
+        return rows.orderBy(*order).offset(offset).limit(limit)
+
+    prev_page = cut(keyword_popularity(pairs), [F.desc("total"), F.asc("most_searched_prev")], offset_prev, limit_prev)
+    curr_page = cut(pairs, [F.desc("count_prev"), F.asc("user_id")], offset_curr, limit_curr)
+    words = [prev_page.select(F.col("most_searched_prev").alias("keyword")), curr_page.select(F.col("most_searched_curr").alias("keyword"))]
+    return words[0].union(words[1]).distinct()
 
 
 def map_categories(pairs: DataFrame, kmap: DataFrame) -> DataFrame:

@@ -25,6 +25,7 @@ from viewpulse.operators import reports as R
 from viewpulse.operators import star as ST
 from viewpulse.plans.classifier import Classifier, classify_open
 from viewpulse.plans.dimensions import upsert_dimension
+from viewpulse.plans.partials import live_days, refresh_partials
 from viewpulse.plans.profiles import build_content_profile, build_search_profile, search_pairs
 from viewpulse.plans.runlog import RunLog
 from viewpulse.plans.warehouse import load_table, publish, register_table
@@ -112,6 +113,22 @@ def _incremental_inputs(spark, search_root, content_root, kmap_path, start, end,
         lambda: ST_.content_profile_from_partials(spark, paths["content"][0], start, end))
 
 
+def _day_inputs(spark, search_root, content_root, kmap_path, start, end, layout, folder: str) -> _Inputs:
+    """As ``_incremental_inputs``, from partials that follow changed files."""
+    from viewpulse import streaming as ST_
+
+    paths = {kind: f"{folder}/{kind}_days" for kind in ("search", "content")}
+    _concurrently([lambda: refresh_partials(spark, search_root, paths["search"], "search", layout, start, end),
+                   lambda: refresh_partials(spark, content_root, paths["content"], "content", layout, start, end)])
+    days = {kind: live_days(spark, path) for kind, path in paths.items()}
+    there = lambda path: [path] if path_exists(spark, path) else []
+    return _Inputs(
+        fingerprint(spark, there(f"{paths['search']}/days") + there(kmap_path), FORMAT, start, end),
+        fingerprint(spark, there(f"{paths['content']}/days"), FORMAT, start, end),
+        lambda: ST_.search_profile_from_partials(spark, f"{paths['search']}/rows", D.read_keyword_map(spark, kmap_path), end, start, days=days["search"]),
+        lambda: ST_.content_profile_from_partials(spark, f"{paths['content']}/rows", start, end, days=days["content"]))
+
+
 def run_snapshot(
     spark: SparkSession,
     search_root: str,
@@ -129,6 +146,7 @@ def run_snapshot(
     resume: bool = True,
     quarantine_dir: str | None = None,
     dim_buckets: int = 16,
+    incremental_mode: str = "stream",
 ) -> RunResult | None:
     """Build and load one snapshot; returns None when no log day exists.
 
@@ -144,7 +162,8 @@ def run_snapshot(
     With ``incremental_dir`` the raw logs are not re-read: new files are
     ingested once by the streams of ``viewpulse.streaming`` (state and
     partials under that folder) and both profiles are built from the
-    partials, with the same result.
+    partials, with the same result.  The mode "stream" takes it that files never change once they are there;
+    "days" finds days whose files changed or vanished and builds their partials again.
 
     With ``quarantine_dir`` unreadable files and corrupt rows are written there instead of failing the run.
 
@@ -164,7 +183,10 @@ def run_snapshot(
     stage = (stage_dir or f"{shared_dir(spark).rstrip('/')}/viewpulse-stage").rstrip("/")
     log = RunLog(spark, f"{out}/run_log", f"{key}-{uuid.uuid4().hex[:12]}", key, resume)
     where = (search_root, content_root, keyword_map_path, start, end, layout)
-    inputs = _incremental_inputs(spark, *where, incremental_dir.rstrip("/")) if incremental_dir else _batch_inputs(spark, *where, quarantine_dir)
+    if incremental_dir:
+        inputs = {"stream": _incremental_inputs, "days": _day_inputs}[incremental_mode](spark, *where, incremental_dir.rstrip("/"))
+    else:
+        inputs = _batch_inputs(spark, *where, quarantine_dir)
 
     # Stage 1: the two profiles (independent jobs, run concurrently), written.
     search, content = _concurrently([
@@ -200,7 +222,8 @@ def run_snapshot(
         lambda: log.step("load:dim_date", loaded, lambda: load_dim("dim_date", ST.dim_date(spark, start, _month_end(end)), "date_key", 1), stage),
         lambda: load_table(dim_service, paths["dim_service"], "replace", skip_empty=False, table=qualified("dim_service")),
     ])
-    tables = {n: p for n, p in paths.items() if path_exists(spark, p)}  # a log without any profile has no dimension
+    # a log without any profile has no user or customer dimension
+    tables = {n: p for n, p in paths.items() if n not in ("dim_user", "dim_cust") or path_exists(spark, p)}
     for name in ("dim_user", "dim_cust", "dim_date") if database else ():
         if name in tables:
             register_table(spark, qualified(name), tables[name])
@@ -208,8 +231,7 @@ def run_snapshot(
     # Stage 3: the six reports over the loaded fact, each published as a new version.
     reports = R.all_reports(spark.read.parquet(tables["fact_customer_360"]), spark.read.parquet(tables["dim_service"]), include_both)
     versions = _concurrently([lambda n=n, df=df: publish(df, f"{out}/{n}", log.run_id, qualified(n)) for n, df in reports.items()])
-    for name, path in zip(reports, versions):
-        log.record(f"publish:{name}", loaded, path)
+    log.record(*[(f"publish:{n}", loaded, path) for n, path in zip(reports, versions)])
     return RunResult(start, end, key, tables | dict(zip(reports, versions)))
 
 

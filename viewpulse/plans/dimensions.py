@@ -56,7 +56,8 @@ def merged_rows(old: DataFrame, updates: DataFrame, key: str) -> DataFrame:
 
 def upsert_dimension(updates: DataFrame, path: str, log: RunLog, fingerprint: str, stage_dir: str, key: str = "Profile_ID",
                      buckets: int = 64) -> int:
-    """Merge ``updates`` (one row a key; rows without a key are left out) into the table at ``path``; the number of rewritten partitions.
+    """Merge ``updates`` (one row a key; rows without a key are left out) into the table at ``path``; the number of rewritten
+    partitions (of a new table: all).
 
     ``buckets`` is for a new table; one that is there keeps its own number.  Pick it so that a
     partition is some hundred MB, as each is written by one task.
@@ -70,7 +71,7 @@ def upsert_dimension(updates: DataFrame, path: str, log: RunLog, fingerprint: st
 
     if old is None:  # nothing to lose: a first load that died is loaded again
         updates.repartition(F.col(b)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(b).parquet(path)
-        return updates.agg(F.count_distinct(b)).first()[0]
+        return n
     changed = log.table(f"{name}-changes", fingerprint, lambda: changed_rows(old, updates, key), stage_dir)
     touched = [r[0] for r in changed.select(b).distinct().collect()]  # at most one a partition
     if touched:

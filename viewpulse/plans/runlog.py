@@ -38,13 +38,13 @@ class RunLog:
         self.newest: dict[str, tuple[str, str]] = {r["stage"]: tuple(r["e"]) for r in last if resume and r["e"]}
         self.last_micros: dict[str, int] = {r["stage"]: r["at"] for r in last}
 
-    def record(self, stage: str, fingerprint: str, path: str) -> None:
-        """One more line, in a folder of its own, so that concurrent writers don't meet."""
-        values = (time.time_ns() // 1000, self.run_id, self.key, stage, fingerprint, path)
+    def record(self, *entries: tuple[str, str, str]) -> None:
+        """A line for each (stage, fingerprint, path), in a folder of its own, so that concurrent writers don't meet."""
         names = [f.split() for f in LOG_SCHEMA.split(", ")]
-        line = self.spark.range(1, numPartitions=1).select(*[F.lit(v).cast(t).alias(n) for v, (n, t) in zip(values, names)])
-        line.write.json(f"{self.path}/{uuid.uuid4().hex}")
-        self.newest[stage] = (fingerprint, path)
+        lines = [(time.time_ns() // 1000, self.run_id, self.key, *e) for e in entries]
+        rows = F.array(*[F.struct(*[F.lit(v).cast(t).alias(n) for v, (n, t) in zip(line, names)]) for line in lines])
+        self.spark.range(1, numPartitions=1).select(F.inline(rows)).write.json(f"{self.path}/{uuid.uuid4().hex}")
+        self.newest |= {stage: (fingerprint, path) for stage, fingerprint, path in entries}
 
     def done(self, stage: str, fingerprint: str) -> str | None:
         """The path that the stage's newest entry names, if it is of these inputs and still there."""
@@ -57,14 +57,14 @@ class RunLog:
         if path is None:
             path = f"{folder}/{stage}-{fingerprint}-{self.run_id}"
             build().write.mode("overwrite").parquet(path)
-            self.record(stage, fingerprint, path)
+            self.record((stage, fingerprint, path))
         return self.spark.read.parquet(path)
 
     def step(self, stage: str, fingerprint: str, do: Callable[[], object], path: str) -> None:
         """A stage that changes tables in place and may be repeated; left out when its newest entry is of these inputs."""
         if self.done(stage, fingerprint) is None:
             do()
-            self.record(stage, fingerprint, path)
+            self.record((stage, fingerprint, path))
 
 
 def current_tables(spark: SparkSession, out: str) -> dict[str, str]:

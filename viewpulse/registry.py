@@ -19,14 +19,17 @@ from viewpulse.operators import keywords as K
 from viewpulse.operators import reports as R
 from viewpulse.operators import search as Q
 from viewpulse.operators import star as ST
+from viewpulse.operators import user_sets as U
 from viewpulse.plans import dimensions as DIM
 from viewpulse.plans import profiles as P
 from viewpulse.plans.daily_run import run_snapshot
+from viewpulse.plans.partials import live_days, refresh_partials
 from viewpulse.plans.warehouse import load_table
 from viewpulse.sources import checked as CH
 from viewpulse.sources import dictionary as D
 from viewpulse.sources import logs as L
 from viewpulse.sources import testdata as TD
+from viewpulse.streaming import content_profile_from_partials, search_profile_from_partials
 
 END = TD.SNAPSHOT_END
 START = TD.WINDOW_START
@@ -35,6 +38,7 @@ SNAPSHOT = ST.snapshot_key(END)
 OLDER, LATER = _dt.date(2022, 6, 30), _dt.date(2022, 8, 15)
 
 # Page parameters for the keyword page at test scale (64 distinct keywords).
+DEEP_PAGE = dict(limit_prev=20, offset_prev=30, limit_curr=300, offset_curr=500, shallow=100)
 PAGE = dict(limit_prev=20, offset_prev=5, limit_curr=40, offset_curr=5)
 
 
@@ -181,6 +185,29 @@ def _daily_run_table(name, *ends):
     return run
 
 
+def _user_states(spark, sf, fact):
+    """The states of a fact's users, written and read back: the reports see nothing else."""
+    path = L.fresh_root(spark, "user-states")
+    U.user_states(fact, U.number_users(fact)).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def _by_days(spark, sf, kind):
+    """A profile from per-day partials, after a later state of the log replaced some of its days."""
+    root, own = L.fresh_root(spark, f"changing_{kind}"), L.fresh_root(spark, f"days_{kind}")
+    log, day = (TD.search_log(spark, sf), "log_date") if kind == "search" else (TD.content_log(spark, sf), "Date")
+    write = lambda df: getattr(df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day), "parquet" if kind == "search" else "json")(root)
+    repeated = log.where(F.dayofmonth(day) % 4 == 0)
+    write(log.unionByName(repeated))  # first some days have their rows twice, and are then replaced
+    refresh_partials(spark, root, own, kind, "hive", START, END)
+    write(repeated)
+    refresh_partials(spark, root, own, kind, "hive", START, END)
+    days = live_days(spark, own)
+    if kind == "search":
+        return search_profile_from_partials(spark, f"{own}/rows", TD.keyword_map(spark, sf), END, START, with_device=False, days=days)
+    return content_profile_from_partials(spark, f"{own}/rows", START, END, days=days)
+
+
 def _coverage(spark, sf):
     """After runs for two dates: fact rows of each snapshot and source, and how many find their user, customer and day."""
     tables = _daily_runs(spark, sf, END, LATER)
@@ -238,6 +265,13 @@ def build() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["scan_search_log_daily"] = lambda s, sf: L.read_search_log(s, _daily_logs(s, sf), start=START)
     q["scan_search_log_drifted"] = lambda s, sf: CH.read_search_log_checked(s, _drifted_logs(s, sf), START, END, "hive").rows
     q["scan_content_log_damaged"] = _content_damage
+    q["keyword_page_deep"] = lambda s, sf: Q.page_keywords(_pairs(s, sf), **DEEP_PAGE)
+    q["user_sets_loyalty"] = lambda s, sf: U.category_loyalty(_user_states(s, sf, _fact(s, sf)), ST.dim_service(s), [SNAPSHOT])
+    q["user_sets_migration"] = lambda s, sf: U.interest_migration(_user_states(s, sf, _fact(s, sf)), [SNAPSHOT])
+    q["user_sets_over_snapshots"] = lambda s, sf: U.category_taste(
+        _user_states(s, sf, _two_snapshots(s, sf)), ST.dim_service(s), [ST.snapshot_key(OLDER), SNAPSHOT])
+    q["search_profile_by_days"] = lambda s, sf: _by_days(s, sf, "search")
+    q["content_profile_by_days"] = lambda s, sf: _by_days(s, sf, "content")
     q["daily_run"] = _daily_run_table("olap_category_loyalty")
     for name in ("fact_customer_360", "dim_user", "dim_cust", "dim_date", "olap_category_taste", "olap_power_vs_casual", "olap_taste_diversity",
                  "olap_search_growth", "olap_interest_migration"):

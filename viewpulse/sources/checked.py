@@ -51,7 +51,7 @@ def keep_good(log: CheckedLog, path: str) -> DataFrame:
     return log.rows
 
 
-def _day_of(path: Column) -> Column:
+def day_of(path: Column) -> Column:
     return F.try_to_date(F.concat(*[F.regexp_extract(path, DAY_IN_PATH, i) for i in (1, 2, 3)]), "yyyyMMdd")
 
 
@@ -111,7 +111,7 @@ def conform(df: DataFrame) -> DataFrame:
     types = {f.name: f.dataType for f in df.schema.fields}
     cast = lambda n: (as_time_text if n == "datetime" else as_text)(F.col(n), types[n])
     return df.select(*[(cast(n) if n in types else F.lit(None).cast("string")).alias(n) for n in TEXT_COLUMNS],
-                     _day_of(F.col("_metadata.file_path")).alias("log_date"))
+                     day_of(F.col("_metadata.file_path")).alias("log_date"))
 
 
 def read_search_log_checked(spark: SparkSession, root: str, start=None, end=None, layout: str = "daily") -> CheckedLog:
@@ -137,7 +137,7 @@ def read_search_log_checked(spark: SparkSession, root: str, start=None, end=None
     for _, own in sorted(groups.items()):
         # the partition column of a folder isn't wanted, its day comes from the path
         rows = rows.unionByName(conform(spark.read.option("recursiveFileLookup", "true").parquet(*own)))
-    quarantine = bad.select(F.lit("search").alias("source"), _day_of(F.col("path")).alias("day"), F.col("path").alias("file"),
+    quarantine = bad.select(F.lit("search").alias("source"), day_of(F.col("path")).alias("day"), F.col("path").alias("file"),
                             F.lit(UNREADABLE).alias("kind"), F.col("error").alias("reason"), F.lit(None).cast("string").alias("record"))
     return CheckedLog(rows, quarantine)
 
@@ -153,7 +153,7 @@ def _lines(spark: SparkSession, root: str, start, end, layout: str) -> DataFrame
                                      *[F.try_parse_json(F.lit("")).alias(c) for c in ("parsed", "doc")], F.lit("").alias("reason"))
     text = spark.read.option("recursiveFileLookup", "true").text(paths)
     file = F.col("_metadata.file_path")
-    lines = text.where(F.trim("value") != "").select(F.col("value").alias("record"), file.alias("file"), _day_of(file).alias("Date"), F.try_parse_json("value").alias("parsed"))
+    lines = text.where(F.trim("value") != "").select(F.col("value").alias("record"), file.alias("file"), day_of(file).alias("Date"), F.try_parse_json("value").alias("parsed"))
     inner = F.try_variant_get("parsed", "$._source", "variant")
     docs = lines.withColumn("doc", F.when(inner.isNotNull() & ~F.is_variant_null(inner), inner).otherwise(F.col("parsed")))
     number = lambda t: F.try_variant_get("doc", "$.TotalDuration", t)

@@ -50,10 +50,10 @@ def day_paths(spark: SparkSession, root: str, start, end, kind: str, layout: str
     return [day_path(root, d, kind, layout) for d in days_between(spark, root, start, end, kind, layout)]
 
 
-def _day_files(spark: SparkSession, root: str, start, end, kind: str) -> str | None:
+def _day_files(spark: SparkSession, root: str, start, end, kind: str, chosen: list[_dt.date] | None = None) -> str | None:
     """A glob of the days of ``[start, end]`` that are there (either side may be open); None when there is none."""
     suffix = ".json" if kind == "content" else ""
-    days = [d.strftime("%Y%m%d") for d in days_between(spark, root, start, end, kind)]
+    days = [d.strftime("%Y%m%d") for d in days_between(spark, root, start, end, kind) if chosen is None or d in chosen]
     return f"{root.rstrip('/')}/{{{','.join(days)}}}{suffix}" if days else None
 
 
@@ -78,16 +78,20 @@ SEARCH_OUT_SCHEMA = T.StructType(S.SEARCH_LOG_FIELDS + [T.StructField("log_date"
 CONTENT_OUT_SCHEMA = T.StructType(S.CONTENT_FIELDS + [T.StructField("Date", T.DateType())])
 
 
-def read_search_log(spark: SparkSession, root: str, start=None, end=None, layout: str = "daily") -> DataFrame:
-    """W-01: search-log rows of every existing day in ``[start, end]``.
+def _chosen(df: DataFrame, day_col: str, days: list[_dt.date] | None) -> DataFrame:
+    return df if days is None else df.where(F.col(day_col).isin(days))
+
+
+def read_search_log(spark: SparkSession, root: str, start=None, end=None, layout: str = "daily", days: list[_dt.date] | None = None) -> DataFrame:
+    """W-01: search-log rows of every existing day in ``[start, end]`` (of ``days`` only, when given).
 
     Output: ``user_id, keyword, datetime, proxy_isp, platform, networkType, log_date``.
     """
     _require_root(spark, root)
     if layout == "hive":
         df = spark.read.schema(SEARCH_OUT_SCHEMA).parquet(root)
-        return in_window(df, "log_date", start, end).select(*SEARCH_OUT_SCHEMA.fieldNames())
-    files = _day_files(spark, root, start, end, "search")
+        return _chosen(in_window(df, "log_date", start, end), "log_date", days).select(*SEARCH_OUT_SCHEMA.fieldNames())
+    files = _day_files(spark, root, start, end, "search", days)
     if files is None:
         return empty_frame(spark, SEARCH_OUT_SCHEMA)
     df = spark.read.schema(S.SEARCH_LOG_SCHEMA).parquet(files)
@@ -101,17 +105,17 @@ def unwrap_content() -> list:
     return [F.when(wrapped, F.col("_source")[f.name]).otherwise(F.col(f.name)).alias(f.name) for f in S.CONTENT_FIELDS]
 
 
-def read_content_log(spark: SparkSession, root: str, start=None, end=None, layout: str = "daily") -> DataFrame:
-    """W-02: content-log rows of every existing day in ``[start, end]``, ``_source`` unwrapped.
+def read_content_log(spark: SparkSession, root: str, start=None, end=None, layout: str = "daily", days: list[_dt.date] | None = None) -> DataFrame:
+    """W-02: content-log rows of every existing day in ``[start, end]`` (of ``days`` only, when given), ``_source`` unwrapped.
 
     Output: ``Contract, AppName, TotalDuration, Date``.
     """
     _require_root(spark, root)
     if layout == "hive":
         schema = T.StructType(S.CONTENT_FILE_SCHEMA.fields + [T.StructField("Date", T.DateType())])
-        df = in_window(spark.read.schema(schema).json(root), "Date", start, end)
+        df = _chosen(in_window(spark.read.schema(schema).json(root), "Date", start, end), "Date", days)
         return df.select(*unwrap_content(), "Date")
-    files = _day_files(spark, root, start, end, "content")
+    files = _day_files(spark, root, start, end, "content", days)
     if files is None:
         return empty_frame(spark, CONTENT_OUT_SCHEMA)
     df = spark.read.schema(S.CONTENT_FILE_SCHEMA).json(files)

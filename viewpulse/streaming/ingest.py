@@ -83,10 +83,15 @@ def ingest_content(spark: SparkSession, root: str, partials: str, checkpoint: st
     return _start(stream, lambda b: C.daily_pivot(C.with_type(b)), partials, checkpoint, None, "Date")
 
 
+def _live(df: DataFrame, day_col: str, days) -> DataFrame:
+    return df if days is None else df.where(F.col(day_col).isin(list(days)))
+
+
 def content_profile_from_partials(spark: SparkSession, partials: str, start=None, end=None,
-                                  threshold: int = S.ACTIVE_DAYS_THRESHOLD) -> DataFrame:
-    """W-21 from the partials: merge the batches per day, then the usual day-to-contract fold."""
+                                  threshold: int = S.ACTIVE_DAYS_THRESHOLD, days=None) -> DataFrame:
+    """W-21 from the partials (of ``days``, when given): merge the batches per day, then the usual day-to-contract fold."""
     p = in_window(_partials(spark, partials, [("Contract", "string"), *[(t, "bigint") for t in S.TYPES], ("Date", "date")]), "Date", start, end)
+    p = _live(p, "Date", days)
     daily = p.groupBy("Contract", "Date").agg(*[F.sum(F.col(f"`{t}`")).alias(t) for t in S.TYPES])
     return C.profile_from_daily(C.with_taste(C.with_most_watch(daily)), threshold)
 
@@ -107,7 +112,7 @@ def _search_stream(spark: SparkSession, root: str, layout: str, max_files: int |
     return src.select(*cols, day.alias("log_date"))
 
 
-def _search_partials(batch: DataFrame) -> DataFrame:
+def search_partials(batch: DataFrame) -> DataFrame:
     """Per (user, day, month, cleaned keyword): searches and the largest device struct.
 
     Keywords are cleaned here once; the length rule and the month-to-period
@@ -136,13 +141,13 @@ def ingest_search(spark: SparkSession, root: str, partials: str, checkpoint: str
     """Stream new search-log files into per-day keyword partials."""
     _check_state(spark, partials, checkpoint)
     stream = _search_stream(spark, root, layout, max_files_per_trigger)
-    return _start(stream, _search_partials, partials, checkpoint, None, "log_date")
+    return _start(stream, search_partials, partials, checkpoint, None, "log_date")
 
 
 def search_profile_from_partials(spark: SparkSession, partials: str, kmap: DataFrame, end_date, start_date=None,
-                                 with_device: bool = True, min_len: int = S.MIN_KEYWORD_LENGTH) -> DataFrame:
-    """W-15 from the partials: same two-level aggregate as the batch build."""
-    p = in_window(_partials(spark, partials, SEARCH_PARTIALS), "log_date", start_date, end_date)
+                                 with_device: bool = True, min_len: int = S.MIN_KEYWORD_LENGTH, days=None) -> DataFrame:
+    """W-15 from the partials (of ``days``, when given): same two-level aggregate as the batch build."""
+    p = _live(in_window(_partials(spark, partials, SEARCH_PARTIALS), "log_date", start_date, end_date), "log_date", days)
     period = F.when(F.length("keyword") >= F.lit(min_len), Q.period_of(F.col("month"), end_date))
     tagged = p.select("user_id", period.alias("period"), "keyword", "n", "dev").select(
         "user_id", "period", F.when(F.col("period").isNotNull(), F.col("keyword")).alias("keyword"), "n", "dev"
