@@ -128,23 +128,59 @@ def page_keywords(
     return words[0].union(words[1]).distinct()
 
 
-def map_categories(pairs: DataFrame, kmap: DataFrame) -> DataFrame:
-    """W-13: attach ``category_prev``/``category_curr`` by exact keyword match (NULL if unmapped).
+def _dictionary(kmap: DataFrame) -> DataFrame:
+    """One category a keyword: a repeated keyword is collapsed to its smallest category."""
+    return kmap.groupBy("keyword").agg(F.min("category").alias("category"))
 
-    No broadcast hint: the dictionary grows with the keyword space, so the
-    join strategy is left to the size estimate and AQE's runtime conversion.
-    Dictionary keys must be unique for one row per user; a repeated keyword
-    is collapsed to its smallest category.
-    """
-    d = kmap.groupBy("keyword").agg(F.min("category").alias("category"))
+
+def _by_side(pairs: DataFrame) -> DataFrame:
+    """Both keywords of a user as rows ``side, keyword``, so that they meet the dictionary in one join."""
     sides = F.array(
         F.struct(F.lit(PREV).alias("side"), F.col("most_searched_prev").alias("keyword")),
         F.struct(F.lit(CURR).alias("side"), F.col("most_searched_curr").alias("keyword")),
     )
-    # both keywords of a user meet the dictionary in one join, and are folded per user after it
-    stacked = pairs.select("*", F.inline(sides)).join(d, "keyword", "left")
+    return pairs.select("*", F.inline(sides))
+
+
+def _folded(joined: DataFrame, columns: list[str]) -> DataFrame:
+    """One row a user again.  Grouped by the user alone, so that a partitioning by user serves the joins to come."""
     of_side = lambda side: F.max(F.when(F.col("side") == side, F.col("category")))
-    return stacked.groupBy(*pairs.columns).agg(of_side(PREV).alias("category_prev"), of_side(CURR).alias("category_curr"))
+    rest = [F.any_value(c).alias(c) for c in columns if c != "user_id"]
+    folded = joined.groupBy("user_id").agg(*rest, of_side(PREV).alias("category_prev"), of_side(CURR).alias("category_curr"))
+    return folded.select(*columns, "category_prev", "category_curr")
+
+
+def map_categories(pairs: DataFrame, kmap: DataFrame) -> DataFrame:
+    """W-13: attach ``category_prev``/``category_curr`` by exact keyword match (NULL if unmapped) to one row a user.
+
+    No broadcast hint: the dictionary grows with the keyword space, so the
+    join strategy is left to the size estimate and AQE's runtime conversion.
+    For a dictionary too large to broadcast and keywords that many users share, see ``map_categories_split``.
+    """
+    return _folded(_by_side(pairs).join(_dictionary(kmap), "keyword", "left"), pairs.columns)
+
+
+def hot_keywords(pairs: DataFrame, share: float = 1 / 256) -> list[str]:
+    """The keywords that hold more than about ``share`` of the users' keywords, at most ``2 / share`` of them.
+
+    From a sketch of bounded size (``approx_top_k``), in one pass; a keyword missed or named in vain costs time, never rows.
+    """
+    k = int(2 / share)
+    words = pairs.select(F.explode(F.array("most_searched_prev", "most_searched_curr")).alias("keyword")).where("keyword IS NOT NULL")
+    found = words.agg(F.expr(f"approx_top_k(keyword, {k}, {min(1_000_000, 16 * k)})").alias("top"), F.count("*").alias("n")).first()
+    return [t["item"] for t in found["top"] or [] if t["count"] > share * found["n"]]
+
+
+def map_categories_split(pairs: DataFrame, kmap: DataFrame, hot: list[str], parts: int = 64) -> DataFrame:
+    """W-13 as ``map_categories``, with the users of each hot keyword dealt into ``parts`` and its dictionary row repeated for each.
+
+    The join's shuffle is by keyword and part, so that no task gets a hot keyword whole, whether or not the dictionary is broadcast.
+    """
+    is_hot = F.col("keyword").isin(hot) if hot else F.lit(False)
+    part = F.when(is_hot, F.pmod(F.xxhash64("user_id", "side"), F.lit(parts)).cast("int")).otherwise(0)
+    every = F.when(is_hot, F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0)))
+    d = _dictionary(kmap).select("keyword", "category", F.explode(every).alias("part"))
+    return _folded(_by_side(pairs).withColumn("part", part).join(d, ["keyword", "part"], "left"), pairs.columns)
 
 
 def category_shift(df: DataFrame) -> DataFrame:

@@ -24,15 +24,15 @@ NUMBERS_SCHEMA = "Profile_ID string, user_no long"
 
 
 def number_users(profiles: DataFrame, known: DataFrame | None = None, slots: int = 64) -> DataFrame:
-    """``Profile_ID, user_no``: the known numbers and new ones for new users, from the largest known on, without gaps.
+    """``Profile_ID, user_no``: the known numbers and new ones for new users, from the largest known on (at first from 1), without gaps.
 
     New users are dealt into ``slots`` parts by a hash; a part's numbers follow those of the parts before it.
     """
     users = profiles.select("Profile_ID").where("Profile_ID IS NOT NULL").distinct()
-    first = 0
+    first = 1
     if known is not None:
         users = users.join(known.select("Profile_ID"), "Profile_ID", "left_anti")
-        first = known.agg(F.coalesce(F.max("user_no") + 1, F.lit(0))).first()[0]
+        first = known.agg(F.coalesce(F.max("user_no") + 1, F.lit(1))).first()[0]
     slot = F.pmod(F.xxhash64("Profile_ID"), F.lit(slots)).cast("int")
     path = f"{shared_dir(profiles.sparkSession).rstrip('/')}/viewpulse-stage/new-users-{uuid.uuid4().hex}"
     users.select("Profile_ID", slot.alias("slot")).write.parquet(path)

@@ -265,6 +265,7 @@ def build() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["scan_search_log_daily"] = lambda s, sf: L.read_search_log(s, _daily_logs(s, sf), start=START)
     q["scan_search_log_drifted"] = lambda s, sf: CH.read_search_log_checked(s, _drifted_logs(s, sf), START, END, "hive").rows
     q["scan_content_log_damaged"] = _content_damage
+    q["map_categories_split"] = lambda s, sf: Q.map_categories_split(_pairs(s, sf), TD.keyword_map(s, sf), Q.hot_keywords(_pairs(s, sf), 1 / 32))
     q["keyword_page_deep"] = lambda s, sf: Q.page_keywords(_pairs(s, sf), **DEEP_PAGE)
     q["user_sets_loyalty"] = lambda s, sf: U.category_loyalty(_user_states(s, sf, _fact(s, sf)), ST.dim_service(s), [SNAPSHOT])
     q["user_sets_migration"] = lambda s, sf: U.interest_migration(_user_states(s, sf, _fact(s, sf)), [SNAPSHOT])
