@@ -38,3 +38,25 @@ def taste(cols: dict[str, Column] | None = None) -> Column:
     """'-'-joined list of the Types present (non-NULL), in ``TYPES`` order; '' if none."""
     cols = cols or {t: F.col(f"`{t}`") for t in S.TYPES}
     return F.concat_ws("-", *[F.when(cols[t].isNotNull(), F.lit(t)) for t in S.TYPES])
+
+
+#: A day's answer in one number: the place of its most watched Type in ``MOST_WATCH_PRIORITY`` (from 1; 0 for none), and a bit for each Type present.
+MASK_BITS = len(S.TYPES)
+
+
+def day_code(cols: dict[str, Column] | None = None) -> Column:
+    """Most watched Type and Types present of a day as a whole number, which a hash aggregate can keep."""
+    cols = cols or {t: F.col(f"`{t}`") for t in S.TYPES}
+    best = F.coalesce(F.array_position(F.array(*[F.lit(t) for t in S.MOST_WATCH_PRIORITY]), most_watched(cols)), F.lit(0))
+    mask = sum((F.when(cols[t].isNotNull(), F.lit(1 << i)).otherwise(F.lit(0)) for i, t in enumerate(S.TYPES)), F.lit(0))
+    return F.shiftleft(best, MASK_BITS) + mask
+
+
+def most_watched_of(code: Column) -> Column:
+    place = F.shiftright(code, MASK_BITS).cast("int")
+    return F.when(place > 0, F.try_element_at(F.array(*[F.lit(t) for t in S.MOST_WATCH_PRIORITY]), place))
+
+
+def taste_of(code: Column) -> Column:
+    present = F.concat_ws("-", *[F.when(code.bitwiseAND(1 << i) != 0, F.lit(t)) for i, t in enumerate(S.TYPES)])
+    return F.when(code.isNotNull(), present)

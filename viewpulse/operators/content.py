@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from viewpulse import schemas as S
-from viewpulse.functions.content import app_type, most_watched, taste
+from viewpulse.functions.content import MASK_BITS, app_type, day_code, most_watched, most_watched_of, taste, taste_of
 
 
 def with_type(df: DataFrame) -> DataFrame:
@@ -72,12 +72,13 @@ def profile_from_daily(daily: DataFrame, threshold: int = S.ACTIVE_DAYS_THRESHOL
     """Fold day rows into one row per Contract.
 
     Totals are sums over days; ``MostWacth``/``Taste`` come from the earliest
-    day (``min_by`` keeps a NULL value); ``Active`` counts the days.  The
-    activity window is folded into this aggregate, so no sort is needed.
+    day, kept as the smallest of (day, code of the day's answer) in one number, so that day rows are hashed and not sorted;
+    ``Active`` counts the days.  The activity window is folded into this aggregate.
     """
-    return daily.groupBy("Contract").agg(
-        *[F.sum(F.col(f"`{t}`")).alias(S.total_col(t)) for t in S.TYPES],
-        F.min_by("MostWacth", "Date").alias("MostWacth"),
-        F.min_by("Taste", "Date").alias("Taste"),
-        activity_label(F.count("Date"), threshold).alias("Active"),
-    )
+    code_bits = MASK_BITS + 3
+    first = F.min(F.shiftleft(F.unix_date("Date").cast("long"), code_bits) + day_code()).alias("first")
+    folded = daily.groupBy("Contract").agg(
+        *[F.sum(F.col(f"`{t}`")).alias(S.total_col(t)) for t in S.TYPES], first, F.count("Date").alias("days"))
+    code = F.col("first").bitwiseAND((1 << code_bits) - 1)
+    return folded.select("Contract", *S.TOTAL_COLS, most_watched_of(code).alias("MostWacth"), taste_of(code).alias("Taste"),
+                         activity_label(F.col("days"), threshold).alias("Active"))
