@@ -15,7 +15,7 @@ largest counts are looked up in the tasks, all others are joined by a shuffle.
 
 The weights are two tables of ``buckets`` x ``width`` and one of four times that for the tree; unless given, the buckets grow with the square root
 of the types.
-Bounded by parameters: the head, and the tasks that train at once (``workers``).
+Bounded by parameters: the head, and the tasks that train at once (``workers``; by default one a core, 512 at most).
 64-bit hashes stand for tokens in the model's features and in the lookup of the head.
 
 Null texts are empty: a single end token.  Rows with a null id are scored but do not teach.  Repeated rows teach and are
@@ -318,7 +318,7 @@ def leaf_counts(tail: DataFrame, leaves: int) -> np.ndarray:
 
 
 def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", classes: int = 31, width: int = 32,
-          buckets: int | None = None, per_leaf: int = 16, head: int = 1 << 17, rounds: int = 3, rate: float = 0.3, workers: int = 512,
+          buckets: int | None = None, per_leaf: int = 16, head: int = 1 << 17, rounds: int = 3, rate: float = 0.3, workers: int | None = None,
           batch_tokens: int = 8192) -> DataFrame:
     """``id, n_tokens, n_known, train_tokens, base_score, score`` of every row; ``learn`` is a condition over ``id_col``.
 
@@ -345,7 +345,8 @@ def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
     buckets = buckets or max(1 << 14, 1 << int(np.log2(16 * np.sqrt(types + 1))))
     model = Model([t for t, _ in members], [n for _, n in members], rest, buckets, width, [t for t, _ in others], [n for _, n in others], leaves)
     if members:
-        train(model, taught, rounds, rate, workers, batch_tokens)
+        # one task a core at most: each task sends its changes of all three tables
+        train(model, taught, rounds, rate, workers or min(512, docs.sparkSession.sparkContext.defaultParallelism), batch_tokens)
 
     head_hash = hash_tokens([t for t, _ in top])
     order = np.argsort(head_hash)
