@@ -193,18 +193,18 @@ class Model:
 
 def softmax(bias: np.ndarray, weight: np.ndarray, at: np.ndarray, child: np.ndarray, learn: bool):
     """Log probability of ``child`` in each row; with ``learn``, also the gradients of its logits."""
-    x = weight[at[:, 0]]
+    x = weight.take(at[:, 0], axis=0)
     for k in range(1, at.shape[1]):
-        x += weight[at[:, k]]
+        x += weight.take(at[:, k], axis=0)
     x += bias
     x -= x.max(axis=1, keepdims=True)
     rows = np.arange(len(x))
     chosen = x[rows, child]
     np.exp(x, out=x)
-    total = x.sum(axis=1)
+    total = np.einsum("ij->i", x)
     chosen = chosen - np.log(total)
     if learn:
-        x /= total[:, None]
+        x *= (1 / total)[:, None]
         x[rows, child] -= 1
     return chosen, x
 
@@ -216,8 +216,39 @@ def by_bucket(at: np.ndarray, gradient: np.ndarray):
     packed = np.sort(flat << bits | np.arange(len(flat)))  # faster than a stable argsort
     order, sorted_at = packed & ((1 << bits) - 1), packed >> bits
     first = np.flatnonzero(np.r_[True, sorted_at[1:] != sorted_at[:-1]])
-    summed = np.add.reduceat(gradient[order // at.shape[1]], first, axis=0)
-    return sorted_at[first], summed, np.diff(np.append(first, len(flat)))
+    uses = np.diff(np.append(first, len(flat)))
+    return sorted_at[first], sums_of_runs(gradient, order // at.shape[1], first, uses), uses
+
+
+def sums_of_runs(x: np.ndarray, order: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The sum of the rows ``x[order]`` of each run, by adding neighbours until one row a run is left.
+
+    The rows are added whole, which ``np.add.reduceat`` does column by column.
+    """
+    out = x.take(order[first], axis=0)
+    more = np.flatnonzero(sizes > 1)
+    if not len(more):
+        return out
+    first, sizes = first[more], sizes[more]
+    rows = None  # of the runs that are left, in order; None while they are still ``x[order]``
+    while len(more):
+        half = (sizes + 1) // 2
+        start = np.cumsum(half) - half
+        k = np.arange(half.sum()) - np.repeat(start, half)
+        left = np.repeat(first, half) + 2 * k
+        paired = 2 * k + 1 < np.repeat(sizes, half)
+        if rows is None:
+            rows, right = x.take(order[left], axis=0), x.take(order[left[paired] + 1], axis=0)
+        else:
+            rows, right = rows.take(left, axis=0), rows.take(left[paired] + 1, axis=0)
+        if paired.all():
+            rows += right
+        else:
+            rows[paired] += right
+        out[more[half == 1]] = rows[start[half == 1]]
+        on = half > 1
+        more, first, sizes = more[on], start[on], half[on]
+    return out
 
 
 def train_task(model: Model, batches, rate: float, batch_tokens: int):
@@ -235,8 +266,10 @@ def train_task(model: Model, batches, rate: float, batch_tokens: int):
                 for t, (at, g) in enumerate(gradients):
                     if len(at):
                         rows, summed, used = by_bucket(at, g)
-                        squares[t][rows] += (summed * summed).mean(axis=1)
-                        tables[t][rows] -= (rate if t < 2 else rate * TREE_RATE) * summed / np.sqrt(squares[t][rows] + 1)[:, None]
+                        squared = squares[t][rows] + np.einsum("ij,ij->i", summed, summed) / np.float32(summed.shape[1])
+                        squares[t][rows] = squared
+                        summed *= (np.float32(rate if t < 2 else rate * TREE_RATE) / np.sqrt(squared + 1))[:, None]
+                        tables[t][rows] -= summed
                         uses[t][rows] += used
     return [t - s for t, s in zip(tables, start, strict=True)], uses
 
