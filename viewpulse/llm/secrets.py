@@ -4,11 +4,12 @@ Base spans are the matches of three patterns.  The method adds long runs of toke
 characters that a first-order Markov model of random strings explains better
 than one of ordinary identifiers, by log-likelihood ratio.  The models are trained
 on labelled samples.  By default these come from the documents themselves: the
-values in base spans are random strings, all other runs are ordinary.
+values in base spans that hold letters and digits are random strings, other values are no samples, all other runs are ordinary.
 Transitions are counted over all documents; the model has one number for each
-pair of characters.
+pair of characters.  Ordinary identifiers are also made of the words of the ordinary sample: joined by separators as in paths,
+names and drawn lines, or with a capital at the joint, in the shares in which words end and begin.
 
-Null texts are empty and have no spans.  Without samples of both labels no span is added.
+Null texts are empty and have no spans.  Texts of any length are searched whole; the work of a text grows with its length.  Without samples of both labels no span is added.
 Repeated rows give repeated results; offsets count code points, ends are exclusive.
 Columns other than the text stay as they are.
 """
@@ -36,6 +37,8 @@ KINDS = ("assign", "access", "hex", "markov")
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 STATES = len(ALPHABET) + 1
 PRIOR = 5.0
+#: Characters that join the words of ordinary identifiers, and how many joints of each kind a word of the sample stands for.
+JOINTS, PER_WORD = "/_-=+", 0.05
 _STATE = np.zeros(129, np.int16)
 _STATE[[ord(c) for c in ALPHABET]] = np.arange(1, STATES)
 
@@ -80,7 +83,8 @@ def count_transitions(batches, found: np.ndarray):
             s = states(text)
             spans = base_spans(text, s)
             for _, _, end, value in spans:
-                _add(found[1], s[value:end])
+                if _mixed(text[value:end]):
+                    _add(found[1], s[value:end])
             for start, _, end, _ in spans:
                 s[start:end] = 0
             _add(found[0], s)
@@ -91,6 +95,27 @@ def _add(counts: np.ndarray, s: np.ndarray) -> None:
     counts += np.bincount(s[:-1] * STATES + s[1:], minlength=STATES * STATES)
 
 
+def _mixed(value: str) -> bool:
+    """Whether a value holds a letter and a digit, as random strings of some length do."""
+    return any(c.isdigit() for c in value) and any(c.isalpha() for c in value)
+
+
+def _with_identifiers(counts: np.ndarray) -> np.ndarray:
+    """Ordinary transitions with those of identifiers made of the sample's words."""
+    last, first = PER_WORD * counts[:, 0], PER_WORD * counts[0]
+    out = counts.copy()
+    for c in JOINTS:
+        out[:, _STATE[ord(c)]] += last
+        out[_STATE[ord(c)]] += first
+        out[_STATE[ord(c)], _STATE[ord(c)]] += first.sum()  # lines drawn with one character
+    capital = np.zeros(STATES)
+    for c in ALPHABET:
+        capital[_STATE[ord(c.upper())]] += first[_STATE[ord(c)]] if c.isalpha() else 0
+    if capital.any():
+        out += np.outer(last, capital / capital.sum())
+    return out
+
+
 def _ratios(cells) -> np.ndarray | None:
     """log P(next | state, random) - log P(next | state, ordinary).
 
@@ -103,6 +128,8 @@ def _ratios(cells) -> np.ndarray | None:
     counts[:, 0, 0] = 0
     if not counts[0].any() or not counts[1].any():
         return None
+    counts[0] = _with_identifiers(counts[0])
+    counts[:, 0, 0] = 0
     shares = (counts[0].sum(axis=0) + 1) / (counts[0].sum() + STATES)
     prior = np.stack([np.tile(shares, (STATES, 1)), np.full((STATES, STATES), 1 / STATES)])
     p = (counts + PRIOR * prior) / (counts.sum(axis=2, keepdims=True) + PRIOR)
@@ -148,8 +175,12 @@ def find_spans(text: str, model: np.ndarray | None, least: int, per_char: float,
     spans = [(a, k, b) for a, k, b, _ in base_spans(text, s)]
     if model is not None:
         base = sorted((a, b) for a, _, b in spans)
+        reach = np.maximum.accumulate([b for _, b in base]) if base else []
+        at = 0  # base spans before it begin before the end of the run
         for a, b in runs(s, least):
-            if any(x < b and a < y for x, y in base):
+            while at < len(base) and base[at][0] < b:
+                at += 1
+            if at and reach[at - 1] > a:
                 continue
             path = np.concatenate([[0], s[a:b], [0]])
             score = model[path[:-1], path[1:]].sum()
