@@ -3,14 +3,14 @@
 A gear hash rolls over the bytes of a text: h = 2h + random(byte).  A chunk ends
 where the masked bits of the hash are zero, so that ends depend on the last bytes alone and an insertion moves
 only the chunk that it falls into.  Chunks with the same 64-bit digest in different rows
-are repeats; the one in the first row stays.  Adjacent repeated chunks form a passage, and passages with enough words are reported.
+are repeats; the one in the first row stays, by id (null ids last), then by a digest of the text, whatever files the rows are in.  Adjacent repeated chunks form a passage, and passages with enough words are reported.
 
 The chunks of all rows are combined on the map side before the shuffle that counts them, and the join back
 to texts has one row for each repeated digest, so a chunk that a third of all rows hold splits like any skewed join.
 A single chance match of two digests can't make a passage, which takes several chunks in a row.
 
-Null texts are empty and have no chunks.  Null or repeated ids are rows of their own; of repeated rows
-the first stays.  A chunk that repeats only within one row is no repeat.  Offsets count bytes of the UTF-8 text.
+Null texts are empty and have no chunks.  Null or repeated ids are rows of their own; of repeated rows, which are
+alike in all that is reported, one stays.  Texts of any length are chunked whole, up to 2^39 bytes.  A chunk that repeats only within one row is no repeat.  Offsets count bytes of the UTF-8 text.
 Columns other than id and text are ignored.
 """
 
@@ -79,16 +79,17 @@ def chunk(text: str | bytes, mask_bits: int, least: int, most: int) -> tuple[np.
 
 def chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mask_bits: int = 4, least: int = 12,
            most: int = 256) -> DataFrame:
-    """``row, id, digests, places``: the chunks of each row, written to the shared folder."""
+    """``row, id, text_hash, digests, places``: the chunks of each row, written to the shared folder."""
     def run(batches):
         for b in batches:
-            made = [chunk(t, mask_bits, least, most) for t in b.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([m[0] for m in made], pa.list_(pa.int64())),
-                                              pa.array([m[1] for m in made], pa.list_(pa.int64()))], names=["row", "id", "digests", "places"])
+            made = [chunk(t, mask_bits, least, most) for t in b.column(3).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array([m[0] for m in made], pa.list_(pa.int64())),
+                                              pa.array([m[1] for m in made], pa.list_(pa.int64()))], names=["row", "id", "text_hash", "digests", "places"])
 
     schema = T.StructType([T.StructField("row", T.LongType()), T.StructField("id", docs.schema[id_col].dataType),
-                           T.StructField("digests", T.ArrayType(T.LongType())), T.StructField("places", T.ArrayType(T.LongType()))])
-    base = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
+                           T.StructField("text_hash", T.LongType()), T.StructField("digests", T.ArrayType(T.LongType())), T.StructField("places", T.ArrayType(T.LongType()))])
+    base = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.xxhash64(text_or_empty(text_col)).alias("text_hash"),
+                       text_or_empty(text_col).alias("text"))
     return cut(base.mapInArrow(run, schema), "chunks")
 
 
@@ -99,12 +100,13 @@ def repeated_passages(docs: DataFrame, min_words: int = 25, id_col: str = "doc_i
     its chunks, and ``kept`` says that the row itself is the first for all of them.
     """
     made = chunks(docs, id_col, text_col)
-    each = made.select("row", F.explode(F.arrays_zip("digests", "places")).alias("c")).select(
-        "row", F.col("c.digests").alias("digest"), F.col("c.places").alias("place"))
-    repeated = (each.groupBy("digest").agg(F.min("row").alias("first_row"), F.max("row").alias("last_row"))
-                .where("first_row <> last_row").select("digest", "first_row"))
+    order = F.struct(F.col("id").isNull().alias("unnamed"), "id", "text_hash", "row").alias("order")
+    each = made.select(order, F.explode(F.arrays_zip("digests", "places")).alias("c")).select(
+        "order", F.col("c.digests").alias("digest"), F.col("c.places").alias("place"))
+    repeated = (each.groupBy("digest").agg(F.min("order").alias("first"), F.max("order.row").alias("last_row"), F.min("order.row").alias("first_row"))
+                .where("first_row <> last_row").select("digest", "first"))
     hits = each.join(repeated, "digest").select(
-        "row", "first_row", F.shiftrightunsigned("place", LENGTH_BITS + WORD_BITS).alias("start"),
+        F.col("order.row").alias("row"), F.col("order.id").alias("id"), "first", F.shiftrightunsigned("place", LENGTH_BITS + WORD_BITS).alias("start"),
         F.shiftrightunsigned("place", WORD_BITS).bitwiseAND((1 << LENGTH_BITS) - 1).alias("length"),
         F.col("place").bitwiseAND((1 << WORD_BITS) - 1).alias("words"))
     in_row = Window.partitionBy("row").orderBy("start")
@@ -112,8 +114,6 @@ def repeated_passages(docs: DataFrame, min_words: int = 25, id_col: str = "doc_i
     runs = hits.withColumn("fresh", (~fresh).cast("long")).withColumn("run", F.sum("fresh").over(in_row))
     passages = runs.groupBy("row", "run").agg(
         F.min("start").alias("start"), F.max(F.col("start") + F.col("length")).alias("end"), F.sum("words").alias("n_words"),
-        F.count("*").alias("n_chunks"), F.min("first_row").alias("first_row"), F.min(F.col("first_row") == F.col("row")).alias("kept"))
-    passages = passages.where(F.col("n_words") >= min_words)
-    ids = made.select("row", "id")
-    named = passages.join(ids, "row").join(ids.select(F.col("row").alias("first_row"), F.col("id").alias("first_id")), "first_row")
-    return named.select(F.col("id").alias(id_col), "start", "end", "n_words", "n_chunks", F.col("first_id").alias(f"first_{id_col}"), "kept")
+        F.count("*").alias("n_chunks"), F.min("first").alias("first"), F.min(F.col("first.row") == F.col("row")).alias("kept"), F.first("id").alias("id"))
+    return passages.where(F.col("n_words") >= min_words).select(
+        F.col("id").alias(id_col), "start", "end", "n_words", "n_chunks", F.col("first.id").alias(f"first_{id_col}"), "kept")
