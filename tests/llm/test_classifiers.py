@@ -143,6 +143,34 @@ def test_markov_spans(spark):
     assert [s.kind for s in spans[1]] == ["markov"]
 
 
+def test_planted_secrets_and_identifiers(spark):
+    """The corpus' own model on strings that no base pattern matches: random ones are found, identifiers, paths and lines are not."""
+    rng = random.Random(11)
+    letters, digits = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    corpus = [(i, f'{prose(rng, 40)} 2024-01-05 token = "{hashlib.md5(str(i).encode()).hexdigest()}"', "en", "a", 0) for i in range(300)]
+    corpus += [(300, "password: changemeplease secret = sunflowers", "en", "a", 0)]
+    model = secrets.fit(docs(spark, corpus))
+    some = lambda a, n: "".join(rng.choice(a) for _ in range(n))
+    random_ones = [some(a, rng.randint(28, 48)) for a in (letters + letters.upper() + digits, letters + digits, letters.upper() + digits) for _ in range(40)]
+    words = lambda n: prose(rng, n).lower().split()
+    ordinary = ["https/www/example/com/path/to/page", "=" * 40, "-" * 60, "_" * 30]
+    for _ in range(40):
+        ordinary += [j.join(words(7)) for j in "/_-"] + ["".join(w.capitalize() for w in words(7))]
+    rows = [(i, f"see {t} here", "en", "a", 0) for i, t in enumerate(random_ones + ordinary)]
+    marked = {r.doc_id for r in secrets.find(docs(spark, rows), model).collect() if any(s.kind == "markov" for s in r.spans)}
+    n = len(random_ones)
+    assert sum(i < n for i in marked) >= 0.95 * n and sum(i >= n for i in marked) <= 0.02 * len(ordinary)
+
+
+def test_runs_beside_many_base_spans():
+    """A run is left out when it meets a base span, however many there are."""
+    model = np.full((secrets.STATES, secrets.STATES), 1.0)
+    own = "Ab1" * 10
+    text = " ".join(f"{own} token=abcdefgh{i:04d}xyzxyzxyzxyz {own} {'0f' * 16}" for i in range(50))
+    spans = secrets.find_spans(text, model, 20, 0.75, 20.0)
+    assert [k for _, k, _ in spans] == [3, 0, 3, 2] * 50
+
+
 def test_secrets_of_awkward_rows(spark):
     df = docs(spark)
     model = secrets.fit(df)

@@ -140,6 +140,24 @@ def test_repeated_passages(spark):
         assert r.first_doc_id == r.doc_id % 10 and r.kept == (r.doc_id < 10)
 
 
+def test_repeated_passages_do_not_depend_on_files(spark, tmp_path):
+    rng = random.Random(4)
+    text = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 9))) for _ in range(n))
+    shared = [text(60) for _ in range(6)]
+    rows = [(i // 2 if i < 20 else i, f"{text(20)} {shared[i % 6]} {text(20)}", "en", "a", 0) for i in range(60)]
+    rows += [(None, f"{text(9)} {shared[k]}", "en", "a", 0) for k in (0, 1)] + rows[:5]
+    answers = []
+    for parts in (1, 7):
+        rng.shuffle(rows)
+        path = f"{tmp_path}/{parts}"
+        docs(spark, rows).repartition(parts).write.parquet(path)
+        got = chunk_dedup.repeated_passages(spark.read.parquet(path)).collect()
+        answers.append(sorted(tuple((x is None, x) for x in r) for r in got))
+    assert answers[0] == answers[1] and len(answers[0]) >= 67
+    first = {r.first_doc_id for r in got}
+    assert None not in first and first <= set(range(10))
+
+
 def test_repeated_passages_of_awkward_rows(spark):
     got = {(r.doc_id, r.first_doc_id) for r in chunk_dedup.repeated_passages(docs(spark)).collect()}
     assert (7, 6) in got and not {i for i, _ in got} & {1, 3, 4, 5, 9, 10}

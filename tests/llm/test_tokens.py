@@ -164,6 +164,48 @@ def test_model_is_a_distribution():
     assert abs(sum(p) - 1) < 1e-4
 
 
+def test_gradients_summed_by_bucket():
+    rng = np.random.default_rng(3)
+    for n, buckets in ((1, 4), (7, 2), (300, 1), (2000, 40), (4000, 9000)):
+        at = (rng.zipf(1.3, (n, 3)) % buckets).astype(np.int64)
+        gradient = rng.normal(size=(n, 8)).astype(np.float32)
+        rows, summed, uses = maxent.by_bucket(at, gradient)
+        brute = np.zeros((buckets, 8))
+        np.add.at(brute, at.ravel(), np.repeat(gradient, 3, axis=0))
+        assert np.array_equal(rows, np.unique(at)) and np.allclose(brute[rows], summed, atol=1e-3)
+        assert np.array_equal(uses, np.bincount(at.ravel())[rows])
+
+
+def test_likelihood_by_hand():
+    """Each token's log probability, token by token and path by path, from the trained tables."""
+    rng = random.Random(8)
+    names = [*(f"w{i}".encode() for i in range(40)), maxent.END]
+    counts = [100 - i for i in range(40)] + [50]
+    texts = [" ".join(f"w{min(39, int(rng.expovariate(0.1)))}" for _ in range(30)) for _ in range(40)]
+    model = maxent.Model(names[:5] + [maxent.END], counts[:5] + [50], sum(counts[5:40]) + 36, 128, 3, names[5:40], counts[5:40], np.array([1.0, 4.0]))
+    maxent.train_task(model, [texts], 0.3, 128)
+    h, _, n, _ = maxent.token_hashes([t.encode() for t in texts])
+    f, places = model.features(h, n), model.places(h)
+
+    def one(bias, table, features, child):
+        x = bias.astype(float) + sum(table[int(k) % len(table)].astype(float) for k in features)
+        return x[child] - x.max() - math.log(np.exp(x - x.max()).sum())
+
+    def below(features, node):
+        return [int(maxent.mix(np.array([int(v) + node * 0x9E37 & (1 << 64) - 1], np.uint64))[0]) for v in features]
+
+    got = model.log_likelihood(f, places)
+    for i in range(0, len(h), 7):
+        place, own = int(places[i]), f[i].tolist()
+        want = one(model.class_bias, model.class_weight, own, 0 if place < 0 else place // 3 + 1)
+        if place >= 0:
+            want += one(model.word_bias[place // 3], model.word_weight, below(own, place // 3 + 1), place % 3)
+        else:
+            for _, node, child in model.tree.steps(np.array([-1 - place])):
+                want += one(model.tree_bias[node[0]], model.tree_weight, below(own, int(node[0])), child[0])
+        assert abs(want - got[i]) < 1e-3
+
+
 def test_model_beats_counts_on_held_out_text(spark):
     rng = random.Random(7)
     rows = [(i, " ".join(rng.choice(["new york", "los angeles", "san diego", "el paso"]) for _ in range(60)), "en", "a", 0) for i in range(200)]
