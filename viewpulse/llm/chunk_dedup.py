@@ -105,8 +105,9 @@ def repeated_passages(docs: DataFrame, min_words: int = 25, id_col: str = "doc_i
         "order", F.col("c.digests").alias("digest"), F.col("c.places").alias("place"))
     repeated = (each.groupBy("digest").agg(F.min("order").alias("first"), F.max("order.row").alias("last_row"), F.min("order.row").alias("first_row"))
                 .where("first_row <> last_row").select("digest", "first"))
-    hits = each.join(repeated, "digest").select(
-        F.col("order.row").alias("row"), F.col("order.id").alias("id"), "first", F.shiftrightunsigned("place", LENGTH_BITS + WORD_BITS).alias("start"),
+    asking = each.select("digest", "place", F.col("order.row").alias("row"), F.col("order.id").alias("id"))
+    hits = asking.join(repeated, "digest").select(
+        "row", "id", "first", F.shiftrightunsigned("place", LENGTH_BITS + WORD_BITS).alias("start"),
         F.shiftrightunsigned("place", WORD_BITS).bitwiseAND((1 << LENGTH_BITS) - 1).alias("length"),
         F.col("place").bitwiseAND((1 << WORD_BITS) - 1).alias("words"))
     in_row = Window.partitionBy("row").orderBy("start")
