@@ -87,8 +87,8 @@ def chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mask
                                               pa.array([m[1] for m in made], pa.list_(pa.int64()))], names=["row", "id", "text_hash", "digests", "places"])
 
     schema = T.StructType([T.StructField("row", T.LongType()), T.StructField("id", docs.schema[id_col].dataType),
-                           T.StructField("text_hash", T.LongType()), T.StructField("digests", T.ArrayType(T.LongType())), T.StructField("places", T.ArrayType(T.LongType()))])
-    base = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.xxhash64(text_or_empty(text_col)).alias("text_hash"),
+                           T.StructField("text_hash", T.IntegerType()), T.StructField("digests", T.ArrayType(T.LongType())), T.StructField("places", T.ArrayType(T.LongType()))])
+    base = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.hash(text_or_empty(text_col)).alias("text_hash"),
                        text_or_empty(text_col).alias("text"))
     return cut(base.mapInArrow(run, schema), "chunks")
 
@@ -101,11 +101,11 @@ def repeated_passages(docs: DataFrame, min_words: int = 25, id_col: str = "doc_i
     """
     made = chunks(docs, id_col, text_col)
     order = F.struct(F.col("id").isNull().alias("unnamed"), "id", "text_hash", "row").alias("order")
-    each = made.select(order, F.explode(F.arrays_zip("digests", "places")).alias("c")).select(
-        "order", F.col("c.digests").alias("digest"), F.col("c.places").alias("place"))
-    repeated = (each.groupBy("digest").agg(F.min("order").alias("first"), F.max("order.row").alias("last_row"), F.min("order.row").alias("first_row"))
-                .where("first_row <> last_row").select("digest", "first"))
-    asking = each.select("digest", "place", F.col("order.row").alias("row"), F.col("order.id").alias("id"))
+    # a row counts once for a digest; 32 bits of the text's hash and no other columns, as this shuffle holds all chunks
+    repeated = (made.select(order, F.explode(F.array_distinct("digests")).alias("digest")).groupBy("digest")
+                .agg(F.min("order").alias("first"), F.count("*").alias("rows")).where("rows > 1").select("digest", "first"))
+    asking = made.select("row", "id", F.explode(F.arrays_zip("digests", "places")).alias("c")).select(
+        "row", "id", F.col("c.digests").alias("digest"), F.col("c.places").alias("place"))
     hits = asking.join(repeated, "digest").select(
         "row", "id", "first", F.shiftrightunsigned("place", LENGTH_BITS + WORD_BITS).alias("start"),
         F.shiftrightunsigned("place", WORD_BITS).bitwiseAND((1 << LENGTH_BITS) - 1).alias("length"),
