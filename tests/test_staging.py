@@ -37,3 +37,14 @@ def test_customers_meet_orders_before_lines(spark):
     depth = {t: next(len(line) - len(line.lstrip(" :+-")) for line in plan.splitlines() if f"{t}#" in line and "Relation" in line)
              for t in ("c_custkey", "l_orderkey")}
     assert depth["c_custkey"] > depth["l_orderkey"]
+
+
+def test_both_loads_of_a_snapshot_read_the_written_profiles(spark, monkeypatch):
+    from viewpulse import registry
+
+    loaded, load = [], registry.load_table
+    monkeypatch.setattr(registry, "load_table", lambda df, *a: (loaded.append(df.inputFiles()), load(df, *a)))
+    rows = registry.build()["load_snapshot"](spark, SF)
+    assert len(loaded) == 2 and all("_profile/" in f for files in loaded for f in files)
+    fact = registry.build()["fact"](spark, SF)
+    assert sorted(map(tuple, rows.collect()), key=repr) == sorted(map(tuple, fact.collect()), key=repr)
