@@ -67,10 +67,11 @@ class Vocabulary:
 
     def counts(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Sorted term numbers of a text and how often each occurs."""
-        total: Counter = Counter()
+        total: dict[int, int] = {}
         for word, n in Counter(words_of(text)).items():
-            for i in self.of_word(word):
-                total[i] += n
+            found = self.memo.get(word)
+            for i in self.of_word(word) if found is None else found:
+                total[i] = total.get(i, 0) + n
         ids = np.array(sorted(total), np.int32)
         return ids, np.array([total[i] for i in ids.tolist()], np.int32)
 
@@ -110,8 +111,8 @@ class BlockMaxIndex:
         cells = concat_ranges(self.term_cells[ids], n_cells)
         if not len(cells):
             return []
-        q = np.repeat(weights, n_cells)
-        bound = np.bincount(self.cell_block[cells], q * self.cell_max[cells], self.n_blocks)
+        q, block_of = np.repeat(weights, n_cells), self.cell_block[cells]
+        bound = np.bincount(block_of, q * self.cell_max[cells], self.n_blocks)
         best_first = np.argsort(-bound, kind="stable")
         score = np.zeros(self.n_blocks * self.block)
         opened = np.zeros(self.n_blocks, bool)
@@ -120,19 +121,22 @@ class BlockMaxIndex:
             opened[blocks] = True
             chosen = np.zeros(self.n_blocks, bool)
             chosen[blocks] = True
-            use = chosen[self.cell_block[cells]]
+            use = chosen[block_of]
             own = cells[use]
             n = self.cell_start[own + 1] - self.cell_start[own]
             at = concat_ranges(self.cell_start[own], n)
             np.add.at(score, self.example[at], np.repeat(q[use], n) * self.weight[at])
 
-        open_blocks(best_first[: max(2, -(-2 * k // self.block))])
-        kth = np.partition(score, -k)[-k] if len(score) >= k else 0.0
+        first = best_first[: max(2, -(-2 * k // self.block))]
+        open_blocks(first)
+        near = score.reshape(self.n_blocks, self.block)[first].ravel()  # all others are still zero
+        near = near[near > 0]
+        kth = np.partition(near, -k)[-k] if len(near) >= k else 0.0
         # the margin covers rounding in sums of the same products in another order
         rest = np.flatnonzero(~opened & (bound > 0) & (bound >= kth - 1e-9))
         if len(rest):
             open_blocks(rest)
-        found = np.flatnonzero(score > 0)
+        found = np.flatnonzero(score >= kth) if kth > 0 else np.flatnonzero(score > 0)
         if len(found) > k:
             kth = np.partition(score[found], -k)[-k]
             found = found[score[found] >= kth]
