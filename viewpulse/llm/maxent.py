@@ -120,6 +120,10 @@ class Model:
         h = hash_tokens([*members, *others])
         self.order = np.argsort(h)
         self.hashes = h[self.order]
+        # the sorted hashes in slots by their leading bits, about four slots a token
+        bits = max(1, (4 * len(h)).bit_length())
+        self.shift = U(64 - bits)
+        self.slots = np.append(0, np.cumsum(np.bincount((self.hashes >> self.shift).astype(np.int64), minlength=1 << bits)))
         self.n_others, self.n_leaves = len(others), 1 if leaves is None else len(leaves)
         mass = np.append(np.array(other_counts, float) + 1, [rest] if leaves is None else leaves)
         self.tree = Tree(mass, width) if len(mass) > 1 else None
@@ -142,14 +146,32 @@ class Model:
     def tables(self) -> list[np.ndarray]:
         return [self.class_weight, self.word_weight, *([self.tree_weight] if self.tree else [])]
 
-    def places(self, h: np.ndarray) -> np.ndarray:
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        for name in ("class_weight", "word_weight", "tree_weight"):
+            if name in state:
+                setattr(self, name, aligned(state[name].shape))
+                getattr(self, name)[:] = state[name]
+
+    def numbers(self, h: np.ndarray) -> np.ndarray:
+        """Number of each token among the members, then the others; -1 for all other tokens."""
+        out = np.full(len(h), -1, np.int64)
+        slot = (h >> self.shift).astype(np.int64)
+        at, end = self.slots[slot], self.slots[slot + 1]
+        left = np.flatnonzero(at < end)
+        at, end = at[left], end[left]
+        while len(left):
+            hit = self.hashes[at] == h[left]
+            out[left[hit]] = self.order[at[hit]]
+            on = np.flatnonzero(~hit & (at + 1 < end))
+            left, at, end = left[on], at[on] + 1, end[on]
+        return out
+
+    def places(self, h: np.ndarray, number: np.ndarray | None = None) -> np.ndarray:
         """Place of each token among the members; -1 - the place in the tree for others."""
+        number = self.numbers(h) if number is None else number
         leaf = -1 - self.n_others - (h % U(self.n_leaves)).astype(np.int64)
-        if not len(self.hashes):
-            return leaf
-        at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
-        number = self.order[at]
-        return np.where(self.hashes[at] == h, np.where(number < self.size, number, self.size - 1 - number), leaf)
+        return np.where(number < 0, leaf, np.where(number < self.size, number, self.size - 1 - number))
 
     def leaf_of(self, place: np.ndarray) -> np.ndarray:
         """Leaf of each place, -1 for tokens with places of their own."""
@@ -164,91 +186,138 @@ class Model:
         two[first] = START_HASH
         return np.stack([mix(one), mix(one * U(3) + two), mix(two + U(77))], axis=1)
 
-    def log_likelihood(self, f: np.ndarray, place: np.ndarray, learn: bool = False):
-        """Natural log probability of class and path; with ``learn``, also the gradients by bucket."""
-        mask = U(self.buckets - 1)
+    def log_likelihood(self, f: np.ndarray, place: np.ndarray, learn=None) -> np.ndarray:
+        """Natural log probability of class and path; ``learn`` is called with the number of each table, its buckets and gradients."""
+        def step(t: int, bias: np.ndarray, at: np.ndarray, child: np.ndarray, node: np.ndarray | None = None) -> np.ndarray:
+            found, gradient = softmax(bias, tables[t], at, child, learn is not None, node)
+            if learn and len(at):
+                learn(t, at, gradient)
+            return found
+
+        tables = self.tables()
         cls = np.where(place < 0, 0, place // self.width + 1)
-        at = (f & mask).astype(np.int64)
-        out, p = softmax(self.class_bias, self.class_weight, at, cls, learn)
+        out = step(0, self.class_bias, (f & U(self.buckets - 1)).astype(np.int64), cls)
         own = np.flatnonzero(place >= 0)
         c, w = cls[own], place[own] % self.width
-        at2 = self.mixed(f, own, c, self.buckets)
-        inner, q = softmax(self.word_bias[c - 1], self.word_weight, at2, w, learn)
-        out[own] += inner
-        gradients = [(at, p), (at2, q)]
+        out[own] += step(1, self.word_bias, self.mixed(f, own, c, self.buckets), w, c - 1)
         below = np.flatnonzero(place < 0)
         if self.tree and len(below):
             row, node, child = (np.concatenate(x) for x in zip(*self.tree.steps(-1 - place[below]), strict=True))
-            at3 = self.mixed(f, below[row], node, len(self.tree_weight))
-            inner, q = softmax(self.tree_bias[node], self.tree_weight, at3, child, learn)
+            inner = step(2, self.tree_bias, self.mixed(f, below[row], node, len(self.tree_weight)), child, node)
             out[below] += np.bincount(row, inner, len(below))
-            gradients.append((at3, q))
-        return (out, *gradients) if learn else out
+        return out
 
     @staticmethod
     def mixed(f: np.ndarray, row: np.ndarray, node: np.ndarray, buckets: int) -> np.ndarray:
         """Buckets of the features of ``row`` at a node."""
-        return (mix(f[row] + node.astype(U)[:, None] * U(0x9E37)) & U(buckets - 1)).astype(np.int64)
-
-
-def softmax(bias: np.ndarray, weight: np.ndarray, at: np.ndarray, child: np.ndarray, learn: bool):
-    """Log probability of ``child`` in each row; with ``learn``, also the gradients of its logits."""
-    x = weight.take(at[:, 0], axis=0)
-    for k in range(1, at.shape[1]):
-        x += weight.take(at[:, k], axis=0)
-    x += bias
-    x -= x.max(axis=1, keepdims=True)
-    rows = np.arange(len(x))
-    chosen = x[rows, child]
-    np.exp(x, out=x)
-    total = np.einsum("ij->i", x)
-    chosen = chosen - np.log(total)
-    if learn:
-        x *= (1 / total)[:, None]
-        x[rows, child] -= 1
-    return chosen, x
+        return (mix(f.take(row, axis=0) + (node.astype(U) * U(0x9E37))[:, None]) & U(buckets - 1)).astype(np.int64)
+
+
+#: Rows of logits at a time, which a core's cache holds.
+ROWS = 1024
+
+
+def aligned(shape: tuple[int, int]) -> np.ndarray:
+    """An array of float32 that begins at a cache line, so that rows of 32 numbers lie in two lines, not three."""
+    raw = np.empty(4 * shape[0] * shape[1] + 64, np.uint8)
+    skip = -raw.ctypes.data % 64
+    return raw[skip : skip + 4 * shape[0] * shape[1]].view(np.float32).reshape(shape)
+
+
+def softmax(bias: np.ndarray, weight: np.ndarray, at: np.ndarray, child: np.ndarray, learn: bool, node: np.ndarray | None = None):
+    """Log probability of ``child`` in each row; with ``learn``, also the gradients of its logits.
+
+    ``bias`` is for all rows, or with ``node`` has the row of each node.
+    """
+    n, width = len(at), weight.shape[1]
+    out, one = np.empty(n, np.float32), np.ones(width, np.float32)
+    gradient = aligned((n if learn else min(n, ROWS), width))
+    spare, start = aligned((min(n, ROWS), width)), np.arange(0, ROWS * width, width)
+    for k in range(0, n, ROWS):
+        own, to = at[k : k + ROWS], child[k : k + ROWS]
+        x, y = gradient[k : k + ROWS] if learn else gradient[: len(own)], spare[: len(own)]
+        chosen_at = start[: len(own)] + to
+        logits(bias, weight, own, None if node is None else node[k : k + ROWS], x, y)
+        chosen = x.ravel().take(chosen_at)
+        with np.errstate(over="ignore"):
+            np.exp(x, out=x)
+            total = x @ one
+        wide = np.flatnonzero(~((total > 1e-20) & (total < 1e20)))
+        if len(wide):  # logits that must be moved before exp
+            z = np.empty((len(wide), width), np.float32)
+            logits(bias, weight, own[wide], None if node is None else node[k + wide], z, np.empty_like(z))
+            z -= z.max(axis=1, keepdims=True)
+            chosen[wide] = z[np.arange(len(wide)), to[wide]]
+            x[wide] = np.exp(z)
+            total[wide] = x[wide].sum(axis=1)
+        out[k : k + ROWS] = chosen - np.log(total)
+        if learn:
+            x *= (1 / total)[:, None]
+            x.ravel()[chosen_at] -= 1
+    return out, gradient
+
+
+def logits(bias: np.ndarray, weight: np.ndarray, at: np.ndarray, node: np.ndarray | None, x: np.ndarray, spare: np.ndarray) -> None:
+    """Write the sums of the rows ``at`` of ``weight`` and the bias into ``x``."""
+    weight.take(at[:, 0], axis=0, out=x, mode="clip")  # "raise" would buffer the output; all indices are in range
+    for j in range(1, at.shape[1]):
+        x += weight.take(at[:, j], axis=0, out=spare, mode="clip")
+    x += bias if node is None else bias.take(node, axis=0, out=spare, mode="clip")
 
 
 def by_bucket(at: np.ndarray, gradient: np.ndarray):
     """(buckets, summed gradients, uses) of tokens with several buckets each."""
+    buckets, order, first, uses = runs_of_buckets(at)
+    return buckets, sums_of_runs(gradient, order, first, uses), uses
+
+
+def runs_of_buckets(at: np.ndarray):
+    """(bucket, order of the tokens, first, length) of the runs of equal buckets."""
     flat = at.ravel()
     bits = max(1, len(flat).bit_length())
     packed = np.sort(flat << bits | np.arange(len(flat)))  # faster than a stable argsort
     order, sorted_at = packed & ((1 << bits) - 1), packed >> bits
     first = np.flatnonzero(np.r_[True, sorted_at[1:] != sorted_at[:-1]])
-    uses = np.diff(np.append(first, len(flat)))
-    return sorted_at[first], sums_of_runs(gradient, order // at.shape[1], first, uses), uses
+    return sorted_at[first], order // at.shape[1], first, np.diff(np.append(first, len(flat)))
+
+
+#: Rows of a run that are added one by one.
+PIECE = 16
 
 
 def sums_of_runs(x: np.ndarray, order: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The sum of the rows ``x[order]`` of each run, by adding neighbours until one row a run is left.
+    """The sum of the rows ``x[order]`` of each run."""
+    out = aligned((len(sizes), x.shape[1]))
+    for runs, sums in blocks_of_runs(x, order, first, sizes):
+        out[runs] = sums
+    return out
+
 
-    The rows are added whole, which ``np.add.reduceat`` does column by column.
+def blocks_of_runs(x: np.ndarray, order: np.ndarray, first: np.ndarray, sizes: np.ndarray):
+    """(runs, sums of their rows ``x[order]``), about ``ROWS`` runs at a time; the sums are overwritten by the next ones.
+
+    The runs are taken by falling size, so that those with a k-th row are the first ones, and whole rows are added to them.
+    Longer runs are added in pieces of ``PIECE`` rows, then their pieces in the same way.
     """
-    out = x.take(order[first], axis=0)
-    more = np.flatnonzero(sizes > 1)
-    if not len(more):
-        return out
-    first, sizes = first[more], sizes[more]
-    rows = None  # of the runs that are left, in order; None while they are still ``x[order]``
-    while len(more):
-        half = (sizes + 1) // 2
-        start = np.cumsum(half) - half
-        k = np.arange(half.sum()) - np.repeat(start, half)
-        left = np.repeat(first, half) + 2 * k
-        paired = 2 * k + 1 < np.repeat(sizes, half)
-        if rows is None:
-            rows, right = x.take(order[left], axis=0), x.take(order[left[paired] + 1], axis=0)
-        else:
-            rows, right = rows.take(left, axis=0), rows.take(left[paired] + 1, axis=0)
-        if paired.all():
-            rows += right
-        else:
-            rows[paired] += right
-        out[more[half == 1]] = rows[start[half == 1]]
-        on = half > 1
-        more, first, sizes = more[on], start[on], half[on]
-    return out
+    longer = np.flatnonzero(sizes > PIECE)
+    if len(longer):
+        pieces = -(-sizes[longer] // PIECE)
+        start = np.cumsum(pieces) - pieces
+        before = PIECE * (np.arange(pieces.sum()) - np.repeat(start, pieces))
+        part = sums_of_runs(x, order, np.repeat(first[longer], pieces) + before, np.minimum(PIECE, np.repeat(sizes[longer], pieces) - before))
+        for runs, sums in blocks_of_runs(part, np.arange(len(part)), start, pieces):
+            yield longer[runs], sums
+    by_size = np.flatnonzero(sizes <= PIECE)
+    by_size = by_size[np.argsort((PIECE - sizes[by_size]).astype(np.uint8), kind="stable")]  # a radix sort
+    first, sizes = first[by_size], sizes[by_size]
+    own, spare = (aligned((min(ROWS, len(by_size)), x.shape[1])) for _ in range(2))
+    for k in range(0, len(by_size), ROWS):
+        at, n = first[k : k + ROWS], sizes[k : k + ROWS]
+        sums = x.take(order[at], axis=0, out=own[: len(at)], mode="clip")
+        for j in range(1, n[0]):
+            m = len(n) if n[-1] > j else np.count_nonzero(n > j)
+            sums[:m] += x.take(order[at[:m] + j], axis=0, out=spare[:m], mode="clip")
+        yield by_size[k : k + ROWS], sums
 
 
 def train_task(model: Model, batches, rate: float, batch_tokens: int):
@@ -257,20 +326,24 @@ def train_task(model: Model, batches, rate: float, batch_tokens: int):
     start = [t.copy() for t in tables]
     squares = [np.zeros(len(t), np.float32) for t in tables]
     uses = [np.zeros(len(t), np.int64) for t in tables]
+
+    def learn(t: int, at: np.ndarray, gradient: np.ndarray) -> None:
+        """A gradient step of a table."""
+        buckets, order, first, times = runs_of_buckets(at)
+        for runs, summed in blocks_of_runs(gradient, order, first, times):
+            rows = buckets[runs]
+            squared = squares[t][rows] + np.einsum("ij,ij->i", summed, summed) / np.float32(summed.shape[1])
+            squares[t][rows] = squared
+            summed *= (np.float32(rate if t < 2 else rate * TREE_RATE) / np.sqrt(squared + 1))[:, None]
+            tables[t][rows] = np.subtract(tables[t].take(rows, axis=0), summed, out=summed)
+        uses[t][buckets] += times
+
     for texts in batches:
         for _, own in parts(texts):
             h, _, n, _ = token_hashes(own)
             f, place = model.features(h, n), model.places(h)
             for k in range(0, len(h), batch_tokens):
-                _, *gradients = model.log_likelihood(f[k : k + batch_tokens], place[k : k + batch_tokens], learn=True)
-                for t, (at, g) in enumerate(gradients):
-                    if len(at):
-                        rows, summed, used = by_bucket(at, g)
-                        squared = squares[t][rows] + np.einsum("ij,ij->i", summed, summed) / np.float32(summed.shape[1])
-                        squares[t][rows] = squared
-                        summed *= (np.float32(rate if t < 2 else rate * TREE_RATE) / np.sqrt(squared + 1))[:, None]
-                        tables[t][rows] -= summed
-                        uses[t][rows] += used
+                model.log_likelihood(f[k : k + batch_tokens], place[k : k + batch_tokens], learn)
     return [t - s for t, s in zip(tables, start, strict=True)], uses
 
 
@@ -381,27 +454,23 @@ def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
         # one task a core at most: each task sends its changes of all three tables
         train(model, taught, rounds, rate, workers or min(512, docs.sparkSession.sparkContext.defaultParallelism), batch_tokens)
 
-    head_hash = hash_tokens([t for t, _ in top])
-    order = np.argsort(head_hash)
-    head_hash, head_n = head_hash[order], np.array([n for _, n in top], np.int64)[order]
+    log_n = np.log10(np.array([n for _, n in [*members, *others]] + [0], np.int64) + 1.0)  # the last one is for number -1
     leaf_total = np.log10(leaves)
 
     def run(batches):
         for b in batches:
             size = b.num_rows
-            n_tokens, known = np.zeros(size, np.int64), np.zeros(size, np.int64)
+            n_tokens, known, n_others = np.zeros(size, np.int64), np.zeros(size, np.int64), np.zeros(size, np.int64)
             counted, inner = np.zeros(size), np.zeros(size)
-            others = [None] * size
+            tokens, times = [], [np.empty(0, np.int64)]
             for at, own in parts(b.column(1).to_pylist()):
                 h, owner, n, (raw, starts, ends, is_word) = token_hashes(own)
-                place = np.minimum(np.searchsorted(head_hash, h), max(0, len(head_hash) - 1))
-                found = head_hash[place] == h if len(head_hash) else np.zeros(len(h), bool)
-                c = np.where(found, head_n[place], 0) if len(head_hash) else np.zeros(len(h))
-                log_c = np.log10(c + 1.0)
+                number = model.numbers(h)
+                found = number >= 0
                 n_tokens[at] = n
                 known[at] = np.bincount(owner, found, len(own)).astype(np.int64)
-                counted[at] = np.bincount(owner, log_c, len(own))
-                member = model.places(h)
+                counted[at] = np.bincount(owner, log_n[number], len(own))
+                member = model.places(h, number)
                 f = model.features(h, n)
                 ll = np.concatenate([model.log_likelihood(f[k : k + 8192], member[k : k + 8192]) for k in range(0, len(h), 8192)]) / LOG10
                 # tokens in leaves share them by count, which is added after the join
@@ -410,17 +479,20 @@ def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
                 inner[at] = np.bincount(owner, ll, len(own))
                 word = np.flatnonzero(~found & is_word)
                 if len(word):
-                    number = np.cumsum(is_word) - 1
-                    _, one, times = np.unique(mix(h[word] + owner[word].astype(U) * U(0x9E3779B97F4A7C15)), return_index=True, return_counts=True)
-                    buffer = raw.tobytes()
-                    for i, k in zip(word[one].tolist(), times.tolist(), strict=True):
-                        j = at[owner[i]]
-                        if others[j] is None:
-                            others[j] = []
-                        others[j].append({"token": buffer[starts[number[i]] : ends[number[i]]], "times": k})
+                    key = mix(h[word] + owner[word].astype(U) * U(0x9E3779B97F4A7C15))
+                    order = np.argsort(key)
+                    first = np.flatnonzero(np.r_[True, np.diff(key[order]) != 0])
+                    one, uses = word[order[first]], np.diff(np.append(first, len(word)))
+                    by_text = np.argsort(one)
+                    one = one[by_text]
+                    times.append(uses[by_text])
+                    n_others[at] = np.bincount(owner[one], minlength=len(own))
+                    number, buffer = np.cumsum(is_word)[one] - 1, raw.tobytes()
+                    tokens += [buffer[i:j] for i, j in zip(starts[number].tolist(), ends[number].tolist(), strict=True)]
+            rare = pa.StructArray.from_arrays([pa.array(tokens, pa.binary()), pa.array(np.concatenate(times))], names=["token", "times"])
+            rare = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(n_others)), pa.int32()), rare)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(2), pa.array(n_tokens), pa.array(known), pa.array(counted), pa.array(inner),
-                 pa.array(others, pa.list_(pa.struct([("token", pa.binary()), ("times", pa.int64())])))],
+                [b.column(0), b.column(2), pa.array(n_tokens), pa.array(known), pa.array(counted), pa.array(inner), rare],
                 names=["id", "row", "n_tokens", "known", "counted", "inner", "others"])
 
     schema = T.StructType([

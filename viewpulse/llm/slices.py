@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 
 U = np.uint64
@@ -10,9 +12,11 @@ U = np.uint64
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit mixer (the finaliser of MurmurHash3)."""
     x = x.astype(U)
-    x = (x ^ (x >> U(33))) * U(0xFF51AFD7ED558CCD)
-    x = (x ^ (x >> U(33))) * U(0xC4CEB9FE1A85EC53)
-    return x ^ (x >> U(33))
+    for factor in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+        x ^= x >> U(33)
+        x *= U(factor)
+    x ^= x >> U(33)
+    return x
 
 
 def byte_table(seed: int) -> np.ndarray:
@@ -20,7 +24,20 @@ def byte_table(seed: int) -> np.ndarray:
     return mix(np.arange(256, dtype=U) + U(256 * (seed + 1)))
 
 
+#: Powers up to this size are kept, which most buffers need.
+KEPT = 1 << 20
+
+
+@functools.cache
+def _kept_powers() -> tuple[np.ndarray, np.ndarray]:
+    return _all_powers(KEPT)
+
+
 def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    return tuple(p[: size + 1] for p in _kept_powers()) if size <= KEPT else _all_powers(size)
+
+
+def _all_powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     base = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2^64
     inverse = pow(base, -1, 1 << 64)
     one = np.ones(1, U)
