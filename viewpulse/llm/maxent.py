@@ -32,7 +32,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from viewpulse.llm.common import cut, text_or_empty
-from viewpulse.llm.resampling import kth_largest
 from viewpulse.llm.slices import U, byte_table, mix, parts, slice_hashes, words
 
 #: Stands for the end token in tables of counts; no token holds white space.
@@ -186,35 +185,39 @@ class Model:
         two[first] = START_HASH
         return np.stack([mix(one), mix(one * U(3) + two), mix(two + U(77))], axis=1)
 
-    def log_likelihood(self, f: np.ndarray, place: np.ndarray, learn=None) -> np.ndarray:
-        """Natural log probability of class and path; ``learn`` is called with the number of each table, its buckets and gradients."""
-        def step(t: int, bias: np.ndarray, at: np.ndarray, child: np.ndarray, node: np.ndarray | None = None) -> np.ndarray:
-            found, gradient = softmax(bias, tables[t], at, child, learn is not None, node)
+    def log_likelihood(self, f: np.ndarray, place: np.ndarray, learn=None) -> np.ndarray | None:
+        """Natural log probability of class and path; ``learn``, if given, gets each table's number, buckets and gradients instead."""
+        def step(t: int, bias: np.ndarray, at: np.ndarray, child: np.ndarray, node: np.ndarray | None = None) -> np.ndarray | None:
+            found = softmax(bias, tables[t], at, child, learn is not None, node)
             if learn and len(at):
-                learn(t, at, gradient)
-            return found
+                learn(t, at, found)
+            return None if learn else found
 
         tables = self.tables()
-        cls = np.where(place < 0, 0, place // self.width + 1)
-        out = step(0, self.class_bias, (f & U(self.buckets - 1)).astype(np.int64), cls)
-        own = np.flatnonzero(place >= 0)
-        c, w = cls[own], place[own] % self.width
-        out[own] += step(1, self.word_bias, self.mixed(f, own, c, self.buckets), w, c - 1)
-        below = np.flatnonzero(place < 0)
+        own, below = np.flatnonzero(place >= 0), np.flatnonzero(place < 0)
+        at = place.take(own)
+        c, w = at // self.width + 1, at % self.width
+        cls = np.zeros(len(place), np.int64)
+        cls[own] = c
+        out = step(0, self.class_bias, (f & U(self.buckets - 1)).view(np.int64), cls)
+        inner = step(1, self.word_bias, self.mixed(f, own, c, self.buckets), w, c - 1)
+        if not learn:
+            out[own] += inner
         if self.tree and len(below):
-            row, node, child = (np.concatenate(x) for x in zip(*self.tree.steps(-1 - place[below]), strict=True))
-            inner = step(2, self.tree_bias, self.mixed(f, below[row], node, len(self.tree_weight)), child, node)
-            out[below] += np.bincount(row, inner, len(below))
+            row, node, child = (np.concatenate(x) for x in zip(*self.tree.steps(-1 - place.take(below)), strict=True))
+            inner = step(2, self.tree_bias, self.mixed(f, below.take(row), node, len(self.tree_weight)), child, node)
+            if not learn:
+                out[below] += np.bincount(row, inner, len(below))
         return out
 
     @staticmethod
     def mixed(f: np.ndarray, row: np.ndarray, node: np.ndarray, buckets: int) -> np.ndarray:
         """Buckets of the features of ``row`` at a node."""
-        return (mix(f.take(row, axis=0) + (node.astype(U) * U(0x9E37))[:, None]) & U(buckets - 1)).astype(np.int64)
+        return (mix(f.take(row, axis=0) + (node.astype(U) * U(0x9E37))[:, None]) & U(buckets - 1)).view(np.int64)
 
 
 #: Rows of logits at a time, which a core's cache holds.
-ROWS = 1024
+ROWS = 2048
 
 
 def aligned(shape: tuple[int, int]) -> np.ndarray:
@@ -225,36 +228,39 @@ def aligned(shape: tuple[int, int]) -> np.ndarray:
 
 
 def softmax(bias: np.ndarray, weight: np.ndarray, at: np.ndarray, child: np.ndarray, learn: bool, node: np.ndarray | None = None):
-    """Log probability of ``child`` in each row; with ``learn``, also the gradients of its logits.
+    """Log probability of ``child`` in each row; with ``learn``, the gradients of its logits.
 
     ``bias`` is for all rows, or with ``node`` has the row of each node.
     """
     n, width = len(at), weight.shape[1]
-    out, one = np.empty(n, np.float32), np.ones(width, np.float32)
-    gradient = aligned((n if learn else min(n, ROWS), width))
+    one = np.ones(width, np.float32)
+    out = aligned((n, width)) if learn else np.empty(n, np.float32)
+    own_x = None if learn else aligned((min(n, ROWS), width))
     spare, start = aligned((min(n, ROWS), width)), np.arange(0, ROWS * width, width)
     for k in range(0, n, ROWS):
         own, to = at[k : k + ROWS], child[k : k + ROWS]
-        x, y = gradient[k : k + ROWS] if learn else gradient[: len(own)], spare[: len(own)]
+        x, y = out[k : k + ROWS] if learn else own_x[: len(own)], spare[: len(own)]
         chosen_at = start[: len(own)] + to
         logits(bias, weight, own, None if node is None else node[k : k + ROWS], x, y)
-        chosen = x.ravel().take(chosen_at)
-        with np.errstate(over="ignore"):
+        chosen = None if learn else x.ravel().take(chosen_at)
+        with np.errstate(over="ignore", invalid="ignore"):
             np.exp(x, out=x)
             total = x @ one
-        wide = np.flatnonzero(~((total > 1e-20) & (total < 1e20)))
-        if len(wide):  # logits that must be moved before exp
+        if not (total.min() > 1e-20 and total.max() < 1e20):  # some logits must be moved before exp
+            wide = np.flatnonzero(~((total > 1e-20) & (total < 1e20)))
             z = np.empty((len(wide), width), np.float32)
             logits(bias, weight, own[wide], None if node is None else node[k + wide], z, np.empty_like(z))
             z -= z.max(axis=1, keepdims=True)
-            chosen[wide] = z[np.arange(len(wide)), to[wide]]
+            if not learn:
+                chosen[wide] = z[np.arange(len(wide)), to[wide]]
             x[wide] = np.exp(z)
             total[wide] = x[wide].sum(axis=1)
-        out[k : k + ROWS] = chosen - np.log(total)
         if learn:
             x *= (1 / total)[:, None]
             x.ravel()[chosen_at] -= 1
-    return out, gradient
+        else:
+            out[k : k + ROWS] = chosen - np.log(total)
+    return out
 
 
 def logits(bias: np.ndarray, weight: np.ndarray, at: np.ndarray, node: np.ndarray | None, x: np.ndarray, spare: np.ndarray) -> None:
@@ -273,12 +279,12 @@ def by_bucket(at: np.ndarray, gradient: np.ndarray):
 
 def runs_of_buckets(at: np.ndarray):
     """(bucket, order of the tokens, first, length) of the runs of equal buckets."""
-    flat = at.ravel()
-    bits = max(1, len(flat).bit_length())
-    packed = np.sort(flat << bits | np.arange(len(flat)))  # faster than a stable argsort
-    order, sorted_at = packed & ((1 << bits) - 1), packed >> bits
+    bits = len(at).bit_length()
+    packed = (at << bits | np.arange(len(at))[:, None]).ravel()
+    packed.sort()  # faster than a stable argsort
+    sorted_at = packed >> bits
     first = np.flatnonzero(np.r_[True, sorted_at[1:] != sorted_at[:-1]])
-    return sorted_at[first], order // at.shape[1], first, np.diff(np.append(first, len(flat)))
+    return sorted_at.take(first), packed & ((1 << bits) - 1), first, np.diff(np.append(first, len(packed)))
 
 
 #: Rows of a run that are added one by one.
@@ -308,15 +314,15 @@ def blocks_of_runs(x: np.ndarray, order: np.ndarray, first: np.ndarray, sizes: n
         for runs, sums in blocks_of_runs(part, np.arange(len(part)), start, pieces):
             yield longer[runs], sums
     by_size = np.flatnonzero(sizes <= PIECE)
-    by_size = by_size[np.argsort((PIECE - sizes[by_size]).astype(np.uint8), kind="stable")]  # a radix sort
-    first, sizes = first[by_size], sizes[by_size]
+    by_size = by_size.take(np.argsort((PIECE - sizes.take(by_size)).astype(np.uint8), kind="stable"))  # a radix sort
+    first, sizes = first.take(by_size), sizes.take(by_size)
     own, spare = (aligned((min(ROWS, len(by_size)), x.shape[1])) for _ in range(2))
     for k in range(0, len(by_size), ROWS):
         at, n = first[k : k + ROWS], sizes[k : k + ROWS]
-        sums = x.take(order[at], axis=0, out=own[: len(at)], mode="clip")
+        sums = x.take(order.take(at), axis=0, out=own[: len(at)], mode="clip")
         for j in range(1, n[0]):
             m = len(n) if n[-1] > j else np.count_nonzero(n > j)
-            sums[:m] += x.take(order[at[:m] + j], axis=0, out=spare[:m], mode="clip")
+            sums[:m] += x.take(order.take(at[:m] + j), axis=0, out=spare[:m], mode="clip")
         yield by_size[k : k + ROWS], sums
 
 
@@ -326,16 +332,19 @@ def train_task(model: Model, batches, rate: float, batch_tokens: int):
     start = [t.copy() for t in tables]
     squares = [np.zeros(len(t), np.float32) for t in tables]
     uses = [np.zeros(len(t), np.int64) for t in tables]
+    spare = [aligned((ROWS, t.shape[1])) for t in tables]
 
     def learn(t: int, at: np.ndarray, gradient: np.ndarray) -> None:
         """A gradient step of a table."""
         buckets, order, first, times = runs_of_buckets(at)
         for runs, summed in blocks_of_runs(gradient, order, first, times):
-            rows = buckets[runs]
-            squared = squares[t][rows] + np.einsum("ij,ij->i", summed, summed) / np.float32(summed.shape[1])
+            rows = buckets.take(runs)
+            squared = squares[t].take(rows) + np.einsum("ij,ij->i", summed, summed) / np.float32(summed.shape[1])
             squares[t][rows] = squared
             summed *= (np.float32(rate if t < 2 else rate * TREE_RATE) / np.sqrt(squared + 1))[:, None]
-            tables[t][rows] = np.subtract(tables[t].take(rows, axis=0), summed, out=summed)
+            own = tables[t].take(rows, axis=0, out=spare[t][: len(rows)], mode="clip")
+            own -= summed
+            tables[t][rows] = own
         uses[t][buckets] += times
 
     for texts in batches:
@@ -407,7 +416,10 @@ def leaf_counts(tail: DataFrame, leaves: int) -> np.ndarray:
     """Counts of each leaf's tokens, one added to each and to the place of unseen tokens."""
     def run(batches):
         for b in batches:
-            h = hash_tokens(b.column(0).to_pylist())
+            own = b.column(0).cast(pa.binary())
+            ends = np.frombuffer(own.buffers()[1], np.int32)[own.offset : own.offset + len(own) + 1].astype(np.int64)
+            raw = np.frombuffer(own.buffers()[2], np.uint8)[ends[0] : ends[-1]]
+            h = slice_hashes(raw, ends[:-1] - ends[0], ends[1:] - ends[0], byte_table(4))
             yield pa.RecordBatch.from_pydict({"leaf": pa.array((h % U(leaves)).astype(np.int64)), "n": b.column(1)})
 
     def pack(key, table):
@@ -433,9 +445,12 @@ def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
     base = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
     taught = docs.where(F.coalesce(learn, F.lit(False))).select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
     counts = count_tokens(taught)
-    types, n_train = counts.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    # the counts that occur and how often: their number grows with the root of the tokens at most
+    by_n = sorted(((r["n"], r["types"]) for r in counts.groupBy("n").agg(F.count("*").alias("types")).collect()), reverse=True)
+    types, n_train = sum(k for _, k in by_n), sum(n * k for n, k in by_n)
     # the head: all tokens above the head-th largest count, so at most ``head`` short tokens reach the driver
-    least_n = kth_largest(counts.select(F.col("n").cast("double").alias("n")), "n", head) if types > head else 0
+    larger = np.cumsum([k for _, k in by_n])
+    least_n = by_n[int(np.searchsorted(larger, head))][0] if types > head else 0
     top = sorted(((bytes(r["token"]), r["n"]) for r in counts.where(F.col("n") > least_n).collect()), key=lambda x: (-x[1], x[0]))
     if types and END not in {t for t, _ in top}:
         top.append((END, counts.where(F.col("token") == F.lit(END)).first()["n"]))
@@ -463,7 +478,7 @@ def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
             n_tokens, known, n_others = np.zeros(size, np.int64), np.zeros(size, np.int64), np.zeros(size, np.int64)
             counted, inner = np.zeros(size), np.zeros(size)
             tokens, times = [], [np.empty(0, np.int64)]
-            for at, own in parts(b.column(1).to_pylist()):
+            for at, own in parts(b.column(1).to_pylist(), 1 << 18):
                 h, owner, n, (raw, starts, ends, is_word) = token_hashes(own)
                 number = model.numbers(h)
                 found = number >= 0
@@ -501,7 +516,8 @@ def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
         T.StructField("others", T.ArrayType(T.StructType([T.StructField("token", T.BinaryType()), T.StructField("times", T.LongType())])))])
     rows = cut(base.withColumn("row", F.monotonically_increasing_id()).mapInArrow(run, schema), "maxent-rows")
     tail = rows.select("row", F.explode("others").alias("o")).select("row", F.col("o.token").alias("token"), F.col("o.times").alias("times"))
-    tail = tail.join(counts, "token").groupBy("row").agg(
+    # a hash of the counts, whose tokens differ, spares sorting the texts' tokens; its size a partition is bounded by their number
+    tail = tail.join(counts.hint("shuffle_hash"), "token").groupBy("row").agg(
         F.sum("times").alias("more_known"), F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("more"))
     more, zero = F.coalesce("more", F.lit(0.0)), F.lit(0)
     total = np.log10(n_train + types + 1)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-
 import numpy as np
 
 U = np.uint64
@@ -24,24 +22,15 @@ def byte_table(seed: int) -> np.ndarray:
     return mix(np.arange(256, dtype=U) + U(256 * (seed + 1)))
 
 
-#: Powers up to this size are kept, which most buffers need.
-KEPT = 1 << 20
-
-
-@functools.cache
-def _kept_powers() -> tuple[np.ndarray, np.ndarray]:
-    return _all_powers(KEPT)
-
-
 def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    return tuple(p[: size + 1] for p in _kept_powers()) if size <= KEPT else _all_powers(size)
+    base = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2^64
+    return tuple(_powers_of(b, size + 1) for b in (base, pow(base, -1, 1 << 64)))
 
 
-def _all_powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    base = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2^64
-    inverse = pow(base, -1, 1 << 64)
-    one = np.ones(1, U)
-    return (np.concatenate([one, np.cumprod(np.full(size, base, U))]), np.concatenate([one, np.cumprod(np.full(size, inverse, U))]))
+def _powers_of(base: int, size: int) -> np.ndarray:
+    """The first ``size`` powers modulo 2^64: every 1024th times the first 1024."""
+    chain = lambda b, n: np.cumprod(np.append(np.ones(1, U), np.full(n - 1, b % (1 << 64), U)))
+    return np.multiply.outer(chain(base**1024, (size - 1) // 1024 + 1), chain(base, 1024)).ravel()[:size]
 
 
 def slice_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, table: np.ndarray) -> np.ndarray:
