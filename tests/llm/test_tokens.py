@@ -1,7 +1,9 @@
 """Operators 3, 6 and 9 against the library, brute force and round trips."""
 
 import math
+import pickle
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -12,7 +14,7 @@ from edge import ROWS, docs, empty
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from viewpulse.llm import maxent, packing, word_bpe
+from viewpulse.llm import maxent, packing, slices, word_bpe
 from viewpulse.llm.byte_bpe import ByteBpe
 
 BYTES, WORDS = (public_tokenizers.path(f) for f in ("byte_bpe_50k.json", "word_bpe_49k.json"))
@@ -245,3 +247,46 @@ def test_scores_without_rows(spark):
     nothing = maxent.score(docs(spark), F.lit(False)).collect()
     assert len(nothing) == len(ROWS) and {r.n_known for r in nothing} == {0}
     assert all(r.base_score == 0 and r.score == 0 for r in nothing)
+
+
+def test_softmax_in_blocks():
+    """Log probabilities and gradients of many rows, far logits too, in memory that doesn't grow with rows x width."""
+    rng = np.random.default_rng(5)
+    n, width, buckets = 50_001, 32, 64
+    weight = rng.normal(size=(buckets, width)).astype(np.float32)
+    weight[0] += 200  # beyond the range of exp
+    weight[1] -= 200
+    bias = rng.normal(size=(3, width)).astype(np.float32)
+    bias[2, 5:] = -1e9
+    at, node = rng.integers(0, buckets, (n, 3)), rng.integers(0, 3, n)
+    child = np.where(node == 2, rng.integers(0, 5, n), rng.integers(0, width, n))
+    x = weight[at].astype(float).sum(axis=1) + bias[node]
+    x -= x.max(axis=1, keepdims=True)
+    x -= np.log(np.exp(x).sum(axis=1, keepdims=True))
+    tracemalloc.start()
+    got = maxent.softmax(bias, weight, at, child, False, node)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.allclose(got, x[np.arange(n), child], rtol=1e-4, atol=1e-3) and peak < n * width
+    gradient = np.exp(x)
+    gradient[np.arange(n), child] -= 1
+    assert np.allclose(maxent.softmax(bias, weight, at, child, True, node), gradient, atol=1e-3)
+    assert np.allclose(maxent.softmax(bias[0], weight, at, child, False), maxent.softmax(bias, weight, at, child, False, 0 * node))
+
+
+def test_numbers_of_tokens():
+    names = [f"w{i}".encode() for i in range(500)]
+    model = maxent.Model(names[:100], [9] * 100, 400, 64, 4, names[100:400], [3] * 300, np.ones(7))
+    assert model.numbers(maxent.hash_tokens(names)).tolist() == [*range(400), *[-1] * 100]
+    assert maxent.Model([], [], 1, 64, 4).numbers(maxent.hash_tokens(names)).tolist() == [-1] * 500
+    again = pickle.loads(pickle.dumps(model))
+    assert all(np.array_equal(a, b) and b.ctypes.data % 64 == 0 for a, b in zip(model.tables(), again.tables(), strict=True))
+
+
+def test_slice_hashes_by_hand():
+    raw = np.frombuffer(bytes(range(1, 200)) * 21, np.uint8)
+    starts, ends = np.array([0, 5, 1020, 2047, 4000]), np.array([3, 5, 1030, 4179, 4001])
+    table = slices.byte_table(4)
+    want = [(sum(int(table[b]) * pow(0x9E3779B97F4A7C15, k, 1 << 64) for k, b in enumerate(raw[i:j].tolist())) + j - i) % (1 << 64)
+            for i, j in zip(starts.tolist(), ends.tolist(), strict=True)]
+    assert np.array_equal(slices.slice_hashes(raw, starts, ends, table), slices.mix(np.array(want, np.uint64)))
